@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caretrail.checks.registry import SHARED, check
+from caretrail.checks.registry import check
 from caretrail.operators import fold
 from caretrail.operators.aggregates import earliest_per, latest_per, running_total
 from caretrail.operators.timeline import (
@@ -23,20 +23,7 @@ from caretrail.operators.timeline import (
     running,
 )
 from caretrail.plans.spine import measured
-from caretrail.sources.tables import Tables, live
-
-SHARED["spine"] = """
-SELECT e.encounter_id, e.person_id, e.encounter_date, e.encounter_type, e.location_id,
- CASE e.encounter_type WHEN 116 THEN 20 WHEN 21 THEN 1 ELSE 10 END AS day_rank,
- CASE WHEN e.encounter_type IN (1, 2, 14) THEN 1 ELSE 0 END AS is_clinical,
- o.rtc_date, o.vl, o.vl_date, o.cd4, o.weight, o.drug, o.plan
-FROM encounter e JOIN person p ON p.person_id = e.person_id AND p.voided = 0 AND p.is_test = 0
-LEFT JOIN (SELECT encounter_id, MIN(CASE WHEN concept_id = 5096 THEN value_datetime END) AS rtc_date,
-   MIN(CASE WHEN concept_id = 856 THEN value_numeric END) AS vl, MIN(CASE WHEN concept_id = 856 THEN obs_date END) AS vl_date,
-   MIN(CASE WHEN concept_id = 5497 THEN value_numeric END) AS cd4, MIN(CASE WHEN concept_id = 5089 THEN value_numeric END) AS weight,
-   MIN(CASE WHEN concept_id = 1250 THEN value_coded END) AS drug, MIN(CASE WHEN concept_id = 1255 THEN value_coded END) AS plan
-  FROM obs WHERE voided = 0 GROUP BY encounter_id) o ON o.encounter_id = e.encounter_id
-WHERE e.voided = 0"""
+from caretrail.sources.tables import Tables
 
 W = "PARTITION BY person_id ORDER BY encounter_date, day_rank, encounter_id"
 UPTO = f"({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -421,4 +408,3 @@ simple(
         "cur_cd4": f"LAST_VALUE(CASE WHEN cd4 <> 0 THEN cd4 END IGNORE NULLS) OVER {UPTO}",
     },
 )
-__all__ = ["live"]

@@ -58,7 +58,8 @@ def flatten(
         obs = obs.filter(F.col("concept_id").isin(list(concepts)))
     value = typed_value(obs)
     keep = obs.withColumn("__value", value).filter(F.col("__value").isNotNull())
-    order = [F.col("concept_id"), F.coalesce(F.col("value_coded"), F.lit(-1)), F.col("__value")]
+    coded = F.coalesce(F.col("value_coded"), F.lit(-1)) if "value_coded" in obs.columns else F.lit(-1)
+    order = [F.col("concept_id"), coded, F.col("__value")]
     return keep.groupBy(*key).agg(
         ordered_text(order, token(F.col("concept_id"), F.col("__value")), distinct).alias("obs"),
         ordered_text(order, token(F.col("concept_id"), F.col(date)), distinct).alias("obs_datetimes"),

@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -44,54 +44,60 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 class Store:
     """Published datasets as versioned parquet folders under one root.
 
-    A build writes a new version folder and then moves a one-row pointer, so readers see the old rows or the new ones
-    and a job may read the dataset it is rewriting.
+    A build writes a new version folder; a version counts once its commit marker is there. Readers therefore see the
+    old rows or the new ones, a job may read the dataset it is rewriting, and a failed build leaves nothing to undo.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _pointer(self, name: str) -> str:
-        return f"{self.root}/{name}/_current"
+    def _path(self, *parts: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def exists(self, name: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._pointer(name))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+    def versions(self, name: str) -> list[str]:
+        path, files = self._path(name)
+        if not files.exists(path):
+            return []
+        found = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
+        return sorted(v for v in found if files.exists(self._path(name, v, "_SUCCESS")[0]))
 
-    def version(self, name: str) -> str:
-        return self.spark.read.schema("version string").text(self._pointer(name)).first()[0]
+    def exists(self, name: str) -> bool:
+        return bool(self.versions(name))
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}/{self.version(name)}")
+        return self.spark.read.parquet(f"{self.root}/{name}/{self.versions(name)[-1]}")
 
-    def publish(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
-        version = f"v{time.time_ns()}"
-        writer = df.write.mode("errorifexists")
+    def publish(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> int:
+        """Write a new version; returns the rows written, counted while writing."""
+        seen = Observation()
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.root}/{name}/{version}")
-        self.spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(self._pointer(name))
+        writer.parquet(f"{self.root}/{name}/v{time.time_ns()}")
+        return seen.get["rows"]
 
     def log(self, name: str, updated: datetime | None, seconds: float, rows: int) -> None:
         row = [(datetime.now(), updated, name, float(seconds), int(rows))]
-        self.spark.createDataFrame(row, LOG_SCHEMA).write.mode("append").parquet(f"{self.root}/_log")
+        self.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
 
     def run_log(self) -> DataFrame:
         return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/_log")
 
     def high_water_mark(self, name: str, fallback: datetime) -> datetime:
         """Newest source time already handled for a dataset; the fallback on the first run."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_log")
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+        path, files = self._path("_log")
+        if not files.exists(path):
             return fallback
         mark = self.run_log().filter(F.col("table_name") == name).agg(F.max("date_updated")).first()[0]
         return mark or fallback
 
-    def build(self, name: str, make: Callable[[], DataFrame], updated: datetime | None = None) -> None:
+    def build(self, name: str, make: Callable[[], DataFrame], updated: datetime | None = None) -> int:
         """Make, publish and log a dataset."""
         start = time.monotonic()
-        self.publish(name, make())
-        self.log(name, updated, time.monotonic() - start, self.read(name).count())
+        rows = self.publish(name, make())
+        self.log(name, updated, time.monotonic() - start, rows)
+        return rows
 
 
 def export_delimited(df: DataFrame, path: str) -> None:
