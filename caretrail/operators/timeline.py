@@ -200,15 +200,90 @@ def by_timeline(
     return usual.unionByName(split)
 
 
+class Passes:
+    """Looks that depend on one another, arranged in as few scans as their depth allows.
+
+    Pass n may use columns and looks of the passes before it. Wide rows cost a copy per scan, so independent chains are
+    laid side by side instead of one after the other.
+    """
+
+    def __init__(self) -> None:
+        self.columns: dict[int, dict[str, Column]] = {}
+        self.looks: dict[int, dict[str, Look]] = {}
+        self.helpers: list[str] = []
+
+    def column(self, at: int, name: str, value: Column, helper: bool = False) -> None:
+        """A plain column available from pass `at` on."""
+        self.columns.setdefault(at, {})[name] = value
+        if helper:
+            self.helpers.append(name)
+
+    def look(self, at: int, **looks: Look) -> None:
+        self.looks.setdefault(at, {}).update(looks)
+
+    def helper(self, at: int, name: str, look: Look) -> None:
+        self.looks.setdefault(at, {})[name] = look
+        self.helpers.append(name)
+
+    def set_or_soft(
+        self, at: int, name: str, sets: Column, value: Column, soft: Column, soft_value: Column, clears: Column | None = None
+    ) -> None:
+        """A value that hard events set and clear, and that soft events set only while it is empty; ready after 3 passes.
+
+        Hard events cut the timeline into segments. A segment that opens with a value keeps it; in one that does not,
+        the first soft event counts.
+        """
+        hard = sets if clears is None else sets | clears
+        h, v, s, g, last, p = [f"__{k}_{name}" for k in "hvsglp"]
+        self.column(at, h, F.when(hard, 1).otherwise(0), True)
+        self.column(at, v, F.when(sets, value), True)
+        self.column(at, s, F.when(soft & ~hard, soft_value), True)
+        self.helper(at, g, running(F.col(h)))
+        self.helper(at, last, carry(F.col(h) == 1, F.col(v)))
+        self.helper(at + 1, p, prev_where(F.col(s).isNotNull(), F.col(g)))
+        first_soft = F.col(s).isNotNull() & ~F.col(p).eqNullSafe(F.col(g)) & F.col(last).isNull()
+        is_hard = F.col(h) == 1
+        self.look(at + 2, **{name: carry(is_hard | first_soft, F.when(is_hard, F.col(v)).otherwise(F.col(s)))})
+
+    def last_results(self, at: int, name: str, has: Column, value: Column, date: Column, depth: int) -> None:
+        """Shift register: the last `depth` results known on each row, newest first; ready after 2 * depth - 1 passes."""
+        flag, result = f"__has_{name}", f"__r_{name}"
+        self.column(at, flag, has, True)
+        self.column(at, result, F.struct(value.alias("value"), date.alias("date")), True)
+        source = result
+        for i in range(1, depth + 1):
+            known, before = f"__k{i}_{name}", f"__b{i}_{name}"
+            self.helper(at, known, carry(F.col(flag), F.col(source)))
+            if i < depth:
+                self.helper(at + 1, before, prev(F.col(known)))
+            self.column(at + 1, f"{name}_{i}", F.col(f"{known}.value"))
+            self.column(at + 1, f"{name}_{i}_date", F.col(f"{known}.date"))
+            source, at = before, at + 2
+
+    def run(self, line: Timeline, df: DataFrame, through: int | None = None, start: int = 0) -> DataFrame:
+        """Run passes start..through and drop the helpers when the last one is done."""
+        last = max([*self.columns, *self.looks])
+        end = last if through is None else through
+        for at in range(start, end + 1):
+            new = self.columns.get(at, {})
+            if new:
+                df = df.select("*", *[v.alias(k) for k, v in new.items()])
+            if self.looks.get(at):
+                df = line.scan(df, **self.looks[at])
+        return df.drop(*self.helpers) if end == last else df
+
+
 def last_results(df: DataFrame, line: Timeline, has: Column, value: Column, date: Column, name: str, depth: int) -> DataFrame:
-    """Shift register: the last `depth` results known on each row, newest first, as name_1.., name_1_date.."""
-    df = df.withColumn("__has", has).withColumn("__r", F.struct(value.alias("value"), date.alias("date")))
-    source = "__r"
-    for i in range(1, depth + 1):
-        df = line.scan(df, **{f"__k{i}": carry(F.col("__has"), F.col(source))})
-        if i < depth:
-            df = line.scan(df, **{f"__p{i}": prev(F.col(f"__k{i}"))})
-            source = f"__p{i}"
-    for i in range(1, depth + 1):
-        df = df.withColumn(f"{name}_{i}", F.col(f"__k{i}.value")).withColumn(f"{name}_{i}_date", F.col(f"__k{i}.date"))
-    return df.drop("__has", "__r", *[f"__k{i}" for i in range(1, depth + 1)], *[f"__p{i}" for i in range(1, depth)])
+    passes = Passes()
+    passes.last_results(0, name, has, value, date, depth)
+    return passes.run(line, df)
+
+
+def pack(df: DataFrame, names: Sequence[str], into: str) -> DataFrame:
+    """Put finished columns into one struct, which later scans copy as one block of bytes."""
+    return df.select(*[c for c in df.columns if c not in names], F.struct(*names).alias(into))
+
+
+def unpacked(df: DataFrame, packed: str) -> DataFrame:
+    names = [f.name for f in df.schema[packed].dataType.fields]
+    return df.select("*", *[F.col(f"{packed}.{n}").alias(n) for n in names]).drop(packed)

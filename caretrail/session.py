@@ -12,8 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Hundreds of carried columns give wide generated stages; let Spark fall back per stage.
-    "spark.sql.codegen.maxFields": "400",
+    # The JVM does not compile methods above 8000 bytes of code. Stages that wide run faster with split projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

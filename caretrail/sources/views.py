@@ -121,9 +121,10 @@ def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
     def visit(text: str) -> None:
         for name in texts:
             if re.search(rf"\b(?:FROM|JOIN|,)\s+{name}\b", text, re.I) and name not in needed:
-                if name not in VIEWS:
+                if name not in VIEWS and texts[name] is not text:
                     visit(texts[name])
-                needed.append(name)
+                if name not in needed and texts[name] is not text:
+                    needed.append(name)
 
     visit(sql)
     if not needed:
@@ -133,5 +134,5 @@ def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
     if body[:15].upper() == "WITH RECURSIVE ":
         return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
-        return f"WITH {ctes},\n{body[5:]}"
-    return f"WITH {ctes}\n{body}"
+        return f"WITH RECURSIVE {ctes},\n{body[5:]}"
+    return f"WITH RECURSIVE {ctes}\n{body}"
