@@ -185,7 +185,7 @@ READ_SQL = {
     "exact": "MAX(CASE WHEN concept_id = 1250 AND value = '62' THEN 1 ELSE 0 END)",
     "vl_is_number": "MAX(CASE WHEN concept_id = 856 THEN 1 ELSE 0 END)",
     "drug": "MIN(CASE WHEN concept_id = 1250 THEN value END)",
-    "drugs": "STRING_AGG(DISTINCT CASE WHEN concept_id = 1250 THEN value END, ' ## ' ORDER BY CASE WHEN concept_id = 1250 THEN value END)",
+    "drugs": "STRING_AGG(CASE WHEN concept_id = 1250 THEN value END, ' ## ' ORDER BY CASE WHEN concept_id = 1250 THEN value END)",
     "vl": "CAST(MIN(CASE WHEN concept_id = 856 THEN value END) AS DOUBLE)",
     "rtc": "CAST(MIN(CASE WHEN concept_id = 5096 THEN value END) AS DATE)",
 }
@@ -198,7 +198,7 @@ def _one(flag) -> F.Column:
 @check(
     "c01_read_answer_map",
     "C1 C2 C3 C4 C5 C6 C9 Z9",
-    f"SELECT encounter_id, {', '.join(f'{v} AS {k}' for k, v in READ_SQL.items())} FROM (SELECT DISTINCT encounter_id, concept_id, value FROM tall) GROUP BY encounter_id",
+    f"SELECT encounter_id, {', '.join(f'{v} AS {k}' for k, v in READ_SQL.items())} FROM tall GROUP BY encounter_id",
 )
 def read_map(t: Tables) -> DataFrame:
     obs = live(t.obs)

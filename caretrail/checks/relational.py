@@ -214,8 +214,8 @@ def period_predicates(t: Tables) -> DataFrame:
 @check(
     "d12_timeliness",
     "D12",
-    """SELECT encounter_id, CASE WHEN date_created <= LAST_DAY(encounter_date) THEN 1 ELSE 0 END AS by_month_end, CASE WHEN date_created <= LAST_DAY(encounter_date) + 3 THEN 1 ELSE 0 END AS by_3rd,
-      CASE WHEN date_created <= LAST_DAY(encounter_date) + 10 THEN 1 ELSE 0 END AS by_10th FROM encounter""",
+    """SELECT encounter_id, CASE WHEN LAST_DAY(date_created) = LAST_DAY(encounter_date) THEN 1 ELSE 0 END AS by_month_end, CASE WHEN date_created < LAST_DAY(encounter_date) + 3 THEN 1 ELSE 0 END AS by_3rd,
+      CASE WHEN date_created < LAST_DAY(encounter_date) + 10 THEN 1 ELSE 0 END AS by_10th FROM encounter""",
 )
 def timeliness(t: Tables) -> DataFrame:
     tests = d.timely(c("date_created"), c("encounter_date"))

@@ -78,10 +78,10 @@ def date_from_parts(text: Column) -> Column:
 
 
 def timely(created: Column, happened: Column) -> dict[str, Column]:
-    """Entered by the end of its month, by the 3rd or by the 10th of the next month."""
+    """Entered in the month it happened, or before the 3rd or the 10th day after that month's last day."""
     end = F.last_day(happened)
     return {
-        "by_month_end": created <= end,
-        "by_3rd": created <= F.date_add(end, 3),
-        "by_10th": created <= F.date_add(end, 10),
+        "by_month_end": F.last_day(created) == end,
+        "by_3rd": created < F.date_add(end, 3),
+        "by_10th": created < F.date_add(end, 10),
     }

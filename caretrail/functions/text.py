@@ -30,10 +30,9 @@ def full_name(*parts: Column) -> Column:
 
 
 def filing_id(identifier: Column) -> Column:
-    """Last six digits as three pairs, last pair first, the order paper files are shelved in."""
-    digits = F.lpad(F.regexp_replace(identifier, "[^0-9]", ""), 6, "0")
-    pairs = [F.substring(digits, -2, 2), F.substring(digits, -4, 2), F.substring(digits, -6, 2)]
-    return F.concat_ws("-", *pairs)
+    """Digit pairs of a nine-digit identifier from its end, then its first digit: the order paper files are shelved in."""
+    pairs = [F.substring(identifier, start, 2) for start in (8, 6, 4, 2)]
+    return F.concat_ws("-", *pairs, F.substring(identifier, 1, 1))
 
 
 def null_if_empty(text: Column) -> Column:

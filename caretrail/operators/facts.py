@@ -163,3 +163,8 @@ def unpack(df: DataFrame, facts: dict[str, Fact]) -> DataFrame:
 def extract_facts(tall: DataFrame, key: list[str], facts: dict[str, Fact]) -> DataFrame:
     """One row per key with a column per fact."""
     return unpack(extract_packed(tall, key, facts), facts)
+
+
+def fill_absent(df: DataFrame, facts: dict[str, Fact]) -> DataFrame:
+    """Flags of events without any observation are 0, not null."""
+    return df.fillna(0, _flag_names(facts))

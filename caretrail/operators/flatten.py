@@ -70,15 +70,14 @@ def flatten(
 def answer_map(obs: DataFrame, key: list[str], concepts: Iterable[int] | None = None, date: str = "obs_date") -> DataFrame:
     """One row per key with `answers`, a map from concept to its dated values.
 
-    `obs` has concept_id and value (text). Repeated answers are merged map-side first, so what moves is one entry per
-    distinct answer.
+    `obs` has concept_id and value (text). Repeated answers stay, as they do in the encoded text.
     """
     if concepts is not None:
         obs = obs.filter(F.col("concept_id").isin(list(concepts)))
     return (
         obs.filter(F.col("value").isNotNull())
         .groupBy(*key)
-        .agg(F.collect_set(F.struct("concept_id", "value", F.col(date).alias("date"))).alias("__a"))
+        .agg(F.collect_list(F.struct("concept_id", "value", F.col(date).alias("date"))).alias("__a"))
         .select(*key, _by_concept(F.array_sort("__a")).alias("answers"))
     )
 
