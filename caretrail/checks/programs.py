@@ -409,5 +409,3 @@ _presc = """(SELECT encounter_id, STRING_AGG(part, ' $ ' ORDER BY g) AS prescrip
 def chronic(t: Tables) -> DataFrame:
     return pg.chronic_disease(t)
 
-
-__all__ = ["ORDER"]

@@ -1,8 +1,8 @@
 """Indicator aggregates.
 
 Distinct counts of persons are never expanded per indicator: flags are first reduced to one row per (group, person)
-with a map-side combine, then summed. Totals over groups are reduced per person on their own, so a person seen in two
-groups counts once in the total.
+with a map-side combine, then summed. For totals that small result, not the rows, is spread over the rollup levels and
+reduced per person again, so a person seen in two groups counts once in their total.
 """
 
 from __future__ import annotations
@@ -20,16 +20,16 @@ def indicator_counts(
     flags = [F.max(F.when(test, 1).otherwise(0)).alias(name) for name, test in indicators.items()]
     sums = [F.sum(name).alias(name) for name in indicators]
     per_person = df.groupBy(*by, person).agg(*flags)
-    out = per_person.groupBy(*by).agg(*sums)
     if not rollup:
-        return out
-    for kept in range(len(by) - 1, -1, -1):
-        keys = by[:kept]
-        again = per_person.groupBy(*keys, person).agg(*[F.max(n).alias(n) for n in indicators])
-        total = again.groupBy(*keys).agg(*sums)
-        types = dict(df.dtypes)
-        out = out.unionByName(total.select(*keys, *[F.lit(None).cast(types[c]).alias(c) for c in by[kept:]], *indicators))
-    return out
+        return per_person.groupBy(*by).agg(*sums)
+    types = dict(df.dtypes)
+    levels = []
+    for kept in range(len(by), -1, -1):
+        keys = [F.col(k) if i < kept else F.lit(None).cast(types[k]) for i, k in enumerate(by)]
+        levels.append(F.struct(F.lit(kept).alias("__level"), *[k.alias(n) for k, n in zip(keys, by)]))
+    spread = per_person.select(F.explode(F.array(*levels)).alias("__k"), person, *indicators).select("__k.*", person, *indicators)
+    again = spread.groupBy("__level", *by, person).agg(*[F.max(n).alias(n) for n in indicators])
+    return again.groupBy("__level", *by).agg(*sums).drop("__level")
 
 
 def conditional_counts(df: DataFrame, tests: Mapping[str, Column], by: list[str]) -> DataFrame:

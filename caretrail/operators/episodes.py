@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caretrail.operators.aggregates import earliest_per, latest_per
-from caretrail.operators.timeline import Timeline, carry, following, running
+from caretrail.operators.timeline import Timeline, carry, following, prev, running
 
 # Days in the periods a return interval is given in.
 PERIOD_DAYS = {"days": 1.0, "weeks": 7.0, "months": 30.25}
@@ -55,13 +55,9 @@ def drug_episodes(changes: DataFrame, line: Timeline) -> DataFrame:
     """
     event = (F.col("stops") == 1) | F.col("regimen").isNotNull()
     df = line.scan(changes, current=carry(event, F.when(F.col("stops") != 1, F.col("regimen"))))
-    df = line.scan(df, __before=carry(F.lit(True), F.col("current")))
-    from caretrail.operators.timeline import prev
-
-    df = line.scan(df, __prev=prev(F.struct(F.col("current").alias("v"))))
-    starts = ~F.col("current").eqNullSafe(F.col("__prev.v"))
+    df = line.scan(df, __prev=prev(F.col("current")), __next=following(F.col(line.order[0])))
+    starts = ~F.col("current").eqNullSafe(F.col("__prev"))
     df = line.scan(df.withColumn("__start", F.when(starts, 1).otherwise(0)), episode=running(F.col("__start")))
-    df = line.scan(df, __next=following(F.col(line.order[0])))
     return (
         df.filter("current IS NOT NULL")
         .groupBy(*line.key, "episode", F.col("current").alias("regimen"))

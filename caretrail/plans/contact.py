@@ -219,5 +219,3 @@ def unrecorded_deaths(t: Tables) -> DataFrame:
     dead = insert_ignore(dead, found(coded, "coded death"), ["person_id"])
     return exclude(dead, t.person_attribute.filter("attribute_type_id = 28 AND value = 'true'"), ["person_id"])
 
-
-__all__ = ["Passes"]

@@ -193,5 +193,3 @@ def nutrition(answers: DataFrame) -> DataFrame:
         labels.append(a.map_codes([(concept, (code,), label) for code, label in table.items()]).alias(f"{name}_value"))
     return answers.select("encounter_id", "person_id", *[typed(a, k, kind).alias(n) for n, k, kind in NUTRITION_COLUMNS], *labels)
 
-
-__all__ = ["answer_map", "typed_value"]

@@ -493,5 +493,3 @@ def chronic_disease(t: Tables) -> DataFrame:
         *[f"cur_{n}" for n in [*CDM_CARRIED, *CDM_DATES]], *CDM_CODES, "prescriptions", "prev_clinical_datetime", "next_clinical_datetime",
     )
 
-
-__all__ = ["latest_per", "with_event_dates", "d"]

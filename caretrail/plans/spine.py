@@ -60,5 +60,3 @@ def answered(t: Tables, questions: list[tuple[int, str, int]], types: tuple[int,
         enc = enc.filter(F.col("encounter_type").isin(*types))
     return enc.join(answers, "encounter_id", "left")
 
-
-__all__ = ["encounters", "tall_values", "measured", "answered", "pivot_first"]
