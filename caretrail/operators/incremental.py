@@ -63,3 +63,14 @@ def cascade(
 ) -> dict[str, int]:
     """Run dependent datasets in order over one shared key set; a later step may read what an earlier one published."""
     return {name: sync(store, name, keys, build, mark) for name, build in steps}
+
+
+def changed_encounters(t: Tables, mark: str) -> DataFrame:
+    """Encounters created, voided or changed since the mark; each source row says which of them it was."""
+    since = F.lit(mark).cast("date")
+    enc = t.encounter
+    created = F.col("date_created") >= since
+    voided = (F.col("voided") == 1) & (F.date_add("date_created", 10) >= since)
+    changed = (F.col("voided") == 0) & (F.date_add("date_created", 20) >= since)
+    why = F.when(created, "created").when(voided, "voided").when(changed, "changed")
+    return enc.select("encounter_id", "person_id", why.alias("change")).filter("change IS NOT NULL")

@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caretrail.session import cut_lineage
+
 ORDER = ("encounter_date", "day_rank", "encounter_datetime", "encounter_id")
 
 
@@ -108,6 +110,9 @@ class Timeline:
     # one partition per (key, block), and a small one over the blocks of a key
 
     def _blocked(self, df: DataFrame, looks: dict[str, Look]) -> DataFrame:
+        # The rows are read twice, for the blocks and for the rows themselves. Without a cut, every scan of a chain
+        # would double the plan of the ones before it.
+        df = cut_lineage(df)
         parts = self.key + [self.block]
         at = F.struct(*[F.col(c) for c in self.order])
         looks = {name: _as_carried(look) for name, look in looks.items()}
