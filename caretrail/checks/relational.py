@@ -386,7 +386,7 @@ def attributes(t: Tables) -> DataFrame:
 def event_after(t: Tables) -> DataFrame:
     exits = t.patient_program.filter("date_completed IS NOT NULL")
     rows = t.encounter.select("encounter_id", "person_id", "encounter_date")
-    out = joins.first_after(rows, exits, "person_id", "encounter_date", "date_completed", "exit_date")
+    out = joins.first_after(rows, exits, "person_id", "encounter_date", "date_completed", "exit_date", t.hot_persons)
     return out.select("encounter_id", "exit_date")
 
 

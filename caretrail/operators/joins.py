@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caretrail.operators.timeline import by_timeline, next_where
+
 
 def restrict(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key is in the set."""
@@ -36,10 +40,8 @@ def with_event_dates(df: DataFrame, events: DataFrame, kinds: dict[str, Column],
     return df.join(wide, key, "left")
 
 
-def first_after(df: DataFrame, events: DataFrame, key: str, at: str, when: str, name: str) -> DataFrame:
+def first_after(df: DataFrame, events: DataFrame, key: str, at: str, when: str, name: str, hot: Sequence = ()) -> DataFrame:
     """Nearest event strictly after each row's time, by one merged timeline instead of a range join."""
-    from caretrail.operators.timeline import Timeline, next_where
-
     rows = df.withColumn("__event", F.lit(0)).withColumn("__at", F.to_date(F.col(at)))
     types = dict(rows.dtypes)
     marks = events.select(
@@ -51,8 +53,8 @@ def first_after(df: DataFrame, events: DataFrame, key: str, at: str, when: str,
     )
     # An event of the same day sorts before the row, so it is not "after" it.
     both = rows.unionByName(marks).withColumn("__first", 1 - F.col("__event"))
-    line = Timeline([key], ["__at", "__first"])
-    seen = line.scan(both, **{name: next_where(F.col("__event") == 1, F.col("__at"))})
+    look = next_where(F.col("__event") == 1, F.col("__at"))
+    seen = by_timeline(both, lambda part, line: line.scan(part, **{name: look}), hot, (key,), ("__at", "__first"))
     return seen.filter("__event = 0").drop("__event", "__at", "__first")
 
 

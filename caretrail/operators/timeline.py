@@ -286,7 +286,8 @@ def last_results(df: DataFrame, line: Timeline, has: Column, value: Column, date
 
 def pack(df: DataFrame, names: Sequence[str], into: str) -> DataFrame:
     """Put finished columns into one struct, which later scans copy as one block of bytes."""
-    return df.select(*[c for c in df.columns if c not in names], F.struct(*names).alias(into))
+    kept = [c for c in df.columns if c not in names]
+    return df.select(*kept, (F.struct(*names) if names else F.lit(None).cast("struct<>")).alias(into))
 
 
 def unpacked(df: DataFrame, packed: str) -> DataFrame:

@@ -78,7 +78,8 @@ def events(t: Tables, facts: dict[str, Fact], questions: list, keys: DataFrame |
     orders = t.clinical_order.groupBy("encounter_id").agg(
         *[F.max(F.when(F.col("concept_id") == k, 1).otherwise(0)).alias(n) for n, k in ORDERS.items()]
     )
-    forms = forms.join(orders, "encounter_id", "left")
+    visits = t.visit.select(F.col("visit_id").alias("encounter_id"), "visit_type_id")
+    forms = forms.join(orders, "encounter_id", "left").join(visits, "encounter_id", "left")
     labs = t.lab_event.select(
         "person_id",
         F.to_date("obs_datetime").alias("obs_date"),
@@ -431,7 +432,7 @@ def final_columns(df: DataFrame, wanted: list[str]) -> DataFrame:
         "cur_arv_meds_names": drug_names(c("cur_arv_meds")),
         "bmi": F.col("cur_weight") / F.nullif(F.col("cur_height") * F.col("cur_height"), F.lit(0.0)) * 10000,
     }
-    return df.select("__done", *[new[n].alias(n) if n in new else c(n) for n in wanted])
+    return df.select("__done0", "__done", *[new[n].alias(n) if n in new else c(n) for n in wanted])
 
 
 OUTPUT = [
@@ -480,15 +481,20 @@ def hiv_summary(
     def build(part: DataFrame, line: Timeline) -> DataFrame:
         part = event_columns(unpack(fold.apply_states(part, line), facts))
         passes = timeline_passes()
-        part = passes.run(line, part, through=2)
-        done = [n for n in columns if n in part.columns and n not in STILL_NEEDED]
-        part = passes.run(line, pack(part, done, "__done"), start=3)
-        part = final_columns(look_ahead(part, line), [n for n in columns if n not in done])
-        return unpacked(part, "__done").select(*columns)
+        part = passes.run(line, part, through=0)
+        first = [n for n in columns if n in part.columns and n not in STILL_NEEDED and n not in NEEDED_IN_PASSES]
+        part = passes.run(line, pack(part, first, "__done0"), start=1, through=2)
+        second = [n for n in columns if n in part.columns and n not in STILL_NEEDED]
+        part = passes.run(line, pack(part, second, "__done"), start=3)
+        part = final_columns(look_ahead(part, line), [n for n in columns if n not in first and n not in second])
+        return unpacked(unpacked(part, "__done0"), "__done").select(*columns)
 
     return by_timeline(rows, build, hot)
 
 
+# Columns that the first passes after pass 0 read, and that nothing reads later.
+NEEDED_IN_PASSES = {"cur_arv_line", "cur_arv_adherence"}
+
 # Columns that passes after the second, or the final expressions, still read.
 STILL_NEEDED = {
     "person_id", "encounter_id", "encounter_date", "encounter_type", "is_clinical", "known_location", "death_date",

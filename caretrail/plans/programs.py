@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caretrail.functions import dates as d
 from caretrail.functions.regimens import drug_names
-from caretrail.operators import rules
-from caretrail.operators.aggregates import latest_per
+from caretrail.operators import fold, rules
 from caretrail.operators.facts import Fact, asked, code, date, day, drugs, extract_facts, fill_absent, number, regimen_of_bits, said
-from caretrail.operators.joins import mothers, with_event_dates
+from caretrail.operators.flatten import flatten_groups
+from caretrail.operators.joins import first_after, mothers
 from caretrail.operators.periods import as_of, valid_in_period
 from caretrail.operators.timeline import (
     Passes,
@@ -95,8 +94,6 @@ def infant_summary(t: Tables) -> DataFrame:
     Results are kept in the order they come. Taking one only if it is more than a gap after the last taken one makes
     each choice depend on the one before, so the days with results are folded.
     """
-    from caretrail.operators import fold
-
     rows = fact_events(t, HEI_FACTS, HEI_QUESTIONS)
     results = rows.filter("pcr IS NOT NULL").groupBy("person_id", c("encounter_date").alias("day")).agg(F.min("pcr").alias("pcr"))
     states = fold.fold_steps(results, ["person_id"], [spaced_results("hiv_dna_pcr", 4, HEI_GAP)])
@@ -399,9 +396,7 @@ def prep_weekly(t: Tables) -> DataFrame:
     """Latest prophylaxis row per patient and week, with the first exit after that row."""
     rows = prep_summary(t).filter(c("encounter_type") != PREP_EXIT_TYPE)
     exits = encounters(t).filter(c("encounter_type") == PREP_EXIT_TYPE).select("person_id", c("encounter_date").alias("exit_on"))
-    from caretrail.operators.joins import first_after
-
-    rows = first_after(rows, exits, "person_id", "encounter_date", "exit_on", "exit_date")
+    rows = first_after(rows, exits, "person_id", "encounter_date", "exit_on", "exit_date", t.hot_persons)
     df = as_of(rows, "week", "encounter_date", ["person_id"], ["encounter_date", "encounter_id"], *WEEKS)
     df = df.withColumn("period_start", F.date_sub("period_end", 6))
     df = df.withColumn("rtc_week_end", F.date_add("rtc_date", 7 - F.dayofweek("rtc_date")))
@@ -468,8 +463,6 @@ CDM_PARENTS = (7307, 7334)
 
 def chronic_disease(t: Tables) -> DataFrame:
     """Chronic disease visits: measures of the day, carried laboratory values with their dates, and prescriptions."""
-    from caretrail.operators.flatten import flatten_groups
-
     rows = fact_events(t, CDM_FACTS, CDM_QUESTIONS).join(t.person.select("person_id", "death_date"), "person_id")
 
     def build(part: DataFrame, line: Timeline) -> DataFrame:
