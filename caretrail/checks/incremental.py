@@ -48,12 +48,12 @@ def as_it_was(t: Tables) -> DataFrame:
     return neighbours(t, rows)
 
 
-@check("k07_recompute_changed_persons", "K1 K3 K5 K6 K7", FULL)
+@check("k07_recompute_changed_persons", "K1 K3 K5 K6 K7 Z3", FULL)
 def recompute(t: Tables) -> DataFrame:
     return inc.recompute(as_it_was(t), inc.changed_persons(t, MARK), lambda keys: build(t, keys))
 
 
-@check("k08_rebuild_for_persons", "K8 K9", FULL.replace("FROM spine", "FROM spine WHERE person_id IN (SELECT person_id FROM patient_program WHERE program_id = 3)"))
+@check("k08_rebuild_for_persons", "K8 K9 L2", FULL.replace("FROM spine", "FROM spine WHERE person_id IN (SELECT person_id FROM patient_program WHERE program_id = 3)"))
 def rebuild(t: Tables) -> DataFrame:
     return build(t, t.patient_program.filter("program_id = 3").select("person_id").distinct())
 

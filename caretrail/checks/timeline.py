@@ -51,7 +51,7 @@ CLINICAL = lambda: c("is_clinical") == 1
 
 simple(
     "g01_previous_value",
-    "G1 H1",
+    "G1 H1 Z16",
     {
         "prev_type": lambda: prev(c("encounter_type")),
         "prev_date": lambda: prev(c("encounter_date")),

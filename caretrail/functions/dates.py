@@ -74,7 +74,7 @@ def conception_from_due(due: Column) -> Column:
 
 def date_from_parts(text: Column) -> Column:
     """Date from a text whose first ten characters read year-month-day; null when they do not."""
-    return F.try_to_date(F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 6, 2), F.substring(text, 9, 2)))
+    return F.try_to_date(F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 6, 2), F.substring(text, 9, 2)), "yyyy-MM-dd")
 
 
 def timely(created: Column, happened: Column) -> dict[str, Column]:

@@ -61,7 +61,7 @@ class Answers:
 
     def date(self, concept: int) -> Column:
         """The answer itself read as a date."""
-        return F.try_to_date(self.first(concept))
+        return F.try_to_date(self.first(concept), "yyyy-MM-dd")
 
     def map_codes(self, table: list[tuple[int | tuple, tuple, object]]) -> Column:
         """First matching row of (concept or concepts, codes, result); empty codes mean any answer."""

@@ -98,7 +98,7 @@ def _value_aggregate(kind: str, concept: int) -> Column:
     if kind == "number":
         return F.min(F.when(asked_here, lenient_number(value)))
     if kind == "date":
-        return F.min(F.when(asked_here, F.try_to_date(value)))
+        return F.min(F.when(asked_here, F.try_to_date(value, "yyyy-MM-dd")))
     if kind == "day":
         return F.min(F.when(asked_here, F.col("obs_date")))
     if kind == "drugs":

@@ -185,7 +185,7 @@ FACTS: dict[str, Fact] = {
 # The same facts with one other dictionary of visit concepts.
 OTHER_EMR_FACTS: dict[str, Fact] = {
     **FACTS,
-    "scheduled_visit": code(1246),
+    "scheduled_visit_on": date(1246),
     "mdt_session": code(10994),
 }
 
@@ -229,6 +229,8 @@ QUESTIONS: list[tuple[int, str, int]] = (
     + [(10518, "coded", 1), (10523, "coded", 1), (10527, "coded", 1), (10532, "coded", 1)]
 )
 
+OTHER_EMR_QUESTIONS = QUESTIONS + [(1246, "date", 0), (1246, "coded", 1065), (10994, "number", 1), (10994, "number", 2)]
+
 # Results a laboratory event can bring.
 LAB_VALUES = {"vl": 856, "cd4": 5497, "cd4_percent": 730, "pcr": 1030}
 

@@ -200,15 +200,15 @@ def event_columns(df: DataFrame) -> DataFrame:
     return df.select("*", *[v.alias(k) for k, v in new.items()])
 
 
-def timeline_passes() -> Passes:
+def timeline_passes(facts: dict[str, Fact]) -> Passes:
     """The summary's carried state, by the pass each column becomes known in."""
     passes = Passes()
-    carried_columns(passes)
+    carried_columns(passes, facts)
     dependent_columns(passes)
     return passes
 
 
-def carried_columns(passes: Passes) -> None:
+def carried_columns(passes: Passes, facts: dict[str, Fact]) -> None:
     """State known on each row from its own and earlier events."""
     today = c("encounter_date")
     lab = c("encounter_type") == LAB_TYPE
@@ -218,6 +218,8 @@ def carried_columns(passes: Passes) -> None:
     mdt = None
     for n, _ in MDT_SESSIONS:
         mdt = F.when(yes(f"mdt_{n}"), n) if mdt is None else mdt.when(yes(f"mdt_{n}"), n)
+    if "mdt_session" in facts:
+        mdt = F.coalesce(mdt, c("mdt_session"))
     who = F.when(yes("who_1"), 1).when(yes("who_2"), 2).when(yes("who_3"), 3).when(yes("who_4"), 4)
     discordant = None
     for i, answer in enumerate((1065, 1066, 1067, 1175, 6826, 6827), 1):
@@ -480,7 +482,7 @@ def hiv_summary(
 
     def build(part: DataFrame, line: Timeline) -> DataFrame:
         part = event_columns(unpack(fold.apply_states(part, line), facts))
-        passes = timeline_passes()
+        passes = timeline_passes(facts)
         part = passes.run(line, part, through=0)
         first = [n for n in columns if n in part.columns and n not in STILL_NEEDED and n not in NEEDED_IN_PASSES]
         part = passes.run(line, pack(part, first, "__done0"), start=1, through=2)

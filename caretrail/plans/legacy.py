@@ -64,7 +64,7 @@ def moh_indicators(t: Tables) -> DataFrame:
     columns = {"arv_plan": 1255, "arv_started": 1250, "arvs_current": 1088, "arvs_per_patient": 2154, "transfer_care": 1285, "neg": 1946, "rapid": 1040, "care": 9082}
     answers = t.answers(MOH_QUESTIONS)
     codes = pivot_first(answers, ["encounter_id"], columns, c("value").try_cast("int"))
-    dates = pivot_first(answers, ["encounter_id"], {"rtc": 5096}, F.try_to_date("value"))
+    dates = pivot_first(answers, ["encounter_id"], {"rtc": 5096}, F.try_to_date("value", "yyyy-MM-dd"))
     rows = encounters(t).join(codes, "encounter_id", "left").join(dates, "encounter_id", "left")
 
     def build(part: DataFrame, line) -> DataFrame:
@@ -94,7 +94,7 @@ def retention(t: Tables) -> DataFrame:
     answers = t.answers(questions)
     is_rtc = c("concept_id").isin(5096, 1502, 1777)
     wide = answers.groupBy("encounter_id").agg(
-        F.min(F.when(is_rtc, F.try_to_date("value"))).alias("rtc_date"),
+        F.min(F.when(is_rtc, F.try_to_date("value", "yyyy-MM-dd"))).alias("rtc_date"),
         *[F.min(F.when(c("concept_id") == k, c("value").try_cast("int"))).alias(n) for n, k in (("transfer_care", 1285), ("reason_exited_care", 1596), ("ampath_status", 9082))],
     )
     rows = encounters(t).join(wide, "encounter_id", "left")

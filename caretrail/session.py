@@ -34,7 +34,7 @@ def local_session(cpus: int | str = 8, app: str = "caretrail", **extra: str) ->
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster; a local one only where none is set."""
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         if not context.getCheckpointDir():
             context.setCheckpointDir(configured)
