@@ -143,7 +143,10 @@ class Timeline:
             )
             window = window.rowsBetween(Window.unboundedPreceding, -1)
             carried.append(_pick(look)(F.col(f"__s{i}")).over(window).alias(f"__c{i}"))
-        joined = inside.join(blocks.select(*parts, *carried), parts, "left")
+        # A key may be null (events without a programme form a timeline too), so the join is null-safe.
+        carries = blocks.select(*[F.col(p).alias(f"__p{i}") for i, p in enumerate(parts)], *carried)
+        same = [F.col(p).eqNullSafe(F.col(f"__p{i}")) for i, p in enumerate(parts)]
+        joined = inside.join(carries, same, "left")
         for i, (name, look) in enumerate(looks.items()):
             here, before = F.col(f"__in{i}"), F.col(f"__c{i}")
             both = {
