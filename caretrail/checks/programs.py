@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caretrail.checks.care_sql import AFTER, BEFORE, ORDER, ROW, UPTO, fact_sql, facts_sql, flag_names, held, locf, named
+from caretrail.checks.care_sql import AFTER, BEFORE, ROW, UPTO, fact_sql, facts_sql, flag_names, held, locf, named
 from caretrail.checks.care_sql import _components, _names_sql  # noqa: F401
 from caretrail.checks.care_sql import first as first_of
 from caretrail.checks.registry import SHARED, check
@@ -244,7 +244,7 @@ def covid(t: Tables) -> DataFrame:
 @check(
     "m34_unrecorded_deaths",
     "M34 A9 D6 I4",
-    """WITH x AS (SELECT person_id, 1 AS k FROM encounter WHERE voided = 0 AND encounter_type = 21 AND encounter_id % 50 = 0 UNION ALL SELECT person_id, 2 FROM deq WHERE concept_id IN (1570, 1734, 1573)
+    """WITH x AS (SELECT person_id, 1 AS k FROM encounter WHERE voided = 0 AND encounter_type = 21 AND location_id = 24 UNION ALL SELECT person_id, 2 FROM deq WHERE concept_id IN (1570, 1734, 1573)
       UNION ALL SELECT person_id, 3 FROM deq WHERE concept_id IN (1733, 6206, 9082) AND value = '159')
     SELECT x.person_id, CASE MIN(k) WHEN 1 THEN 'encounter' WHEN 2 THEN 'death form' ELSE 'coded death' END AS evidence FROM x JOIN person p ON p.person_id = x.person_id AND p.death_date IS NULL
     WHERE x.person_id NOT IN (SELECT person_id FROM person_attribute WHERE attribute_type_id = 28 AND value = 'true') GROUP BY x.person_id""",

@@ -10,7 +10,7 @@ from caretrail.operators import rules
 from caretrail.operators.aggregates import distinct_text, latest_per
 from caretrail.operators.facts import Fact, date, extract_facts, fill_absent, said
 from caretrail.operators.joins import exclude, with_attributes
-from caretrail.operators.timeline import Passes, Timeline, by_timeline, carry, following, locf, next_where, prev, prev_where
+from caretrail.operators.timeline import Timeline, by_timeline, carry, following, locf, next_where, prev, prev_where
 from caretrail.plans.spine import encounters, measured
 from caretrail.sources.sinks import insert_ignore
 from caretrail.sources.tables import Tables, live
@@ -213,7 +213,7 @@ def unrecorded_deaths(t: Tables) -> DataFrame:
     def found(rows: DataFrame, name: str) -> DataFrame:
         return rows.select("person_id").distinct().join(living, "person_id", "left_semi").withColumn("evidence", F.lit(name))
 
-    dead = found(live(t.encounter).filter("encounter_type = 21 AND encounter_id % 50 = 0"), "encounter")
+    dead = found(live(t.encounter).filter("encounter_type = 21 AND location_id = 24"), "encounter")
     dead = insert_ignore(dead, found(answers.filter(c("concept_id").isin(1570, 1734, 1573)), "death form"), ["person_id"])
     coded = answers.filter(c("concept_id").isin(1733, 6206, 9082) & (c("value") == "159"))
     dead = insert_ignore(dead, found(coded, "coded death"), ["person_id"])

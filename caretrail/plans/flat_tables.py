@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caretrail.functions.obs import Answers, lenient_number
-from caretrail.operators.flatten import answer_map, flatten, flatten_orders, typed_value
+from caretrail.operators.flatten import flatten, flatten_orders
 from caretrail.sources.tables import Tables, live
 
 # Concepts of laboratory results and orders.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caretrail.operators import rules
-from caretrail.operators.flatten import answer_map, pivot_first, typed_value
+from caretrail.operators.flatten import answer_map, typed_value
 from caretrail.operators.joins import without_test_patients
 from caretrail.sources.tables import Tables, live
 

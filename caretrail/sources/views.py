@@ -50,16 +50,16 @@ FROM events""",
     "visit": """
 SELECT o_orderkey AS visit_id, o_custkey AS person_id, CAST(o_orderdate AS DATE) AS date_started,
  CASE CAST(o_orderkey % 11 AS INT) WHEN 0 THEN 24 WHEN 1 THEN 23 WHEN 2 THEN 119 WHEN 3 THEN 25 WHEN 4 THEN 2 ELSE 3 END AS visit_type_id
-FROM orders WHERE o_orderkey % 13 <> 0""",
+FROM orders WHERE o_orderstatus <> 'P'""",
     "patient_program": """
-SELECT o_orderkey AS patient_program_id, o_custkey AS person_id, CAST(1 + (o_orderkey / 5) % 4 AS INT) AS program_id,
+SELECT o_orderkey AS patient_program_id, o_custkey AS person_id, CAST(1 + o_orderkey % 4 AS INT) AS program_id,
  CAST(o_orderdate AS DATE) AS date_enrolled,
  CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate AS DATE) + CAST(60 + o_orderkey % 400 AS INT) END AS date_completed,
  CAST(o_orderkey % 25 AS INT) AS location_id
-FROM orders WHERE o_orderkey % 5 = 0""",
+FROM orders""",
     "relationship": """
 SELECT m.c_custkey AS person_a, c.c_custkey AS person_b, 2 AS relationship
-FROM customer c JOIN customer m ON m.c_custkey = c.c_custkey - c.c_custkey % 3 + 2 WHERE c.c_custkey % 3 <> 2""",
+FROM customer c JOIN customer m ON m.c_custkey = c.c_custkey - c.c_custkey % 3 + 2 WHERE c.c_custkey <> m.c_custkey""",
     "person_name": """
 SELECT c_custkey AS person_id, CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE SUBSTRING(c_name, 1, 8) END AS given_name,
  CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS middle_name, SUBSTRING(c_name, 10, 9) AS family_name
@@ -70,9 +70,9 @@ SELECT o_custkey AS person_id, CAST(1 + o_orderkey % 8 AS INT) AS identifier_typ
  CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS preferred
 FROM orders""",
     "person_attribute": """
-SELECT c_custkey AS person_id, 10 AS attribute_type_id, '0700' || CAST(100000 + c_custkey AS VARCHAR(20)) AS value FROM customer WHERE c_custkey % 4 <> 0
-UNION ALL SELECT c_custkey, 68, CAST(c_custkey % 40 AS VARCHAR(20)) FROM customer WHERE c_custkey % 3 = 0
-UNION ALL SELECT c_custkey, 28, 'true' FROM customer WHERE c_custkey % 53 = 0""",
+SELECT c_custkey AS person_id, 10 AS attribute_type_id, '0700' || CAST(100000 + c_custkey AS VARCHAR(20)) AS value FROM customer WHERE c_acctbal > 0
+UNION ALL SELECT c_custkey, 68, CAST(c_custkey % 40 AS VARCHAR(20)) FROM customer WHERE c_mktsegment = 'BUILDING'
+UNION ALL SELECT c_custkey, 28, CASE WHEN c_custkey % 53 = 0 THEN 'true' ELSE 'false' END FROM customer""",
     "encounter_provider": """
 SELECT l_orderkey AS encounter_id, l_suppkey AS provider_id, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS voided
 FROM lineitem WHERE l_linenumber = 1""",
