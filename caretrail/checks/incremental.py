@@ -98,6 +98,6 @@ def streamed(t: Tables) -> DataFrame:
     events = st.lab_events(st.event_stream(t.spark, f"{t.folder}/events*.parquet"), late="40 days")
     st.append_to(events, f"{folder}/rows", f"{folder}/progress").awaitTermination()
     landed = t.spark.read.parquet(f"{folder}/rows")
-    return landed.groupBy(F.to_date("obs_datetime").alias("day"), "concept_id").agg(
+    return landed.groupBy(c("obs_date").alias("day"), "concept_id").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("value_numeric"), 4).alias("total")
     )

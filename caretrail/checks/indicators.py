@@ -207,13 +207,13 @@ SHARED["retq"] = answer_rows_sql([(5096, "date", 0)] * 3 + [(1502, "date", 0), (
     "m40_retention",
     "M40 B12 F16 G2 G10 E14",
     f"""WITH w AS (SELECT encounter_id, MIN(CASE WHEN concept_id IN (5096, 1502, 1777) THEN TRY_CAST(value AS DATE) END) AS rtc, MIN(CASE WHEN concept_id = 1285 THEN CAST(value AS INTEGER) END) AS transfer_care,
-       MIN(CASE WHEN concept_id = 1596 THEN CAST(value AS INTEGER) END) AS reason_exited_care, MIN(CASE WHEN concept_id = 9082 THEN CAST(value AS INTEGER) END) AS ampath_status FROM retq GROUP BY 1),
-     x AS (SELECT s.*, w.rtc, transfer_care, reason_exited_care, ampath_status FROM spine s LEFT JOIN w ON w.encounter_id = s.encounter_id),
+       MIN(CASE WHEN concept_id = 1596 THEN CAST(value AS INTEGER) END) AS reason_exited_care, MIN(CASE WHEN concept_id = 9082 THEN CAST(value AS INTEGER) END) AS programme_status FROM retq GROUP BY 1),
+     x AS (SELECT s.*, w.rtc, transfer_care, reason_exited_care, programme_status FROM spine s LEFT JOIN w ON w.encounter_id = s.encounter_id),
      i AS (SELECT person_id, COALESCE(MIN(CASE WHEN identifier_type = 8 THEN identifier END), MIN(CASE WHEN identifier_type = 3 THEN identifier END), MIN(CASE WHEN identifier_type = 7 THEN identifier END)) AS identifier FROM patient_identifier GROUP BY 1),
      h AS (SELECT person_id, location_id AS health_center, ROW_NUMBER() OVER (PARTITION BY person_id ORDER BY COUNT(*) DESC, location_id) AS rn FROM spine GROUP BY 1, 2),
      a AS (SELECT person_id, MAX(value) AS phone_number FROM person_attribute WHERE attribute_type_id = 10 GROUP BY 1),
      y AS (SELECT *, LAG(rtc) {ROW} AS prev_rtc_date, LEAD(encounter_date) {ROW} AS next_appt_date, LEAD(encounter_type) {ROW} AS next_encounter_type, FIRST_VALUE(CASE WHEN is_clinical = 1 THEN encounter_date END IGNORE NULLS) {AFTER} AS next_hiv_clinic_date FROM x)
-    SELECT y.person_id, encounter_id, encounter_date, rtc AS rtc_date, prev_rtc_date, next_appt_date, next_encounter_type, next_hiv_clinic_date, transfer_care, reason_exited_care, ampath_status, identifier, health_center, phone_number
+    SELECT y.person_id, encounter_id, encounter_date, rtc AS rtc_date, prev_rtc_date, next_appt_date, next_encounter_type, next_hiv_clinic_date, transfer_care, reason_exited_care, programme_status, identifier, health_center, phone_number
     FROM y LEFT JOIN i ON i.person_id = y.person_id LEFT JOIN h ON h.person_id = y.person_id AND h.rn = 1 LEFT JOIN a ON a.person_id = y.person_id""",
 )
 def retention(t: Tables) -> DataFrame:

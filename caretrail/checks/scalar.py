@@ -154,10 +154,8 @@ def yearweek(t: Tables) -> DataFrame:
     "SELECT CAST(obs_datetime + INTERVAL 3 HOUR AS DATE) AS day, COUNT(*) AS n FROM lab_event GROUP BY 1",
 )
 def time_zone(t: Tables) -> DataFrame:
-    # The stored times are UTC wall times; they are read as instants of UTC whatever the session zone is.
-    instant = F.to_timestamp(F.concat(F.date_format("obs_datetime", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+00:00")))
-    local = F.convert_timezone(F.lit("UTC"), F.lit("+03:00"), c("obs_datetime"))
-    return t.lab_event.withColumn("instant", instant).groupBy(F.to_date(local).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    local = d.in_zone(c("obs_datetime"))
+    return t.lab_event.groupBy(F.to_date(local).alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @check(

@@ -56,8 +56,8 @@ def within_month_of(day: Column, end: Column) -> Column:
 
 
 def in_zone(stamp: Column, zone: str = "+03:00") -> Column:
-    """UTC instant as wall time of a fixed zone."""
-    return F.from_utc_timestamp(stamp.cast("timestamp"), zone)
+    """UTC wall time as wall time of a fixed zone, whatever the session zone is."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), stamp.cast("timestamp_ntz"))
 
 
 def due_date_from_period(last_period: Column) -> Column:

@@ -154,10 +154,9 @@ def unpack(df: DataFrame, facts: dict[str, Fact]) -> DataFrame:
     columns = []
     for i, name in enumerate(_flag_names(facts)):
         word, bit = divmod(i, FLAGS_PER_COLUMN)
-        raised = F.coalesce(F.col(f"flags_{word}"), F.lit(0).cast("bigint")).bitwiseAND(1 << bit) != 0
-        columns.append(F.when(raised, 1).otherwise(0).alias(name))
+        columns.append(f"CAST(shiftright(coalesce(flags_{word}, 0L), {bit}) & 1L AS INT) AS {name}")
     kept = [c for c in df.columns if c not in packed_columns(facts)]
-    return df.select(*kept, *columns)
+    return df.selectExpr(*kept, *columns)
 
 
 def extract_facts(tall: DataFrame, key: list[str], facts: dict[str, Fact]) -> DataFrame:

@@ -51,10 +51,11 @@ def sync(
     """Bring a published dataset up to date for a set of persons, or build it in full on the first run.
 
     The key set is written to the checkpoint folder once: it is read by every source of the rebuild and by the delete.
+    On a first run too, since a micro-batch has to be consumed to commit its state.
     """
+    fixed = cut_lineage(keys.select("person_id").distinct())
     if not store.exists(name):
         return store.build(name, lambda: build(None), mark)
-    fixed = cut_lineage(keys.select("person_id").distinct())
     return store.build(name, lambda: recompute(store.read(name), fixed, build), mark)
 
 

@@ -31,7 +31,7 @@ DOMAINS: dict[str, dict[str, dict[str, int]]] = {
     "peds": {"first": {"feeding_now": 1151, "mother_alive": 9601, "immunised": 8586}, "all": {"infant_drugs": 1187, "pcr": 1030}},
     "external": {"first": {"ext_rapid_test": 1040, "ext_dna_pcr": 1030, "ext_chest_xray": 12}, "all": {"ext_tests": 1271}},
     "history_and_physical": {"first": {"who_stage": 5356, "who_stage_peds": 1224, "disclosed": 6596}, "all": {"problems": 6042, "findings": 1120}},
-    "retention": {"first": {"transfer_care": 1285, "reason_exited_care": 1596, "discontinue_is_hiv_neg": 1946, "ampath_status": 9082}, "all": {"arv_meds": 1088, "arv_meds_plan": 1250}},
+    "retention": {"first": {"transfer_care": 1285, "reason_exited_care": 1596, "discontinue_is_hiv_neg": 1946, "programme_status": 9082}, "all": {"arv_meds": 1088, "arv_meds_plan": 1250}},
 }
 
 
@@ -95,7 +95,7 @@ def retention(t: Tables) -> DataFrame:
     is_rtc = c("concept_id").isin(5096, 1502, 1777)
     wide = answers.groupBy("encounter_id").agg(
         F.min(F.when(is_rtc, F.try_to_date("value", "yyyy-MM-dd"))).alias("rtc_date"),
-        *[F.min(F.when(c("concept_id") == k, c("value").try_cast("int"))).alias(n) for n, k in (("transfer_care", 1285), ("reason_exited_care", 1596), ("ampath_status", 9082))],
+        *[F.min(F.when(c("concept_id") == k, c("value").try_cast("int"))).alias(n) for n, k in (("transfer_care", 1285), ("reason_exited_care", 1596), ("programme_status", 9082))],
     )
     rows = encounters(t).join(wide, "encounter_id", "left")
     looks = dict(
@@ -111,5 +111,5 @@ def retention(t: Tables) -> DataFrame:
     df = with_attributes(df.join(ids, "person_id", "left").join(usual, "person_id", "left"), t.person_attribute, {"phone_number": 10})
     return df.select(
         "person_id", "encounter_id", "encounter_date", "rtc_date", "prev_rtc_date", "next_appt_date", "next_encounter_type", "next_hiv_clinic_date",
-        "transfer_care", "reason_exited_care", "ampath_status", "identifier", "health_center", "phone_number",
+        "transfer_care", "reason_exited_care", "programme_status", "identifier", "health_center", "phone_number",
     )

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from caretrail.operators.timeline import hot_keys
 from caretrail.sources.views import BASE, VIEWS, answer_rows_sql
 
+_SCHEMA_MEMO: dict[tuple[str, str], StructType] = {}
 _HOT_MEMO: dict[tuple[str, str, str], list] = {}
 
 
@@ -46,7 +49,12 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A source table. Its schema is read from a file footer once, not for every use."""
+        path = f"{self.folder}/{name}.parquet"
+        memo = (self.spark.sparkContext.applicationId, path)
+        if memo not in _SCHEMA_MEMO:
+            _SCHEMA_MEMO[memo] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMA_MEMO[memo]).parquet(path)
 
     def _sql(self, text: str, base: list[str]) -> DataFrame:
         frames = {f"src_{b}": self.raw(b) for b in base}
@@ -82,8 +90,6 @@ class Tables:
 
 
 def _name_source(text: str, table: str) -> str:
-    import re
-
     return re.sub(rf"\b(FROM|JOIN)\s+{table}\b", rf"\1 {{src_{table}}}", text)
 
 

@@ -39,6 +39,7 @@ def lab_events(stream: DataFrame, late: str = "2 days") -> DataFrame:
             F.col("event_id").alias("obs_id"),
             F.col("user_id").alias("person_id"),
             F.col("ts").alias("obs_datetime"),
+            F.to_date(F.convert_timezone(None, F.lit("UTC"), F.col("ts").cast("timestamp_ntz"))).alias("obs_date"),
             concept.alias("concept_id"),
             F.col("value").alias("value_numeric"),
         )

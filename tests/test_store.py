@@ -41,14 +41,18 @@ def test_sync_equals_full_rebuild_after_changes(spark, store):
     first = spark.createDataFrame(rows, SCHEMA)
     assert sync(store, "timeline", first.select("person_id"), lambda keys: timeline(first, keys)) == 80
     changed = [list(r) for r in rows]
-    touched = set()
+    touched = {3}
     for i in rng.sample(range(80), 12):
         touched.add(changed[i][0])
-        changed[i][rng.choice([1, 3, 4])] = {1: D0, 3: 9, 4: 1}[1] if rng.random() < 0.3 else changed[i][1]
-        changed[i][4] = int(rng.random() < 0.5)
+        kind = rng.choice(["voided", "moved", "corrected"])
+        if kind == "voided":
+            changed[i][4] = 1
+        elif kind == "moved":
+            changed[i][1] = D0 + dt.timedelta(days=100)
+        else:
+            changed[i][3] = 9
     changed.append([3, D0, 900, 7, 0])
-    touched.add(3)
-    second = spark.createDataFrame([tuple(r[:1] + [r[1]] + r[2:]) for r in changed], SCHEMA)
+    second = spark.createDataFrame([tuple(r) for r in changed], SCHEMA)
     keys = spark.createDataFrame([(p,) for p in touched], "person_id int")
     sync(store, "timeline", keys, lambda k: timeline(second, k))
     assert as_set(store.read("timeline")) == as_set(timeline(second))
