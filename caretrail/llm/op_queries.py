@@ -6,8 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caretrail.llm.queries import query, table
 from caretrail.llm.secrets import secret_digest
+from caretrail.llm.sharding import shard
+from caretrail.llm.url_filter import url_verdicts
 
 
 @query("op8_secret_scans")
 def secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secret_digest(table(spark, folder, "documents"))
+
+
+@query("op4_url_filters")
+def url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_verdicts(table(spark, folder, "pages"))
+
+
+@query("op6_sharding")
+def sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shard(table(spark, folder, "documents"))
