@@ -192,9 +192,12 @@ def judge(
     rules: tuple[tuple[str, str], ...] = RULES,
     url: str = "url",
     keep: tuple[str, ...] = (),
-    at_least: float = 0.5,
+    at_least: float = 0.4,
 ) -> DataFrame:
-    """The kept columns with host, path, rule, verdict and the model's score, row by row, without a shuffle."""
+    """The kept columns with host, path, rule, verdict and the model's score, row by row, without a shuffle.
+
+    The model blocks from a score of `at_least` on: below one half, as an unwanted page costs more than a lost one.
+    """
     schema = df.select(*keep).schema
     for name in ("host", "path", "rule", "verdict"):
         schema = schema.add(name, "string")
