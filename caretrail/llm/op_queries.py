@@ -8,6 +8,8 @@ from caretrail.llm.queries import query, table
 from caretrail.llm.secrets import secret_digest
 from caretrail.llm.sharding import shard
 from caretrail.llm.url_filter import url_verdicts
+from caretrail.llm.warc import ORACLE as WARC_SQL
+from caretrail.llm.warc import archive_digest
 
 
 @query("op8_secret_scans")
@@ -23,3 +25,8 @@ def url_filters(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_sharding")
 def sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard(table(spark, folder, "documents"))
+
+
+@query("op10_warc", WARC_SQL)
+def warc(spark: SparkSession, folder: str) -> DataFrame:
+    return archive_digest(table(spark, folder, "pages"))

@@ -92,7 +92,7 @@ def shard(
     while True:
         ranged = keys.mapInArrow(lookup(splitters), fields)
         sums = ranged.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()
-        overfull = {r["part"]: r["bytes"] for r in sums if r["rows"] > 1 and r["bytes"] > 3 * share + 2 * (1 << 20)}
+        overfull = {r["part"]: r["bytes"] for r in sums if r["rows"] > 1 and r["bytes"] > 3 * share}
         if not overfull:
             break
         # Overfull ranges get splitters of their own, drawn from their rows alone and more closely.
