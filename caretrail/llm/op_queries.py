@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from caretrail.llm.pieces import piece_digest
 from caretrail.llm.queries import query, table
 from caretrail.llm.secrets import secret_digest
 from caretrail.llm.sharding import shard
@@ -30,3 +31,8 @@ def sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_warc", WARC_SQL)
 def warc(spark: SparkSession, folder: str) -> DataFrame:
     return archive_digest(table(spark, folder, "pages"))
+
+
+@query("op7_sentencepiece")
+def sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_digest(table(spark, folder, "documents"))
