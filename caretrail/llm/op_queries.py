@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from caretrail.llm.pieces import piece_digest
+from caretrail.llm.quality import quality_scores
 from caretrail.llm.queries import query, table
 from caretrail.llm.secrets import secret_digest
 from caretrail.llm.sharding import shard
@@ -36,3 +37,8 @@ def warc(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_sentencepiece")
 def sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return piece_digest(table(spark, folder, "documents"))
+
+
+@query("op3_quality_classifier")
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
