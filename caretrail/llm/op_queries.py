@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from caretrail.llm.decontaminate import leaks
 from caretrail.llm.pieces import piece_digest
 from caretrail.llm.quality import quality_scores
 from caretrail.llm.queries import query, table
@@ -42,3 +43,8 @@ def sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_quality_classifier")
 def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op2_decontamination")
+def decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
