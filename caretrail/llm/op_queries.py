@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from caretrail.llm.decontaminate import leaks
+from caretrail.llm.near_vectors import near_vectors
 from caretrail.llm.pieces import piece_digest
 from caretrail.llm.quality import quality_scores
 from caretrail.llm.queries import query, table
@@ -48,3 +49,8 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_decontamination")
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op5_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(table(spark, folder, "embeddings"))
