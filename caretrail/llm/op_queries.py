@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caretrail.llm.decontaminate import leaks
 from caretrail.llm.near_vectors import near_vectors
+from caretrail.llm.ngram_join import document_components
 from caretrail.llm.pieces import piece_digest
 from caretrail.llm.quality import quality_scores
 from caretrail.llm.queries import query, table
@@ -54,3 +55,8 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_embedding_near_dedup")
 def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op9_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return document_components(table(spark, folder, "documents"))
