@@ -12,6 +12,7 @@ from caretrail.llm.quality import quality_scores
 from caretrail.llm.queries import query, table
 from caretrail.llm.secrets import secret_digest
 from caretrail.llm.sharding import shard
+from caretrail.llm.suffix_dedup import suffix_digest
 from caretrail.llm.url_filter import url_verdicts
 from caretrail.llm.warc import ORACLE as WARC_SQL
 from caretrail.llm.warc import archive_digest
@@ -60,3 +61,8 @@ def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_ngram_jaccard_join")
 def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return document_components(table(spark, folder, "documents"))
+
+
+@query("op1_suffix_array_dedup")
+def suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_digest(table(spark, folder, "documents"))
