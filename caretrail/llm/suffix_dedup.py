@@ -12,7 +12,9 @@ same place. Some one in ninety positions is an anchor, and it stands for a run o
    has a common prefix. The same is done for the contexts to the left, read backwards. The common prefixes of neighbours in
    both orders tell which windows of which anchors are equal.
 
-A string with very many different contexts is dealt in parts; what is unlike within its part is compared across parts by a
+A string with very many different contexts (the edge of a passage that many texts quote) is split by what its windows must have in
+common: those that reach so far to the left and so far to the right of the anchor are dealt by the content of just that stretch.
+Where even that leaves a crowd, it is dealt in parts, and what is unlike within its part is compared across parts by a
 hash of the window. Matches never cross texts, a text counts as often as it occurs, and strings are judged on the input.
 
 Defined cases: a null text is an empty one; texts shorter than `length` keep all bytes; repeated rows are documents of their own, so
@@ -36,7 +38,7 @@ from caretrail.llm.words import BASE, column_bytes, mixed, prefix_hashes, slices
 LENGTH = 200
 GRAM = 24
 SHALLOW = 4  # keys of eight bytes
-PART = 2_048  # contexts of one string that are sorted together
+PART = 1_024  # contexts of one string that are sorted together
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -222,10 +224,33 @@ def repeated(group: np.ndarray, left: np.ndarray, right: np.ndarray, nearest: np
 
 # --- the job -------------------------------------------------------------------------------------------------------
 
-CONTEXT = "k long, part int, parts int, tid long, place long, nearest int, farthest int, asks boolean, start long, context binary"
+CONTEXT = "k long, tid long, place long, nearest int, farthest int, asks boolean, start long, context binary"
+SORTED = "k long, part int, parts int, tid long, place long, nearest int, farthest int, asks boolean, start long, context binary"
 FLAG = "kind int, tid long, low long, high long, mark long, mark2 long, single boolean"
 
 
+def stretches(reach: int) -> list[tuple[int, int]]:
+    """Ranges of a window's distance before the anchor, narrow at both ends."""
+    cuts = sorted({0, reach // 22, reach * 2 // 11, reach // 2, reach - reach * 2 // 11, reach - reach // 22, reach + 1})
+    return [(a, b - 1) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def context_rows(state, tid: int, raw: bytes, length: int) -> Iterator[tuple]:
+    """The context of an anchor, whole, or for a string with a crowd of contexts by stretches, keyed by what windows of a stretch share."""
+    low, more, place = unpacked_at(state["at"])
+    asks, at = state["kind"] == 1, low + place
+    if not state["wide"]:
+        yield state["k"], tid, at, place - more, place, asks, low, raw[low : low + more + length]
+        return
+    for a, b in stretches(length - min(GRAM, length)):
+        nearest, farthest = max(a, place - more), min(b, place)
+        if nearest <= farthest:
+            shared = raw[at - a : at + length - b]
+            mark = hashlib.blake2b(shared, digest_size=8, key=f"{state['k']} {a}".encode()).digest()
+            begin = at - farthest
+            yield int.from_bytes(mark, "big", signed=True), tid, at, nearest, farthest, asks, begin, raw[begin : at - nearest + length]
+
+
 def settle(rows: list[tuple], length: int) -> pa.RecordBatch:
     """Windows of askers that repeat within their part (kind 1), and for strings in several parts each class of windows (kind 2)."""
     reach = length - min(GRAM, length)
@@ -340,17 +365,17 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, text: str = "text
     context = several.groupBy("k", "c").agg(F.sum(copies).alias("n"), F.min(F.struct("tid", "at")).alias("one"))
     context = scratch.store(context.select("k", "c", "n", "one.tid", "one.at"), "contexts")
     whole = held.where("same").select("tid", "at").unionByName(several.join(context.where("n > 1").select("k", "c"), ["k", "c"]).select("tid", "at"))
-    crowd = context.groupBy("k").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    sorted_out = context.join(crowd, "k").select("tid", "at", "k", "parts", F.pmod("c", "parts").cast("int").alias("part"), F.when(F.col("n") > 1, 2).otherwise(1).alias("kind"))
-    nothing = F.lit(0)
-    states = whole.withColumn("at", F.col("at").bitwiseAND(~255)).distinct().select("tid", "at", nothing.cast("long").alias("k"), nothing.alias("parts"), nothing.alias("part"), nothing.alias("kind"))
-    states = states.unionByName(sorted_out).groupBy("tid").agg(F.collect_list(F.struct("kind", "at", "k", "parts", "part")).alias("states"))  # those of one text
+    crowd = context.groupBy("k").agg((F.count("*") > PART).alias("wide"))
+    sorted_out = context.join(crowd, "k").select("tid", "at", "k", "wide", F.when(F.col("n") > 1, 2).otherwise(1).alias("kind"))
+    settled_whole = whole.withColumn("at", F.col("at").bitwiseAND(~255)).distinct()
+    states = settled_whole.select("tid", "at", F.lit(0).cast("long").alias("k"), F.lit(False).alias("wide"), F.lit(0).alias("kind"))
+    states = states.unionByName(sorted_out).groupBy("tid").agg(F.collect_list(F.struct("kind", "at", "k", "wide")).alias("states"))  # those of one text
     pending = scratch.store(_whole_texts(texts).join(states, "tid", "left"), "texts")
     scratch.drop("anchors")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in CONTEXT.split(", ")]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.binary()]
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 rows = []
@@ -358,12 +383,14 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, text: str = "text
                     raw = zlib.decompress(packed)
                     for s in own:
                         if s["kind"]:
-                            low, more, place = unpacked_at(s["at"])
-                            rows.append((s["k"], s["part"], s["parts"], tid, low + place, place - more, place, s["kind"] == 1, low, raw[low : low + more + length]))
+                            rows += context_rows(s, tid, raw, length)
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
 
     asked = pending.where(F.exists("states", lambda s: s["kind"] > 0))
-    flags = scratch.store(settled(asked.select("tid", "packed", "states").mapInArrow(contexts, CONTEXT), length), "flags")
+    dealt = scratch.store(asked.select("tid", "packed", "states").mapInArrow(contexts, CONTEXT), "dealt")
+    crowd = dealt.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
+    dealt = dealt.join(crowd, "k").withColumn("part", F.pmod(F.xxhash64("tid", "place"), "parts").cast("int"))
+    flags = scratch.store(settled(dealt.select(*[f.split()[0] for f in SORTED.split(", ")]), length), "flags")
     across = flags.where("kind = 2")
     twice = across.groupBy("mark", "mark2").agg(F.count("*").alias("n")).where("n > 1").select("mark", "mark2")
     across = across.where("single").join(twice, ["mark", "mark2"]).select("tid", "low", "high")

@@ -61,7 +61,7 @@ def test_equals_brute_force(spark, length):
 
 def test_string_with_many_contexts(spark, monkeypatch):
     """A passage in very many texts, so that its contexts are sorted in parts and compared across them."""
-    monkeypatch.setattr(suffix_dedup, "PART", 20)
+    monkeypatch.setattr(suffix_dedup, "PART", 12)
     dice = random.Random(7)
     passage = "".join(dice.choice("abcdefghijkl") for _ in range(60))
     word = lambda n: "".join(dice.choice("mnopqrst") for _ in range(n))
