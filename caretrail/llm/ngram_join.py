@@ -125,124 +125,143 @@ def signatures(sets: Sets, percent: int = PERCENT) -> Signed:
     return Signed(*(np.concatenate(c) for c in zip(*out, strict=True)))
 
 
-def _grouped(key: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of two or more equal values of a sorted array."""
-    ends = np.flatnonzero(np.r_[key[1:] != key[:-1], True]) + 1 if len(key) else np.zeros(0, np.int64)
-    starts = np.r_[0, ends[:-1]] if len(ends) else ends
-    for a, b in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
-        yield a, b
+@dataclass
+class Batch:
+    """Signatures of some texts in order, each with the index of its set and band in the list of `states`: node, band, spare."""
 
+    sign: np.ndarray
+    index: np.ndarray
+    states: np.ndarray
 
-def batch_signatures(column: pa.Array, shingle: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(signature, node, band and spare) of a batch of texts in order of the first two, without repeats."""
-    data, starts = column_bytes(column)
-    found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    for low, high in slices(starts):
-        sets = Sets(data[starts[low] : starts[high]], starts[low : high + 1] - starts[low], shingle)
-        signed = signatures(sets, percent)
-        found.append((signed.sign, sets.node[signed.row], signed.band << 32 | np.maximum(signed.spare, -1) + 1))
-    sign, node, state = (np.concatenate(c) for c in zip(*found, strict=True))
-    order = np.lexsort((node, sign))
-    sign, node, state = sign[order], node[order], state[order]
-    fresh = np.ones(len(sign), bool)
-    fresh[1:] = (sign[1:] != sign[:-1]) | (node[1:] != node[:-1])
-    return sign[fresh], node[fresh], state[fresh]
+    @property
+    def name(self) -> int:
+        """The same for the same texts, so that a task that is run again gives the same references."""
+        return int(mixed(np.add.reduce(mixed(self.states.ravel().view(np.uint64) + np.arange(self.states.size, dtype=np.uint64))) + BASE)) >> 17
 
 
-MET = "kind int, x long, y long, n long"  # kind 0: pair x, y; kind 1: node x in band and spare y has n signatures that many share
+def batches_of(column: pa.Array, shingle: int, percent: int, most: int = 8 << 20) -> Iterator[Batch]:
+    """Signatures of a column of texts, some megabytes at a time and copies among them once."""
+    data, starts = column_bytes(column)
+    for begin, end in slices(starts, most):
+        done, signs, indices, states, total = np.zeros(0, np.int64), [], [], [], 0
+        for low, high in slices(starts[begin : end + 1]):
+            low, high = low + begin, high + begin
+            sets = Sets(data[starts[low] : starts[high]], starts[low : high + 1] - starts[low], shingle)
+            node, first = np.unique(sets.node, return_index=True)
+            once = np.zeros(len(sets.size), bool)
+            once[first[~np.isin(node, done)]] = True
+            done = np.union1d(done, node)
+            signed = signatures(sets, percent)
+            keep = once[signed.row]
+            state = signed.row[keep] << 32 | signed.band[keep]
+            own, at, index = np.unique(state, return_index=True, return_inverse=True)
+            signs.append(signed.sign[keep])
+            indices.append(index + total)
+            states.append(np.stack([sets.node[own >> 32], own & 0xFFFFFFFF, np.maximum(signed.spare[keep][at], -1)], axis=1))
+            total += len(own)
+        sign, index, table = np.concatenate(signs), np.concatenate(indices), np.concatenate(states)
+        order = np.argsort(sign)
+        sign, index = sign[order], index[order]
+        for at in range(0, len(table), 1 << 16):  # an index has 16 bits
+            own = (index >= at) & (index < at + (1 << 16))
+            yield Batch(sign[own], index[own] - at, table[at : at + (1 << 16)])
+
+
+# kind 0: references x and y share a signature with few others; kind 1: x has y signatures that many share; kind 2: x stands for
+# the node y in band and spare z.
+MET = "kind int, x long, y long, z long"
+
+
+def _runs(sign: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of some sorted values where its run starts and how long that is."""
+    ends = np.flatnonzero(np.r_[sign[1:] != sign[:-1], True]) + 1 if len(sign) else np.zeros(0, np.int64)
+    size = np.diff(np.r_[0, ends])
+    return np.repeat(ends - size, size), np.repeat(size, size)
 
 
-def _met(pairs: np.ndarray, node: np.ndarray, state: np.ndarray) -> pa.RecordBatch:
-    crowded, n = np.unique(np.stack([node, state], axis=1), axis=0, return_counts=True)
-    both = np.concatenate([pairs, crowded])
-    kind = np.repeat(np.array([0, 1], np.int32), [len(pairs), len(crowded)])
-    n = np.concatenate([np.zeros(len(pairs), np.int64), n])
-    return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(n)], names=["kind", "x", "y", "n"])
+def _met(kind: int, *columns: np.ndarray) -> pa.RecordBatch:
+    columns = [*columns, *[np.zeros(len(columns[0]), np.int64)] * (3 - len(columns))]
+    arrays = [pa.array(np.full(len(columns[0]), kind, np.int32)), *(pa.array(c.astype(np.int64)) for c in columns)]
+    return pa.RecordBatch.from_arrays(arrays, names=["kind", "x", "y", "z"])
 
 
 def meetings(documents: DataFrame, buckets: int, shingle: int, percent: int) -> DataFrame:
     """What the sets share, as `MET` has it; pairs of a bucket once."""
 
-    def hot(sign: np.ndarray) -> np.ndarray:
-        mark = np.zeros(len(sign), bool)
-        for a, b in _grouped(sign):
-            if b - a > HOT:
-                mark[a + FEW + 1 : b] = True  # the first ones tell the bucket that it is a crowd
-        return mark
-
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
         for batch in batches:
-            sign, node, state = batch_signatures(batch.column(0), shingle, percent)
-            mark = hot(sign)
-            crowd = np.stack([node[mark], state[mark]], axis=1)  # goes to any bucket, with no entries
-            sign, node, state = sign[~mark], node[~mark], state[~mark]
-            bucket = (sign % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for k in range(buckets):
-                own = order[ends[k] : ends[k + 1]]
-                rows = [(k, b"", crowd[k::buckets].tobytes())] if len(crowd) > k else []
-                for at in range(0, len(own), 1 << 16):
-                    some = own[at : at + (1 << 16)]
-                    table, index = np.unique(np.stack([node[some], state[some]], axis=1), axis=0, return_inverse=True)
-                    entry = ((sign[some] // np.uint64(buckets)) << np.uint64(16)) | index.ravel().astype(np.uint64)
-                    rows.append((k, entry.tobytes(), table.tobytes()))
-                if rows:
-                    kinds = [pa.int32(), pa.binary(), pa.binary()]
-                    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["bucket", "entries", "nodes"])
+            for own in batches_of(batch.column(0), shingle, percent):
+                start, size = _runs(own.sign)
+                # Of a signature that is hot here some tell its bucket that it is a crowd; the others are counted at once.
+                rest = (size > HOT) & (np.arange(len(size)) - start > FEW)
+                crowd = np.stack(np.unique(own.index[rest], return_counts=True), axis=1)
+                sign, index = own.sign[~rest], own.index[~rest]
+                bucket = ((sign >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)  # grows with the signature
+                entry = (sign << np.uint64(16)) | index.astype(np.uint64)
+                ends = np.searchsorted(bucket, np.arange(buckets + 1))
+                rows = []
+                for k in range(buckets):
+                    table = own.states.tobytes() if k == own.name % buckets else b""
+                    counted = crowd[k::buckets].astype(np.int32).tobytes()
+                    if table or counted or ends[k + 1] > ends[k]:
+                        rows.append((k, own.name, entry[ends[k] : ends[k + 1]].tobytes(), counted, table))
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=["bucket", "name", "entries", "crowd", "states"])
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
         for batch in batches:
-            for bucket, entries, nodes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for bucket, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != at:
                     if held:
-                        yield _bucket(held)
+                        yield from _bucket(held)
                     at, held = bucket, []
-                held.append((entries, nodes))
+                held.append(row)
         if held:
-            yield _bucket(held)
+            yield from _bucket(held)
 
-    texts = documents.select("text")
-    dealt = texts.mapInArrow(packed, "bucket int, entries binary, nodes binary").repartition(buckets, "bucket")
+    dealt = documents.select("text").mapInArrow(packed, "bucket int, name long, entries binary, crowd binary, states binary").repartition(buckets, "bucket")
     return dealt.sortWithinPartitions("bucket").mapInArrow(met, MET)
 
 
-def _bucket(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-    """Pairs of the signatures of a bucket that few share, and counts of the others by node and band."""
-    crowd = np.concatenate([np.frombuffer(n, np.int64).reshape(-1, 2) for e, n in held if not e] or [np.zeros((0, 2), np.int64)])
-    held = [(e, n) for e, n in held if e] or [(b"", b"")]
-    entries = [np.frombuffer(e, np.uint64) for e, _ in held]
-    tables = [np.frombuffer(n, np.int64).reshape(-1, 2) for _, n in held]
-    rows = np.concatenate([t[(e & np.uint64(0xFFFF)).astype(np.int64)] for e, t in zip(entries, tables, strict=True)])
-    sign = np.concatenate(entries) >> np.uint64(16)
-    order = np.lexsort((rows[:, 0], sign))
-    sign, node, state = sign[order], rows[order, 0], rows[order, 1]
-    fresh = np.ones(len(sign), bool)
-    fresh[1:] = (sign[1:] != sign[:-1]) | (node[1:] != node[:-1])
-    sign, node, state = sign[fresh], node[fresh], state[fresh]
-    ends = np.flatnonzero(np.r_[sign[1:] != sign[:-1], True]) + 1 if len(sign) else np.zeros(0, np.int64)
-    size = np.diff(np.r_[0, ends])
-    start = np.repeat(ends - size, size)
-    many = np.repeat(size, size) > FEW
-    place = np.arange(len(sign))
+def _bucket(held: list[tuple[int, bytes, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+    """Pairs of the signatures of a bucket that few share, and counts of the others by reference."""
+    for name, _, counted, table in held:
+        if counted:
+            crowd = np.frombuffer(counted, np.int32).reshape(-1, 2).astype(np.int64)
+            yield _met(1, crowd[:, 0] | name << 16, crowd[:, 1])
+        if table:
+            state = np.frombuffer(table, np.int64).reshape(-1, 3)
+            yield _met(2, np.arange(len(state)) | name << 16, state[:, 0], state[:, 1] << 32 | state[:, 2] + 1)
+    entry = np.concatenate([np.frombuffer(e, np.uint64) for _, e, _, _ in held])
+    name = np.repeat(np.array([n for n, *_ in held], np.int64), [len(e) // 8 for _, e, _, _ in held])
+    order = np.argsort(entry)
+    entry = entry[order]
+    ref = name[order] << 16 | (entry & np.uint64(0xFFFF)).astype(np.int64)
+    start, size = _runs(entry >> np.uint64(16))
+    place, few = np.arange(len(size)), (size > 1) & (size <= FEW)
     pairs = [np.zeros((0, 2), np.int64)]
     for step in range(1, FEW):  # each with the one `step` before it
-        later = place[~many & (place - step >= start)]
-        pairs.append(np.stack([node[later], node[later - step]], axis=1))
-    crowd = np.concatenate([crowd, np.stack([node[many], state[many]], axis=1)])
-    return _met(np.unique(np.concatenate(pairs), axis=0), crowd[:, 0], crowd[:, 1])
-
-
-def cells_of(size: int) -> int:
-    return min(CELLS, max(64, 1 << int(size).bit_length()))
-
-
-def sketch(values: np.ndarray) -> bytes:
-    """Parity of the number of shingles in each of a power of two of cells, as many as the set has shingles or more."""
-    cells = cells_of(len(values))
-    counts = np.bincount((mixed(values) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
-    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+        later = place[few & (place - step >= start)]
+        pairs.append(np.stack([ref[later], ref[later - step]], axis=1))
+    both = np.concatenate(pairs)
+    both.sort(axis=1)
+    order = np.lexsort((both[:, 1], both[:, 0]))
+    both = both[order]
+    fresh = np.ones(len(both), bool)
+    fresh[1:] = (both[1:] != both[:-1]).any(axis=1)
+    yield _met(0, both[fresh, 0], both[fresh, 1])
+    yield _met(1, *np.unique(ref[size > FEW], return_counts=True))
+
+
+def sketches(sets: Sets) -> list[bytes]:
+    """Of each set the parity of the number of its shingles in each of a power of two of cells, about as many as shingles."""
+    cells = np.clip(1 << np.ceil(np.log2(sets.size + 1)).astype(np.int64), 64, CELLS)
+    offset = np.concatenate([[0], np.cumsum(cells)])
+    at = offset[sets.row] + (mixed(sets.hash) & (cells[sets.row] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(at, minlength=offset[-1]) & 1).astype(np.uint8)
+    raw = np.packbits(odd, bitorder="little").tobytes()
+    return [raw[a // 8 : b // 8] for a, b in zip(offset[:-1].tolist(), offset[1:].tolist(), strict=True)]
 
 
 def may_link(a: bytes, b: bytes, size_a: int, size_b: int, percent: int) -> bool:
@@ -334,12 +353,12 @@ def node_texts(documents: DataFrame, shingle: int) -> DataFrame:
             done: set[int] = set()
             for low, high in slices(starts):
                 sets = Sets(data[starts[low] : starts[high]], starts[low : high + 1] - starts[low], shingle)
-                rows = []
+                rows, sketch = [], sketches(sets)
                 for i in np.flatnonzero(sets.size).tolist():
                     if (node := int(sets.node[i])) not in done:
                         done.add(node)
                         raw = data[starts[low + i] : starts[low + i + 1]].tobytes()
-                        rows.append((node, int(sets.size[i]), sketch(sets.of(i)), zlib.compress(raw, 1)))
+                        rows.append((node, int(sets.size[i]), sketch[i], zlib.compress(raw, 1)))
                 kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
                 names = ["node", "size", "sketch", "packed"]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
@@ -393,10 +412,16 @@ def star_links(group: DataFrame, texts: DataFrame, scratch: Scratch, shingle: in
 def links(documents: DataFrame, scratch: Scratch, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(id, component) of the nodes of `documents` (column text) that are not the least of their component."""
     met = scratch.store(meetings(documents, bucket_count(documents.sparkSession, documents), shingle, percent), "met")
-    pairs = scratch.store(met.where("kind = 0").select("x", "y").distinct(), "pairs")
-    # y holds the band and, one up, how many parts the node can lose in it.
-    lost = met.where("kind = 1").groupBy("x", "y").agg(F.sum("n").alias("n"))
-    crowded = scratch.store(lost.where("n >= y & 4294967295").select(F.col("x").alias("node")).distinct(), "crowded")
+    state = met.where("kind = 2").select(F.col("x").alias("ref"), F.col("y").alias("node"), F.expr("z >> 32 AS band"), F.expr("(z & 4294967295) - 1 AS spare"))
+    pairs = met.where("kind = 0").select("x", "y").distinct()
+    for side in "xy":
+        named = state.select(F.col("ref").alias(side), F.col("node").alias(f"node_{side}"))
+        pairs = pairs.join(named, side)
+    pairs = pairs.select(F.greatest("node_x", "node_y").alias("x"), F.least("node_x", "node_y").alias("y")).where("x <> y")
+    pairs = scratch.store(pairs.distinct(), "pairs")
+    lost = met.where("kind = 1").groupBy(F.col("x").alias("ref")).agg(F.sum("y").alias("lost"))
+    crowded = lost.join(state, "ref").groupBy("node", "band").agg(F.sum("lost").alias("lost"), F.min("spare").alias("spare"))
+    crowded = scratch.store(crowded.where("lost > spare").select("node").distinct(), "crowded")
     wanted = pairs.select(F.explode(F.array("x", "y")).alias("node")).unionByName(crowded).distinct()
     # Copies meet in the partial aggregation of each task, so a hot text moves once a task.
     texts = node_texts(documents, shingle).groupBy("node").agg(*[F.first(c).alias(c) for c in ("size", "sketch", "packed")])
@@ -419,3 +444,30 @@ def document_components(documents: DataFrame, shingle: int = SHINGLE, percent: i
     return rooted.join(least, "root", "left").select(
         "doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), *keep
     )
+
+
+def one_of_each(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """`documents` with one row of each group: that of the least id, and of rows that repeat it the first by content.
+
+    Rows without an id stay unless their group has one; of a group without ids one row stays. Rows without words all stay.
+    The kept rows are marked beside the ids and row hashes, and only then joined to the rows.
+    """
+    scratch = Scratch(documents.sparkSession, "one-of-each")
+    columns = documents.columns
+    content = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns])
+    rows = documents.withColumn("__row", F.struct(*columns)).select("doc_id", "text", "__row", content.alias("__content"))
+    nodes = scratch.store(with_nodes(rows, ("doc_id", "__content"), shingle).select("doc_id", "__content", "node"), "nodes")
+    component = links(documents.select("text"), scratch, shingle, percent)
+    grouped = nodes.where("node IS NOT NULL").join(component, nodes["node"] == component["id"], "left")
+    grouped = grouped.select("doc_id", F.col("__content").alias("content"), F.coalesce("component", "node").alias("root"))
+    # Least id, then least content: a fixed-width aggregate each, so the tasks combine copies before they are moved.
+    least = grouped.groupBy("root").agg(F.min(F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("least"))
+    first = grouped.join(least, "root").where("coalesce(doc_id, 9223372036854775807) = least")
+    first = first.groupBy("root").agg(F.min("content").alias("__content"))
+    kept = first.select("__content").distinct()
+    empty = nodes.where("node IS NULL").select("__content").distinct()
+    marked = rows.join(kept.unionByName(empty).distinct(), "__content", "left_semi")
+    # Rows that are equal in every column: one of those with words, all of those without.
+    once = marked.join(empty, "__content", "left_anti").dropDuplicates(["__content"])
+    every = marked.join(empty, "__content", "left_semi")
+    return once.unionByName(every).select("__row.*")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from caretrail.llm.decontaminate import leaks
 from caretrail.llm.near_vectors import near_vectors
 from caretrail.llm.ngram_join import document_components
@@ -66,3 +67,8 @@ def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_suffix_array_dedup")
 def suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_digest(table(spark, folder, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)

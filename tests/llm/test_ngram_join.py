@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from caretrail.llm.ngram_join import Sets, bands, document_components, may_link, signatures, sketch
+from caretrail.llm.ngram_join import Sets, bands, document_components, may_link, one_of_each, signatures, sketches
 from caretrail.llm.words import column_bytes
 
 
@@ -83,6 +83,20 @@ def test_documents_equal_brute_force(spark):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in document_components(df).collect()), key=str) == brute(rows)
 
 
+def test_one_row_of_each_group_stays(spark):
+    rows = [(i, t) for i, t in corpus(random.Random(2)) if t != "never"]
+    df = spark.createDataFrame([(*r, "src", None) for r in rows], "doc_id long, text string, node string, content int").repartition(3)
+    out = [tuple(r) for r in one_of_each(df).collect()]
+    assert one_of_each(df).columns == df.columns and {r[2:] for r in out} == {("src", None)}
+    full = brute(rows)
+    with_id = {c for d, n, c in full if n and c is not None}
+    assert sorted(r[0] for r in out if shingles(r[1]) and r[0] is not None) == sorted(with_id)
+    assert sum(not shingles(r[1]) for r in out) == sum(not shingles(t) for _, t in rows)
+    assert not [r for r in out if shingles(r[1]) and r[0] is None]
+    lone = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (None, None)], "doc_id long, text string")
+    assert sorted(r.text or "" for r in one_of_each(lone).collect()) == ["", "a b c d e f"]
+
+
 def test_empty_table(spark):
     assert document_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
@@ -100,6 +114,7 @@ def test_linked_sets_share_as_many_signatures_as_promised(seed):
     data, starts = column_bytes(pa.array(texts))
     sets = Sets(data, starts)
     signed = signatures(sets)
+    parities = sketches(sets)
     own = [dict(zip(signed.sign[signed.row == i].tolist(), zip(signed.band[signed.row == i].tolist(), signed.spare[signed.row == i].tolist(), strict=True), strict=True)) for i in range(len(texts))]
     top, most, parts = bands(2000)
     for i in range(0, len(texts), 2):
@@ -109,5 +124,5 @@ def test_linked_sets_share_as_many_signatures_as_promised(seed):
             agreed = [k for k in own[i] if k in own[i + 1] and own[i][k][0] == band]
             assert len(agreed) > max(own[i][agreed[0]][1], own[i + 1][agreed[0]][1])
             assert len(a ^ b) <= most[band] < parts[band]
-        args = sketch(sets.of(i)), sketch(sets.of(i + 1)), len(a), len(b), 75
+        args = parities[i], parities[i + 1], len(a), len(b), 75
         assert may_link(*args) or 100 * len(a & b) < 75 * len(a | b)
