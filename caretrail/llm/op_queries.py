@@ -10,9 +10,10 @@ from caretrail.llm.near_vectors import near_vectors
 from caretrail.llm.ngram_join import document_components
 from caretrail.llm.pieces import piece_digest
 from caretrail.llm.quality import quality_scores
-from caretrail.llm.queries import query, table
+from caretrail.llm.queries import query
 from caretrail.llm.secrets import secret_digest
 from caretrail.llm.sharding import shard
+from caretrail.llm.stored import table
 from caretrail.llm.suffix_dedup import suffix_digest
 from caretrail.llm.url_filter import url_verdicts
 from caretrail.llm.warc import ORACLE as WARC_SQL

@@ -10,10 +10,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-
-
 def query(name: str, sql: str | None = None):
     def register(run: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = run

@@ -1,4 +1,4 @@
-"""Tables written once into the cluster's shared folder, so that later stages neither recompute them nor lose them."""
+"""Given tables, and tables written once into the cluster's shared folder, so that later stages neither recompute them nor lose them."""
 
 from __future__ import annotations
 
@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from caretrail.session import checkpoint_dir
 
 
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
 class Scratch:
     """A folder of its own below `spark.checkpoint.dir` for the written tables of one operator run."""
 

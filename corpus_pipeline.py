@@ -14,9 +14,8 @@ from caretrail.llm.decontaminate import without_leaks
 from caretrail.llm.ngram_join import one_of_each
 from caretrail.llm.pieces import Pieces, with_pieces
 from caretrail.llm.quality import keep_good
-from caretrail.llm.queries import table
 from caretrail.llm.secrets import mask_secrets
-from caretrail.llm.stored import Scratch
+from caretrail.llm.stored import Scratch, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
