@@ -360,6 +360,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, text: str = "text
     # Strings that occur again; `same`: always in the same context.
     again = found.select("k", "c", copies.alias("n")).groupBy("k").agg(F.sum("n").alias("n"), F.min("c").alias("low"), F.max("c").alias("high"))
     again = again.where("n > 1").select("k", (F.col("low") == F.col("high")).alias("same"))
+    again = scratch.store(again, "again")  # as a table of its own both sides of the join are dealt anew, so Spark splits hot strings
     held = scratch.store(found.join(again, "k"), "anchors")
     several = held.where("NOT same")
     context = several.groupBy("k", "c").agg(F.sum(copies).alias("n"), F.min(F.struct("tid", "at")).alias("one"))
