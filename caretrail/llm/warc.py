@@ -78,11 +78,11 @@ def record(page_id: int | None, url: str | None, html: str | None, sha1: str, fi
     return "\r\n".join(lines) + http + ("" if revisit else payload) + "\r\n"
 
 
-def write_archives(pages: DataFrame, folder: str, records_per_file: int = 2_000) -> None:
-    """Archives (.gz) of all pages below `folder`. The largest page_id of a payload is an aggregate with a map-side combine;
-    the join back to the pages is one that Spark splits where a payload is hot."""
+def write_archives(pages: DataFrame, scratch: Scratch, records_per_file: int = 2_000) -> None:
+    """Archives (.gz) of all pages below `scratch`, as `archives`. The largest page_id of a payload is an aggregate with a map-side
+    combine; it is stored, so that Spark deals both sides of the join to the pages and splits hot payloads."""
     page = pages.select("page_id", "url", "html", F.sha1(F.encode(F.coalesce("html", F.lit("")), "UTF-8")).alias("sha1"))
-    first = page.groupBy("sha1").agg(F.max("page_id").alias("first"))
+    first = scratch.store(page.groupBy("sha1").agg(F.max("page_id").alias("first")), "first")
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,7 +93,7 @@ def write_archives(pages: DataFrame, folder: str, records_per_file: int = 2_000)
     joined = page.join(first, "sha1").select("page_id", "url", "html", "sha1", "first")
     joined.mapInArrow(records, "value string").write.option("lineSep", "\r\n").option("compression", "gzip").option(
         "maxRecordsPerFile", records_per_file
-    ).text(folder)
+    ).text(scratch.path("archives"))
 
 
 def _chunks(values: Iterator[str], most: int) -> Iterator[list[str]]:
@@ -271,7 +271,7 @@ def archive_and_index(pages: DataFrame) -> DataFrame:
     """Write all pages as archives, read them back, and return the merged index of captures."""
     spark = pages.sparkSession
     scratch = Scratch(spark, "warc")
-    write_archives(pages, scratch.path("archives"))
+    write_archives(pages, scratch)
     runs = scratch.store(read_archives(spark, scratch.path("archives")), "runs")
     return merge_index(runs).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "segment", "position"

@@ -48,8 +48,8 @@ def test_index_is_in_global_order(spark):
     rows += [(i, "http://hot.com/", "hot") for i in range(3000, 4500)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
     scratch = Scratch(spark, "test-warc")
-    write_archives(df, scratch.path("a"), records_per_file=150)
-    runs = scratch.store(read_archives(spark, scratch.path("a")), "runs")
+    write_archives(df, scratch, records_per_file=150)
+    runs = scratch.store(read_archives(spark, scratch.path("archives")), "runs")
     out = merge_index(runs, range_rows=300).collect()
     assert len({r.archive for r in out}) > 20
     keys = [key(tuple(r[c] for c in COLUMNS)) for r in sorted(out, key=lambda r: (r.segment, r.position))]
