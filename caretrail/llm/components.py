@@ -43,15 +43,16 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "components") ->
 
     Edges run from the greater id to the lesser. A round moves each edge to what its lesser end points at (large star), then
     links all that an id points at to the least of them (small star); both are an aggregate with a map-side combine and
-    a join whose hot keys Spark can split. Rounds are logarithmic in the number of ids, and none holds a component in one place.
+    a join. The aggregates are stored, so that both sides of a join are dealt anew and Spark splits hot ids. Rounds are logarithmic in the number of ids, and none holds a component in one place.
     """
     edge = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
     edge = scratch.store(edge.mapInArrow(forest, EDGES).distinct(), f"{name}-0")
     for turn in range(1, 100):
-        least = edge.groupBy("a").agg(F.min("b").alias("m"))
+        least = scratch.store(edge.groupBy("a").agg(F.min("b").alias("m")), f"{name}-{turn}-up")
         up = edge.join(least.select(F.col("a").alias("b"), "m"), "b", "left")
         large = up.select("a", F.coalesce("m", "b").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = scratch.store(large, f"{name}-{turn}-large")
+        least = scratch.store(large.groupBy("a").agg(F.min("b").alias("m")), f"{name}-{turn}-down")
         both = large.join(least, "a").select(
             F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
         )

@@ -185,6 +185,7 @@ def near_vectors(
     homes = placed.withColumn("cell", F.col("home"))
     blocks = homes.groupBy(*key).agg(F.ceil(F.count("*") / block).cast("int").alias("home_blocks"))
     blocks = blocks.join(asks.groupBy(*key).agg(F.ceil(F.count("*") / block).cast("int").alias("ask_blocks")), key)
+    blocks = scratch.store(blocks, "blocks")  # both sides of the joins with it are dealt anew, so Spark splits hot cells
     mine = lambda n: F.pmod(F.xxhash64("row"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     fields = [*key, "home_block", "ask_block", "kind", "row", "vec_id", "vector"]

@@ -385,7 +385,7 @@ def single_shingles(texts: DataFrame, scratch: Scratch, shingle: int, percent: i
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["sign", "node", "size"])
 
     own = scratch.store(texts.select("node", "packed").mapInArrow(run, "sign long, node long, size long"), "shingles")
-    common = own.groupBy("sign").agg(F.count("*").alias("n")).where("n > 1")
+    common = scratch.store(own.groupBy("sign").agg(F.count("*").alias("n")).where("n > 1"), "common")
     # A shingle of one node pairs nothing and stands before all shared ones, so counting from the frequent end skips it.
     shared = own.join(common, "sign")
     rank = Window.partitionBy("node").orderBy(F.col("n").desc(), F.col("sign").desc())
@@ -395,15 +395,18 @@ def single_shingles(texts: DataFrame, scratch: Scratch, shingle: int, percent: i
 
 
 def star_links(group: DataFrame, texts: DataFrame, scratch: Scratch, shingle: int, percent: int) -> DataFrame:
-    """Links that connect what the members of each sign, however many, are connected by."""
-    centre = group.groupBy("sign").agg(F.min("node").alias("y"), F.count("*").alias("n")).where("n > 1")
+    """Links that connect what the members of each sign, however many, are connected by.
+
+    What is counted by sign is stored before it is joined: both sides are then dealt anew, and Spark splits hot signs.
+    """
+    centre = scratch.store(group.groupBy("sign").agg(F.min("node").alias("y"), F.count("*").alias("n")).where("n > 1"), "centres")
     spoke = group.join(centre, "sign").select(F.col("node").alias("x"), "y").where("x <> y").distinct()
     first = scratch.store(verified(spoke, texts, shingle, percent), "spokes")
     component = components(first.select(F.col("x").alias("a"), F.col("y").alias("b")), scratch, "stars")
     named = group.join(component, group["node"] == component["id"], "left").select("sign", "node", F.coalesce("component", "node").alias("component"))
     named = scratch.store(named, "named")
     apart = named.groupBy("sign").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("sign")
-    named = named.join(apart, "sign", "left_semi")
+    named = scratch.store(named.join(scratch.store(apart, "apart"), "sign", "left_semi"), "mixed")
     x, y = (named.select("sign", F.col("node").alias(s), F.col("component").alias(f"c{s}")) for s in "xy")
     pairs = x.join(y, "sign").where("cx > cy").select("x", "y").distinct()
     return first.unionByName(verified(pairs, texts, shingle, percent))
@@ -440,7 +443,7 @@ def document_components(documents: DataFrame, shingle: int = SHINGLE, percent: i
     rooted = rows.join(component, rows["node"] == component["id"], "left").select(
         "doc_id", "n_shingles", *keep, F.coalesce("component", "node").alias("root")
     )
-    least = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
+    least = scratch.store(rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
     return rooted.join(least, "root", "left").select(
         "doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), *keep
     )
@@ -461,7 +464,8 @@ def one_of_each(documents: DataFrame, shingle: int = SHINGLE, percent: int = PER
     grouped = nodes.where("node IS NOT NULL").join(component, nodes["node"] == component["id"], "left")
     grouped = grouped.select("doc_id", F.col("__content").alias("content"), F.coalesce("component", "node").alias("root"))
     # Least id, then least content: a fixed-width aggregate each, so the tasks combine copies before they are moved.
-    least = grouped.groupBy("root").agg(F.min(F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("least"))
+    grouped = scratch.store(grouped, "grouped")
+    least = scratch.store(grouped.groupBy("root").agg(F.min(F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("least")), "least")
     first = grouped.join(least, "root").where("coalesce(doc_id, 9223372036854775807) = least")
     first = first.groupBy("root").agg(F.min("content").alias("__content"))
     kept = first.select("__content").distinct()
