@@ -309,7 +309,7 @@ def infants(t: Tables) -> DataFrame:
 
 
 _hei_rows = f"""(SELECT h.*, l.county, m.period_end, CAST(DATE_TRUNC('month', m.period_end) AS DATE) AS period_start, z.last_pcr_1_date, z.last_pcr_2_date, z.last_pcr_3_date FROM hei h
-  JOIN {ends('month', pg.MONTHS)} m ON h.encounter_date <= m.period_end AND (next_clinical_datetime IS NULL OR next_clinical_datetime > m.period_end)
+  JOIN {ends('month')} m ON h.encounter_date <= m.period_end AND (next_clinical_datetime IS NULL OR next_clinical_datetime > m.period_end)
   JOIN (SELECT person_id, hiv_dna_pcr_1_date AS last_pcr_1_date, hiv_dna_pcr_2_date AS last_pcr_2_date, hiv_dna_pcr_3_date AS last_pcr_3_date FROM hei WHERE next_encounter_datetime IS NULL) z ON z.person_id = h.person_id
   LEFT JOIN location l ON l.location_id = h.location_id WHERE is_clinical = 1)"""
 
@@ -361,7 +361,7 @@ def prep(t: Tables) -> DataFrame:
 
 
 _prep_cols = ", ".join(x for x in pg.PREP_COLUMNS if x != "person_id")
-_prep_rows = f"""(SELECT *, CAST(DATE_TRUNC('month', period_end) AS DATE) AS period_start FROM {as_of('prep', 'encounter_date', 'encounter_date DESC, encounter_id DESC', 'month', pg.MONTHS, _prep_cols)})"""
+_prep_rows = f"""(SELECT *, CAST(DATE_TRUNC('month', period_end) AS DATE) AS period_start FROM {as_of('prep', 'encounter_date', 'encounter_date DESC, encounter_id DESC', 'month', None, _prep_cols)})"""
 
 
 @check("m25_prep_monthly_report", "M25 E8 N2 Z6", f"SELECT {', '.join(pg.prep_month_columns())} FROM {staged(_prep_rows, pg.prep_month_rules(DuckText))}")
@@ -370,7 +370,7 @@ def prep_months(t: Tables) -> DataFrame:
 
 
 _exits = "(SELECT p.*, (SELECT MIN(s.encounter_date) FROM spine s WHERE s.person_id = p.person_id AND s.encounter_type = 21 AND s.encounter_date > p.encounter_date) AS exit_date FROM prep p WHERE encounter_type <> 21)"
-_prep_weeks = f"""(SELECT *, period_end - 6 AS period_start, rtc_date + CAST((6 - DAYOFWEEK(rtc_date)) AS INTEGER) AS rtc_week_end FROM {as_of(_exits, 'encounter_date', 'encounter_date DESC, encounter_id DESC', 'week', pg.WEEKS, _prep_cols + ', exit_date')})"""
+_prep_weeks = f"""(SELECT *, period_end - 6 AS period_start, rtc_date + CAST((6 - DAYOFWEEK(rtc_date)) AS INTEGER) AS rtc_week_end FROM {as_of(_exits, 'encounter_date', 'encounter_date DESC, encounter_id DESC', 'week', None, _prep_cols + ', exit_date')})"""
 
 
 @check("m24_prep_weekly_report", "M24 E8 E15 J13 N2", f"SELECT {', '.join(pg.prep_week_columns())} FROM {staged(_prep_weeks, pg.prep_week_rules(DuckText))}")

@@ -277,7 +277,7 @@ def outer_merge(t: Tables) -> DataFrame:
     return labs_and_orders_by_day(*_lab_days(t))
 
 
-MONTHS = "months AS (SELECT LAST_DAY(CAST(d AS DATE)) AS period_end FROM GENERATE_SERIES(DATE '1995-01-01', DATE '2001-12-01', INTERVAL 1 MONTH) AS g(d))"
+MONTHS = "months AS (SELECT LAST_DAY(CAST(d AS DATE)) AS period_end FROM GENERATE_SERIES((SELECT CAST(DATE_TRUNC('month', MIN(encounter_date)) AS DATE) FROM encounter), (SELECT MAX(encounter_date) FROM encounter), INTERVAL 1 MONTH) AS g(d))"
 NEXT = "nx AS (SELECT encounter_id, person_id, encounter_date, location_id, rtc_date, LEAD(encounter_date) OVER (PARTITION BY person_id ORDER BY encounter_date, day_rank, encounter_id) AS next_date FROM spine WHERE is_clinical = 1)"
 
 
@@ -291,7 +291,7 @@ def validity(t: Tables) -> DataFrame:
 
     df = measured(t).filter("is_clinical = 1")
     df = by_timeline(df, lambda x, line: line.scan(x, next_date=following(c("encounter_date"))), t.hot_persons)
-    out = periods.valid_in_period(df, "month", c("encounter_date"), c("next_date"), "1995-01-01", "2001-12-31")
+    out = periods.valid_in_period(df, "month", c("encounter_date"), c("next_date"), *t.horizon("month"))
     return out.select("period_end", "person_id", "encounter_id")
 
 
@@ -304,14 +304,14 @@ def validity(t: Tables) -> DataFrame:
 )
 def as_of(t: Tables) -> DataFrame:
     programs = t.patient_program.select("person_id", "patient_program_id", "program_id", "date_enrolled")
-    out = periods.as_of(programs, "month", "date_enrolled", ["person_id"], ["date_enrolled", "patient_program_id"], "1995-01-01", "2001-12-31")
+    out = periods.as_of(programs, "month", "date_enrolled", ["person_id"], ["date_enrolled", "patient_program_id"], *t.horizon("month"))
     return out.select("period_end", "person_id", "patient_program_id", "program_id")
 
 
 @check(
     "e10_weekly_validity_latest",
     "E10",
-    f"""WITH weeks AS (SELECT CAST(d AS DATE) AS period_end FROM GENERATE_SERIES(DATE '1999-12-25', DATE '2001-06-30', INTERVAL 7 DAY) AS g(d)), {NEXT},
+    f"""WITH weeks AS (SELECT CAST(d AS DATE) AS period_end FROM GENERATE_SERIES((SELECT MIN(encounter_date) + CAST((6 - DAYOFWEEK(MIN(encounter_date))) AS INTEGER) FROM encounter), (SELECT MAX(encounter_date) + 6 FROM encounter), INTERVAL 7 DAY) AS g(d)), {NEXT},
      v AS (SELECT period_end, person_id, encounter_id, ROW_NUMBER() OVER (PARTITION BY period_end, person_id ORDER BY encounter_date DESC, encounter_id DESC) AS n FROM nx
        JOIN weeks ON encounter_date <= period_end AND (next_date IS NULL OR next_date > period_end OR rtc_date > period_end))
     SELECT period_end, person_id, encounter_id FROM v WHERE n = 1""",
@@ -322,7 +322,7 @@ def weekly(t: Tables) -> DataFrame:
     df = measured(t).filter("is_clinical = 1")
     df = by_timeline(df, lambda x, line: line.scan(x, next_date=following(c("encounter_date"))), t.hot_persons)
     until = F.when(c("next_date").isNotNull(), F.greatest("next_date", "rtc_date"))
-    out = periods.valid_in_period(df, "week", c("encounter_date"), until, "1999-12-20", "2001-06-30")
+    out = periods.valid_in_period(df, "week", c("encounter_date"), until, *t.horizon("week"))
     out = out.select("period_end", "person_id", "encounter_date", "encounter_id")
     return agg.latest_per(out, ["period_end", "person_id"], ["encounter_date", "encounter_id"]).drop("encounter_date")
 

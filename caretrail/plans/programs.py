@@ -30,8 +30,7 @@ from caretrail.plans.spine import encounters
 from caretrail.sources.tables import Tables, live
 
 c = F.col
-MONTHS = ("1998-01-01", "2001-12-31")
-WEEKS = ("2000-01-01", "2001-06-30")
+Span = tuple[str, str]
 
 
 def fact_events(t: Tables, facts: dict[str, Fact], questions: list, types: tuple[int, ...] | None = None) -> DataFrame:
@@ -197,13 +196,14 @@ def infant_month_columns() -> list[str]:
     return head + [n for stage in infant_rules(SparkText) for n in stage]
 
 
-def infant_monthly(t: Tables) -> DataFrame:
-    """Monthly infant indicators: the row in force, with the PCR dates known on the infant's last row."""
+def infant_monthly(t: Tables, span: Span | None = None) -> DataFrame:
+    """Monthly infant indicators: the row in force, with the PCR dates known on the infant's last row; all months if no span is given."""
+    span = span or t.horizon("month")
     rows = infant_summary(t)
     last = rows.filter("next_encounter_datetime IS NULL").select(
         "person_id", *[c(f"hiv_dna_pcr_{i}_date").alias(f"last_pcr_{i}_date") for i in (1, 2, 3)]
     )
-    df = valid_in_period(rows.filter("is_clinical = 1"), "month", c("encounter_date"), c("next_clinical_datetime"), *MONTHS)
+    df = valid_in_period(rows.filter("is_clinical = 1"), "month", c("encounter_date"), c("next_clinical_datetime"), *span)
     df = df.join(last, "person_id").join(t.location.select("location_id", "county"), "location_id", "left")
     df = df.withColumn("period_start", F.trunc("period_end", "month").cast("date"))
     return add_rules(df, infant_rules(SparkText)).select(*infant_month_columns())
@@ -357,9 +357,10 @@ def prep_month_columns() -> list[str]:
     return ["person_id", "period_end", "encounter_id", "location_id", "cur_prep_meds_names"] + [n for s in prep_month_rules(SparkText) for n in s]
 
 
-def prep_monthly(t: Tables) -> DataFrame:
-    """Latest prophylaxis row per patient and month end. Months of different years stay apart."""
-    df = as_of(prep_summary(t), "month", "encounter_date", ["person_id"], ["encounter_date", "encounter_id"], *MONTHS)
+def prep_monthly(t: Tables, span: Span | None = None) -> DataFrame:
+    """Latest prophylaxis row per patient and month end, all months if no span is given. Months of different years stay apart."""
+    span = span or t.horizon("month")
+    df = as_of(prep_summary(t), "month", "encounter_date", ["person_id"], ["encounter_date", "encounter_id"], *span)
     df = df.withColumn("period_start", F.trunc("period_end", "month").cast("date"))
     return add_rules(df, prep_month_rules(SparkText)).select(*prep_month_columns())
 
@@ -392,12 +393,13 @@ def prep_week_columns() -> list[str]:
     return ["person_id", "period_end", "encounter_id", "location_id", "exit_date"] + [n for s in prep_week_rules(SparkText) for n in s]
 
 
-def prep_weekly(t: Tables) -> DataFrame:
-    """Latest prophylaxis row per patient and week, with the first exit after that row."""
+def prep_weekly(t: Tables, span: Span | None = None) -> DataFrame:
+    """Latest prophylaxis row per patient and week, with the first exit after that row; all weeks if no span is given."""
+    span = span or t.horizon("week")
     rows = prep_summary(t).filter(c("encounter_type") != PREP_EXIT_TYPE)
     exits = encounters(t).filter(c("encounter_type") == PREP_EXIT_TYPE).select("person_id", c("encounter_date").alias("exit_on"))
     rows = first_after(rows, exits, "person_id", "encounter_date", "exit_on", "exit_date", t.hot_persons)
-    df = as_of(rows, "week", "encounter_date", ["person_id"], ["encounter_date", "encounter_id"], *WEEKS)
+    df = as_of(rows, "week", "encounter_date", ["person_id"], ["encounter_date", "encounter_id"], *span)
     df = df.withColumn("period_start", F.date_sub("period_end", 6))
     df = df.withColumn("rtc_week_end", F.date_add("rtc_date", 7 - F.dayofweek("rtc_date")))
     return add_rules(df, prep_week_rules(SparkText)).select(*prep_week_columns())

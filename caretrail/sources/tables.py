@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from caretrail.operators.timeline import hot_keys
 from caretrail.sources.views import BASE, VIEWS, answer_rows_sql
 
 _SCHEMA_MEMO: dict[tuple[str, str], StructType] = {}
+_SPAN_MEMO: dict[tuple[str, str], tuple] = {}
 _HOT_MEMO: dict[tuple[str, str, str], list] = {}
 
 
@@ -70,6 +73,19 @@ class Tables:
             return self.view(name)
         raise AttributeError(name)
 
+    def horizon(self, unit: str) -> tuple[str, str]:
+        """First day of the encounters, and the end of the last period (month, week or day) that has one."""
+        memo = (self.spark.sparkContext.applicationId, self.folder)
+        if memo not in _SPAN_MEMO:
+            _SPAN_MEMO[memo] = self.encounter.agg(F.min("encounter_date"), F.max("encounter_date")).first()
+        first, last = (d or dt.date(1900, 1, 1) for d in _SPAN_MEMO[memo])
+        end = {
+            "month": (last.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1),
+            "week": last + dt.timedelta(days=(5 - last.weekday()) % 7),
+            "day": last,
+        }[unit]
+        return str(first), str(end)
+
     def answers(self, questions: list[tuple[int, str, int]]) -> DataFrame:
         return self._sql(answer_rows_sql(questions), ["lineitem", "orders"])
 
