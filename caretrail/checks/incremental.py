@@ -95,7 +95,7 @@ def cascade(t: Tables) -> DataFrame:
 def streamed(t: Tables) -> DataFrame:
     """Drain the event files as a stream into a shared folder, each event once, and count what arrived."""
     folder = f"{checkpoint_dir(t.spark)}/stream-{uuid.uuid4().hex}"
-    events = st.lab_events(st.event_stream(t.spark, f"{t.folder}/events*.parquet"), late="40 days")
+    events = st.lab_events(st.event_stream(t.spark, f"{t.folder}/events*.parquet"))
     st.append_to(events, f"{folder}/rows", f"{folder}/progress").awaitTermination()
     landed = t.spark.read.parquet(f"{folder}/rows")
     return landed.groupBy(c("obs_date").alias("day"), "concept_id").agg(

@@ -75,7 +75,7 @@ _combos = ", ".join(f"('{k}', {v})" for k, vs in rg.COMBINATIONS.items() for v i
 @check(
     "j04_expand_combinations",
     "J4",
-    f"""WITH {DRUG_LISTS}, u AS (SELECT person_id, UNNEST(codes[1:4]) AS code FROM l),
+    f"""WITH {DRUG_LISTS}, u AS (SELECT person_id, UNNEST(codes) AS code FROM l),
      e AS (SELECT DISTINCT person_id, COALESCE(v, CAST(u.code AS INTEGER)) AS part FROM u LEFT JOIN (VALUES {_combos}) AS k(code, v) ON k.code = u.code)
     SELECT person_id, STRING_AGG(CAST(part AS VARCHAR), ' ## ' ORDER BY part) AS components FROM e GROUP BY person_id""",
 )

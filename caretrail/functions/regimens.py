@@ -128,11 +128,11 @@ def components_of(codes: Column) -> Column:
     return null_if_empty(F.array_join(parts, SEPARATOR))
 
 
-def expand_combinations(codes: Column, most: int = 4) -> Column:
-    """Distinct component codes of the first `most` codes, in numeric order, joined as one text."""
+def expand_combinations(codes: Column) -> Column:
+    """Distinct component codes of all codes, in numeric order, joined as one text."""
     table = F.create_map(*[x for k, v in COMBINATIONS.items() for x in (F.lit(str(k)), F.array(*[F.lit(c) for c in v]))])
     single = lambda c: F.coalesce(F.try_element_at(table, c), F.array(c.try_cast("int")))
-    flat = F.flatten(F.transform(F.slice(codes, 1, most), single))
+    flat = F.flatten(F.transform(codes, single))
     return F.array_join(F.transform(F.array_sort(F.array_distinct(flat)), lambda c: c.cast("string")), SEPARATOR)
 
 

@@ -18,7 +18,7 @@ def _literal(text: str) -> str:
 def title_case(text: Column) -> Column:
     """Lower case, with the first letter or digit after any punctuation or blank capitalised."""
     words = F.regexp_extract_all(F.lower(text), F.lit(r"""([^ ()\[\]{},.\-_'!@;:?/]+|[ ()\[\]{},.\-_'!@;:?/]+)"""), 1)
-    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 10_000))), "")
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w)))), "")
 
 
 def full_name(*parts: Column) -> Column:

@@ -179,16 +179,16 @@ def _as_carried(look: Look) -> Look:
     return look
 
 
-def hot_keys(df: DataFrame, key: str, rows: int | None = None, most: int = 10_000) -> list:
-    """Keys with more rows than one task should walk, largest first.
+def hot_keys(df: DataFrame, key: str, rows: int | None = None) -> list:
+    """All keys with more rows than one task should walk.
 
-    The count is combined map-side and at most `most` keys reach the driver; any key beyond those holds fewer rows
-    than all of them, which is below 1/most of the data.
+    The count is combined map-side. There are fewer such keys than rows of the table divided by `rows`: at the default of two
+    million, half a million for a table of 10^12 rows.
     """
     if rows is None:
         rows = int(df.sparkSession.conf.get("caretrail.hot.rows", "2000000"))
-    counts = df.groupBy(key).count().filter(F.col("count") > rows)
-    return [r[0] for r in counts.orderBy(F.col("count").desc()).limit(most).collect()]
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > rows)
+    return [r[0] for r in counts.select(key).collect()]
 
 
 def by_timeline(
@@ -202,9 +202,10 @@ def by_timeline(
     """Run a chain of timeline steps, with hot keys walked in blocks of the leading order column."""
     if not hot:
         return build(df, Timeline(key, order))
-    is_hot = F.col(key[0]).isin(list(hot))
-    usual = build(df.filter(~is_hot), Timeline(key, order))
-    split = build(df.filter(is_hot), Timeline(key, order, block or order[0]))
+    # As many keys as hot_keys promises at most, so they go to every task as a table, not as a literal list.
+    keys = F.broadcast(df.sparkSession.createDataFrame([(k,) for k in hot], df.select(key[0]).schema))
+    usual = build(df.join(keys, key[0], "left_anti"), Timeline(key, order))
+    split = build(df.join(keys, key[0], "left_semi"), Timeline(key, order, block or order[0]))
     return usual.unionByName(split)
 
 

@@ -1,7 +1,8 @@
 """Keeping datasets current from streams of source events.
 
 A micro-batch only says which persons changed. The persons are recomputed from the stored sources, so a late, repeated
-or corrected event needs no state of its own, and a batch that is retried writes the same result.
+or corrected event needs no state of its own, however late it is, and a batch that is retried writes the same result.
+Repeated deliveries are dropped where events are stored, by their key, not by a watermark.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ def event_stream(spark: SparkSession, path: str, schema: str = EVENT_SCHEMA, fil
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def lab_events(stream: DataFrame, late: str = "2 days") -> DataFrame:
-    """Laboratory events of a stream: repeated deliveries within the watermark are dropped."""
+def lab_events(stream: DataFrame) -> DataFrame:
+    """Laboratory events of a stream, late and repeated ones among them."""
     concept = (
         F.when(F.col("event_type") == "purchase", 856)
         .when(F.col("event_type") == "view", 5497)
@@ -32,17 +33,13 @@ def lab_events(stream: DataFrame, late: str = "2 days") -> DataFrame:
         .when(F.col("event_type") == "signup", 1030)
         .otherwise(9239)
     )
-    return (
-        stream.withWatermark("ts", late)
-        .dropDuplicatesWithinWatermark(["event_id"])
-        .select(
-            F.col("event_id").alias("obs_id"),
-            F.col("user_id").alias("person_id"),
-            F.col("ts").alias("obs_datetime"),
-            F.to_date(F.convert_timezone(None, F.lit("UTC"), F.col("ts").cast("timestamp_ntz"))).alias("obs_date"),
-            concept.alias("concept_id"),
-            F.col("value").alias("value_numeric"),
-        )
+    return stream.select(
+        F.col("event_id").alias("obs_id"),
+        F.col("user_id").alias("person_id"),
+        F.col("ts").alias("obs_datetime"),
+        F.to_date(F.convert_timezone(None, F.lit("UTC"), F.col("ts").cast("timestamp_ntz"))).alias("obs_date"),
+        concept.alias("concept_id"),
+        F.col("value").alias("value_numeric"),
     )
 
 
@@ -54,9 +51,22 @@ def windowed_counts(events: DataFrame, width: str = "1 day") -> DataFrame:
 
 
 def append_to(events: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Append a stream to a folder; without an interval it drains what is there and ends."""
-    writer = events.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
-    return _start(writer, every)
+    """Append the events of a stream that a folder does not hold yet; without an interval it drains what is there and ends.
+
+    Events lie by day, so a batch is held against the days it has events of. A repeated delivery has the key and the day of
+    the first one.
+    """
+
+    def one_batch(batch: DataFrame, _: int) -> None:
+        fresh, spark = batch.dropDuplicates(["obs_id", "obs_date"]), batch.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+            held = spark.read.schema(batch.schema).parquet(path).select("obs_id", "obs_date")
+            days = batch.select("obs_date").distinct()
+            fresh = fresh.join(held.join(days, "obs_date", "left_semi"), ["obs_id", "obs_date"], "left_anti")
+        fresh.write.mode("append").partitionBy("obs_date").parquet(path)
+
+    return _start(events.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint), every)
 
 
 def keep_current(

@@ -124,3 +124,9 @@ def test_stream_recomputes_persons_once_per_event(spark, store, tmp_path):
     run()
     refresh()
     assert sorted(map(tuple, store.read("totals").collect())) == [(0, 4, 18.0), (1, 4, 22.0), (2, 5, 126.0)]
+    # One event years before all others, in a batch of its own, together with a repeat.
+    late = (500, dt.datetime(2019, 3, 1), 0, "purchase", 1000.0, "{}")
+    spark.createDataFrame([late, rows[3], late], st.EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(str(source))
+    run()
+    refresh()
+    assert sorted(map(tuple, store.read("totals").collect())) == [(0, 5, 1018.0), (1, 4, 22.0), (2, 5, 126.0)]
