@@ -136,7 +136,8 @@ class Batch:
     @property
     def name(self) -> int:
         """The same for the same texts, so that a task that is run again gives the same references."""
-        return int(mixed(np.add.reduce(mixed(self.states.ravel().view(np.uint64) + np.arange(self.states.size, dtype=np.uint64))) + BASE)) >> 17
+        each = mixed(self.states.ravel().view(np.uint64) + np.arange(self.states.size, dtype=np.uint64))
+        return int(mixed(each.sum(keepdims=True) + BASE)[0]) >> 17
 
 
 def batches_of(column: pa.Array, shingle: int, percent: int, most: int = 8 << 20) -> Iterator[Batch]:
@@ -407,11 +408,69 @@ def star_links(group: DataFrame, texts: DataFrame, scratch: Scratch, shingle: in
     named = scratch.store(named, "named")
     apart = named.groupBy("sign").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("sign")
     named = scratch.store(named.join(scratch.store(apart, "apart"), "sign", "left_semi"), "mixed")
-    x, y = (named.select("sign", F.col("node").alias(s), F.col("component").alias(f"c{s}")) for s in "xy")
-    pairs = x.join(y, "sign").where("cx > cy").select("x", "y").distinct()
+    pairs = scratch.store(apart_pairs(named, texts, scratch, percent), "apart-pairs")
     return first.unionByName(verified(pairs, texts, shingle, percent))
 
 
+CELL = ["sign", "low", "high"]
+
+
+def apart_pairs(named: DataFrame, texts: DataFrame, scratch: Scratch, percent: int, block: int = 1_024) -> DataFrame:
+    """Pairs of members of a sign that are in different components and that the sketches do not rule out.
+
+    A large sign is dealt in blocks, and each two of its blocks are compared in one task, so pairs are made only where they pass.
+    """
+    blocks = scratch.store(named.groupBy("sign").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "blocks")
+    rows = named.join(texts.select("node", "size", "sketch"), "node").join(blocks, "sign")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    rows = rows.select("sign", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "component", "size", "sketch")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            for *where, own, node, component, size, sketch in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if where != at:
+                    if held:
+                        yield _compared(at, held, percent)
+                    at, held = where, []
+                held.append((own, node, component, size, sketch))
+        if held:
+            yield _compared(at, held, percent)
+
+    return rows.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(run, "x long, y long").distinct()
+
+
+def _compared(cell: list, rows: list[tuple], percent: int) -> pa.RecordBatch:
+    """Pairs across the two blocks of a cell, or within its one."""
+    _, low, high = cell
+    own, node, component, size = (np.array([r[i] for r in rows], np.int64) for i in range(4))
+    cells = np.array([len(r[4]) for r in rows])
+    pairs = [np.zeros((0, 2), np.int64)]
+    for width in np.unique(cells):
+        # Sets that may link have as many cells, or twice as many, which are folded.
+        near = np.flatnonzero((cells == width) | (cells == 2 * width))
+        raw = np.zeros((len(near), width), np.uint8)
+        for i, r in enumerate(near.tolist()):
+            bits = np.frombuffer(rows[r][4], np.uint8)
+            raw[i] = bits if len(bits) == width else bits[:width] ^ bits[width:]
+        words = raw.view(np.uint64)
+        first = np.flatnonzero((cells[near] == width) & ((own[near] == low) | (low == high)))
+        if low != high:
+            first = np.union1d(first, np.flatnonzero((cells[near] == width) & (own[near] == high)))
+        for i in first.tolist():
+            others = np.flatnonzero((component[near] != component[near[i]]) & ((own[near] != own[near[i]]) | (low == high)))
+            a, b = size[near[i]], size[near[others]]
+            others = others[100 * np.minimum(a, b) >= percent * np.maximum(a, b)]
+            total = a + size[near[others]]
+            most = total - 2 * -(-percent * total // (100 + percent))
+            unlike = np.bitwise_count(words[others] ^ words[i]).sum(axis=1)
+            good = near[others[unlike <= most]]
+            me = np.full(len(good), node[near[i]])
+            pairs.append(np.stack([np.maximum(me, node[good]), np.minimum(me, node[good])], axis=1))
+    both = np.unique(np.concatenate(pairs), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["x", "y"])
+
+
 def links(documents: DataFrame, scratch: Scratch, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(id, component) of the nodes of `documents` (column text) that are not the least of their component."""
     met = scratch.store(meetings(documents, bucket_count(documents.sparkSession, documents), shingle, percent), "met")
