@@ -80,7 +80,7 @@ SELECT *, ROW_NUMBER() OVER (PARTITION BY person_id ORDER BY day) AS n FROM (SEL
  MAX(CASE WHEN encounter_type = 99999 THEN pcr END) AS plab, MAX(CASE WHEN encounter_type <> 99999 AND pcr IS NOT NULL THEN pcr_on END) AS pfd,
  ARG_MAX(CASE WHEN encounter_type <> 99999 THEN pcr END, CASE WHEN encounter_type <> 99999 AND pcr IS NOT NULL THEN {'d': pcr_on, 'v': pcr} END) AS pform,
  MAX(CASE WHEN encounter_type IN (32, 33, 44, 10) OR gestation_asked = 1 OR pregnant = 1 THEN 1 ELSE 0 END) AS start,
- MAX(CASE WHEN encounter_type IN (11, 47, 34) OR not_pregnant = 1 OR delivered = 1 OR delivered_now = 1 THEN 1 ELSE 0 END) AS stop,
+ MAX(CASE WHEN encounter_type IN (11, 47, 34) OR not_pregnant = 1 OR delivered = 1 OR delivered_now = 1 OR pregnancy_over = 1 THEN 1 ELSE 0 END) AS stop,
  MIN(COALESCE(last_period + 280, encounter_date + CAST((40 - gestation_weeks) * 7 AS INTEGER), due_on)) AS due FROM hev GROUP BY person_id, encounter_date)
  WHERE vlab IS NOT NULL OR vform IS NOT NULL OR plab IS NOT NULL OR pform IS NOT NULL OR start = 1 OR stop = 1 OR due IS NOT NULL"""
 _vnew = "vform IS NOT NULL AND (vd1 IS NULL OR (ABS(vfd - vd1) > 30 AND vfd > vd1))"
@@ -109,7 +109,7 @@ SELECT h.*, s.v1 AS vl_value_1, s.vd1 AS vl_date_1, s.v2 AS vl_value_2, s.vd2 AS
  CASE WHEN arv_stop = 1 THEN NULL WHEN drugs_started = 1 THEN m1250 WHEN drugs_current_asked = 1 THEN m1088 WHEN drugs_reported_asked = 1 THEN m2154 WHEN {_past_drugs} THEN m2157 END AS meds,
  {_line} AS cur_arv_line_strict, CASE WHEN {_tb_screen} THEN 1 END AS tb_screen,
  CASE WHEN tb_stop = 0 AND (tb_plan = 1 OR (tb_drugs = 1 AND tb_drugs_none = 0)) THEN 1 ELSE 0 END AS on_tb_tx,
- CASE WHEN encounter_type = 21 THEN CASE WHEN (phone_tried = 1 OR phone_method = 1) AND phone_reached = 1 THEN 1 WHEN (phone_tried = 1 OR phone_method = 1) AND phone_failed = 1 THEN 2 END END AS phone_outreach,
+ CASE WHEN encounter_type = 21 THEN CASE WHEN (phone_tried = 1 OR phone_used = 1 OR phone_method = 1) AND phone_reached = 1 OR phone_method = 1 AND home_reached = 1 THEN 1 WHEN (phone_attempt = 1 OR phone_method = 1) AND phone_failed = 1 OR phone_method = 1 AND home_failed = 1 THEN 2 END END AS phone_outreach,
  CASE WHEN encounter_type = 21 THEN CASE WHEN (home_tried = 1 OR home_method = 1) AND home_reached = 1 THEN 1 WHEN (home_tried = 1 OR home_method = 1) AND home_failed = 1 THEN 2 END END AS home_outreach,
  CASE WHEN encounter_type = 21 THEN CAST(COALESCE(attempts_a, attempts_b) AS INTEGER) END AS outreach_attempts,
  CASE WHEN cervix_no = 1 THEN 0 WHEN cervix_yes = 1 THEN 1 WHEN cervix_na = 1 THEN 3 WHEN cervix_undone = 1 THEN 4 END AS ca_cx_screen,

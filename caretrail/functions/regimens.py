@@ -110,7 +110,7 @@ CHEMO: list[tuple[str, tuple[int, ...], tuple[int, ...]]] = [
     ("VMD", (8486, 7213, 7207), ()),
     ("RD", (8480, 7207), ()),
     ("TD", (8479, 7207), ()),
-    ("RCD", (8479, 7203, 7207), ()),
+    ("RCD", (8480, 7203, 7207), ()),
     ("RTD", (8480, 8479, 7207), ()),
 ]
 

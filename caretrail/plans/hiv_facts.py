@@ -82,6 +82,7 @@ FACTS: dict[str, Fact] = {
     "due_on": date(5596),
     "delivered": asked(5599),
     "delivered_now": said(1156, 1065),
+    "pregnancy_over": said(1145, 1065),
     # tuberculosis
     "tb_test_asked": asked(6174, 307, 12, 2028),
     "tb_test_ordered": said((1271, 1866), *TB_TESTS),
@@ -145,9 +146,11 @@ FACTS: dict[str, Fact] = {
     "discordant_code": code(6096),
     # outreach
     "phone_tried": said(9063, 1065),
-    "phone_method": said((1569, 1558), 1555),
-    "phone_reached": said((9600, 1559), 1065),
-    "phone_failed": said((9600, 1559), 1066),
+    "phone_attempt": said(9063, 1065, 1560, 9064, 9065, 9066, 5622),
+    "phone_used": said(1569, 1555),
+    "phone_method": said(1558, 1555),
+    "phone_reached": said(9600, 1065),
+    "phone_failed": said(9600, 1066),
     "home_tried": said(10085, 1065),
     "home_method": said((1558, 1569), 7066, 6116, 1556, 1557, 1567),
     "home_reached": said(1559, 1065),
@@ -226,6 +229,7 @@ QUESTIONS: list[tuple[int, str, int]] = (
     + [(11237, "coded", 1065), (11237, "coded", 1066), (11238, "coded", 1065), (11239, "coded", 1066), (11243, "coded", 5483), (11252, "coded", 11197)]
     + [(11219, "coded", 1504), (11219, "coded", 6834), (11220, "date", 0), (10400, "coded", 1065), (10400, "coded", 1066), (10401, "coded", 1115)]
     + [(10546, "date", 0), (8070, "coded", 703), (1506, "coded", 703), (5632, "coded", 1065), (5632, "coded", 1066), (5089, "number", 2), (5090, "number", 4)]
+    + [(9063, "coded", 1560), (1569, "coded", 1555), (1558, "coded", 1555), (1559, "coded", 1066), (1145, "coded", 1065)]
     + [(10518, "coded", 1), (10523, "coded", 1), (10527, "coded", 1), (10532, "coded", 1)]
 )
 
@@ -236,6 +240,6 @@ LAB_VALUES = {"vl": 856, "cd4": 5497, "cd4_percent": 730, "pcr": 1030}
 
 # The facts that guarded results and pregnancy depend on; their concepts are scanned on their own.
 DAY_FACTS = (
-    "vl", "vl_on", "pcr", "pcr_on", "gestation_asked", "pregnant", "not_pregnant", "delivered", "delivered_now",
+    "vl", "vl_on", "pcr", "pcr_on", "gestation_asked", "pregnant", "not_pregnant", "delivered", "delivered_now", "pregnancy_over",
     "last_period", "gestation_weeks", "due_on",
 )

@@ -110,11 +110,18 @@ def events(t: Tables, facts: dict[str, Fact], questions: list, keys: DataFrame |
 ORDERS = {"vl_order": 856, "cd4_order": 657, "pcr_order": 1030}
 
 
+def phone_outreach() -> Column:
+    """1: a call reached the person, 2: it did not."""
+    reached = (yes("phone_tried") | yes("phone_used") | yes("phone_method")) & yes("phone_reached")
+    failed = (yes("phone_attempt") | yes("phone_method")) & yes("phone_failed")
+    return F.when(reached | (yes("phone_method") & yes("home_reached")), 1).when(failed | (yes("phone_method") & yes("home_failed")), 2)
+
+
 def day_states(df: DataFrame) -> DataFrame:
     """Accepted viral loads and PCR results, and pregnancy, folded over the days on which anything bears on them."""
     lab = c("encounter_type") == LAB_TYPE
     start = either(c("encounter_type").isin(*PREGNANCY_TYPES), yes("gestation_asked"), yes("pregnant"))
-    stop = either(c("encounter_type").isin(*DELIVERY_TYPES), yes("not_pregnant"), yes("delivered"), yes("delivered_now"))
+    stop = either(c("encounter_type").isin(*DELIVERY_TYPES), yes("not_pregnant"), yes("delivered"), yes("delivered_now"), yes("pregnancy_over"))
     due = F.coalesce(
         d.due_date_from_period(c("last_period")), d.due_date_from_weeks(c("encounter_date"), c("gestation_weeks")), c("due_on")
     )
@@ -177,12 +184,7 @@ def event_columns(df: DataFrame) -> DataFrame:
         "cur_arv_line_strict": line,
         "tb_screen": F.when(tb_screen, 1),
         "on_tb_tx": bit(~yes("tb_stop") & (yes("tb_plan") | (yes("tb_drugs") & ~yes("tb_drugs_none")))),
-        "phone_outreach": F.when(
-            outreach,
-            F.when((yes("phone_tried") | yes("phone_method")) & yes("phone_reached"), 1).when(
-                (yes("phone_tried") | yes("phone_method")) & yes("phone_failed"), 2
-            ),
-        ),
+        "phone_outreach": F.when(outreach, phone_outreach()),
         "home_outreach": F.when(
             outreach,
             F.when((yes("home_tried") | yes("home_method")) & yes("home_reached"), 1).when(

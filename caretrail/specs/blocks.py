@@ -1,5 +1,15 @@
 """Question blocks that several oncology forms share."""
 
+
+def changed(block: str, **answers: str) -> str:
+    """A block in which some columns have the concept and answers of one form."""
+    lines = {line.split()[0]: line for line in block.strip().splitlines()}
+    unknown = set(answers) - set(lines)
+    if unknown:
+        raise ValueError(f"no such columns: {sorted(unknown)}")
+    return "\n".join(f"{name} {answers[name]}" if name in answers else line for name, line in lines.items())
+
+
 # Physical examination, answers in the order of their numbers.
 PERFORMANCE = """
 ecog_performance 6584 1115 6585 6586 6587 6588

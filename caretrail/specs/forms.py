@@ -14,6 +14,7 @@ from caretrail.specs.blocks import (
     TESTICULAR,
     TESTS,
     TREATMENT,
+    changed,
 )
 
 # Column, concept, answers in the order of their numbers.
@@ -79,7 +80,7 @@ menses_stop_age 9562 num
 hrt_use 9626 1065=1 1066=0 9568=2
 hrt_start_age 9627 num
 hrt_end_age 9723 num
-hrt_use_years 97629 num
+hrt_use_years 9629 num
 hrt_type_used 9630 9573 6217 6218
 given_birth 9563 yesno
 age_first_birth 5574 num
@@ -175,6 +176,7 @@ gene_expert_results 8070 703 664 1138
 x_ray_results 12 1115 1116 1118
 procedure_ordered 10127 1107 10075 10076 10126 5622
 imaging_test_ordered 1271 12 7113 5622
+imaging_results 12 1115 1116 5622
 radiology_test 8190 text
 follow_up_care_plan 9930 1107 9725 5622
 ct_findings 7113 1115 10318 2418 1136 5622
@@ -202,9 +204,9 @@ BREAST_TREATMENT = form(
 cur_visit_type 1839 7037 7875
 """,
     PERFORMANCE,
-    EXAM,
-    BREAST_EXAM,
-    LESIONS,
+    changed(EXAM, chest="1123 1115=2 5138=3 5115=4 5116=5 5181=6 5127=7", neurologic="1129 1118 1115 599 497 5108"),
+    changed(BREAST_EXAM, breast_finding_location="9696 5141 5139"),
+    changed(LESIONS, lesions_laterality="8264 5139 5141"),
     """
 skin_lessions 1120 1107 1118 582
 currently_on_chemo 6575 1065 1107
@@ -232,7 +234,14 @@ GENERAL_ONCOLOGY = form(
 cur_visit_type 1834 1068 7850 1246 2345 10037
 """,
     PERFORMANCE,
-    EXAM,
+    changed(
+        EXAM,
+        general_exam="1119 1115 5201 5245 215 589 8999 991",
+        chest="1123 1118 1115 5138 5115 5116 5181 5127 5209",
+        urogenital="1126 1118 1115 1116 2186 864 6334 1447 5993 8998 1489 8417 6261",
+        extremities="1127 1118 1115 590 7293 134 582",
+        nodal_survey="1121 1118 1115 1116 161",
+    ),
     BREAST_EXAM,
     TESTICULAR,
     LESIONS,
@@ -295,7 +304,7 @@ chief_complaints 5219 136 107 6786 5954 832 5960 10121 5622
 complain_duration 8777 1072 1073 1074 8787
 """,
     PERFORMANCE,
-    EXAM,
+    changed(EXAM, neurologic="1129 1118 1115 599 497 5108"),
     TESTICULAR,
     """
 ever_diagnosed 6245 142 5 6237 903 6033 43 58
