@@ -140,7 +140,7 @@ class Batch:
         return int(mixed(each.sum(keepdims=True) + BASE)[0]) >> 17
 
 
-def batches_of(column: pa.Array, shingle: int, percent: int, most: int = 8 << 20) -> Iterator[Batch]:
+def batches_of(column: pa.Array, shingle: int, percent: int, most: int = 4 << 20) -> Iterator[Batch]:
     """Signatures of a column of texts, some megabytes at a time and copies among them once."""
     data, starts = column_bytes(column)
     for begin, end in slices(starts, most):

@@ -65,7 +65,7 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[starts[0] : starts[-1]], starts - starts[0]
 
 
-def slices(starts: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def slices(starts: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Row ranges of about `most` bytes, so that the arrays of a step stay small; a longer text is a range of its own."""
     begin, n = 0, len(starts) - 1
     while begin < n:
