@@ -238,3 +238,24 @@ def functions_in_sql(t: Tables) -> DataFrame:
     register(t.spark)
     flat = flatten(live(t.obs), ["encounter_id"])
     return t.spark.sql("SELECT encounter_id, get_values(obs, 856) IS NOT NULL AS has_vl, get_values(obs, 1250) AS drugs FROM {flat}", flat=flat)
+
+
+@check(
+    "l01_regimen_functions_in_sql",
+    "L1 J3 J4 J5 J6",
+    f"""WITH {DRUG_LISTS}, r AS (SELECT person_id, {_REGIMEN} AS r FROM l), n AS (SELECT person_id, r AS regimen FROM r),
+     e AS (SELECT DISTINCT person_id, COALESCE(v, CAST(u.code AS INTEGER)) AS part FROM (SELECT person_id, UNNEST(codes) AS code FROM l) u LEFT JOIN (VALUES {_combos}) AS k(code, v) ON k.code = u.code),
+     x AS (SELECT person_id, STRING_AGG(CAST(part AS VARCHAR), ' ## ' ORDER BY part) AS components FROM e GROUP BY person_id)
+    SELECT person_id, r AS regimen, {_NAMES.replace('regimen', 'n.regimen')} AS names, components, {_adult} AS adult_code, {_child} AS child_code FROM r JOIN n USING (person_id) JOIN x USING (person_id)""",
+)
+def regimen_functions_in_sql(t: Tables) -> DataFrame:
+    from caretrail.functions.registered import register
+    from caretrail.operators.flatten import flatten
+
+    register(t.spark)
+    flat = flatten(live(t.obs).filter("concept_id = 1250"), ["person_id"])
+    return t.spark.sql(
+        """SELECT person_id, regimen, get_arv_names(regimen) AS names, components, get_moh_arv_code(regimen, 30, 1) AS adult_code, get_moh_arv_code(regimen, 3, 1) AS child_code
+        FROM (SELECT person_id, normalize_arvs(obs, '1250') AS regimen, get_arv_concept_ids(obs, 1250) AS components FROM {flat})""",
+        flat=flat,
+    )

@@ -76,3 +76,35 @@ def test_phone_outreach(spark):
     df = fill_absent(extract_facts(obs, ["encounter_id"], facts), facts)
     out = dict(df.select("encounter_id", phone_outreach().alias("p")).where(F.col("encounter_id").isNotNull()).collect())
     assert [out[i] for i in range(len(CALLS))] == [expected for _, expected in CALLS]
+
+
+OBS = "!!1250=630!! ## !!1250=633!! ## !!10=8480!! ## !!10=7203!! ## !!10=7207!! ## !!20=9614!! ## !!20=9615!! ## !!1088_drug=A!! ## !!1088_drug=B!!"
+
+
+@pytest.mark.parametrize(
+    ("call", "expected"),
+    [
+        ("convert_to_title_case('mARY-jane o\\'neil (2ND)')", "Mary-Jane O'Neil (2nd)"),
+        ("replace_arv_concept_ids('630 ## 6964 ## 9759')", "628 ## 633 ## 797 ## 802 ## 9759"),
+        ("get_arv_concept_ids('%s', 1250)", "628 ## 633 ## 797"),
+        ("get_moh_arv_code('628 ## 633 ## 797', 30, 1)", "AF1B"),
+        ("get_moh_arv_code('628 ## 633 ## 797', 3, 1)", "CF1B"),
+        ("get_moh_arv_code('1', 12, 1)", "adult unknown"),
+        ("get_moh_arv_code('628 ## 633 ## 797', CAST(NULL AS INT), 1)", None),
+        ("normalize_arvs_drug_formulation('%s')", "1088=A ## B"),
+        ("normalize_arvs_drug_formulation('!!1=2!!')", None),
+        ("normalize_chemo_drugs('%s', '10')", "RD ## RCD"),
+        ("normalize_pmtct_arvs('%s', '20')", "9615 ## 9614"),
+        ("normalize_arvs('%s', '1250')", "628 ## 633 ## 797"),
+        ("get_arv_names('628 ## 633 ## 797')", "3TC ## EFV ## AZT"),
+        ("get_custom_values('%s', '1088_drug')", "A ## B"),
+        ("split_str('a ## b', ' ## ', 2)", "b"),
+        ("get_values('%s', 77)", None),
+    ],
+)
+def test_sql_functions(spark, call, expected):
+    from caretrail.functions.registered import FUNCTIONS, register
+
+    register(spark)
+    assert len(FUNCTIONS) == 12
+    assert spark.sql(f"SELECT {call % OBS if '%s' in call else call}").first()[0] == expected
