@@ -40,17 +40,38 @@ def build(t: Tables, keys: DataFrame | None = None) -> DataFrame:
 MARK = "2000-06-30"
 
 
+def weighed(t: Tables, rows: DataFrame, obs: DataFrame) -> DataFrame:
+    """The neighbours of each encounter, with the sum of the measurements that are known of it."""
+    sums = obs.groupBy("encounter_id").agg(F.sum("value_numeric").alias("measured"))
+    return neighbours(t, rows).join(sums, "encounter_id", "left").select(*COLUMNS, F.round("measured", 4).alias("measured"))
+
+
 def as_it_was(t: Tables) -> DataFrame:
-    """The dataset as built before the mark: later encounters unknown, and some later moved to another day."""
-    rows = measured(t)
-    created = t.encounter.select("encounter_id", "date_created")
-    rows = rows.join(created, "encounter_id").filter(c("date_created") < F.lit(MARK).cast("date")).drop("date_created")
-    return neighbours(t, rows)
+    """The dataset as built before the mark: later rows unknown, rows voided since still there, rows corrected since with
+    their old value or, for encounters, on their old day."""
+    mark = F.lit(MARK).cast("date")
+    since = lambda name: F.coalesce(c(name) >= mark, F.lit(False))
+    times = t.encounter.select("encounter_id", "date_created", "date_changed")
+    rows = measured(t).join(times, "encounter_id").filter(c("date_created") < mark)
+    rows = rows.withColumn("encounter_date", F.when(since("date_changed"), F.date_sub("encounter_date", 3)).otherwise(c("encounter_date")))
+    obs = t.obs.filter(c("date_created") < mark).filter((c("voided") == 0) | since("date_voided"))
+    obs = obs.withColumn("value_numeric", F.when(since("date_changed"), c("value_numeric") + 1).otherwise(c("value_numeric")))
+    return weighed(t, rows.drop("date_created", "date_changed"), obs)
 
 
-@check("k07_recompute_changed_persons", "K1 K3 K5 K6 K7 Z3", FULL)
+@check(
+    "k07_recompute_changed_persons",
+    "K1 K3 K5 K6 K7 Z3",
+    f"""SELECT f.*, ROUND(m.measured, 4) AS measured FROM ({FULL}) f
+      LEFT JOIN (SELECT encounter_id, SUM(value_numeric) AS measured FROM obs WHERE voided = 0 GROUP BY encounter_id) m ON m.encounter_id = f.encounter_id""",
+)
 def recompute(t: Tables) -> DataFrame:
-    return inc.recompute(as_it_was(t), inc.changed_persons(t, MARK), lambda keys: build(t, keys))
+    """Rows corrected and voided long after the day they are about are found by their change times alone."""
+
+    def rebuilt(keys: DataFrame) -> DataFrame:
+        return weighed(t, measured(t, keys), t.obs.filter("voided = 0").join(keys, "person_id", "left_semi"))
+
+    return inc.recompute(as_it_was(t), inc.changed_persons(t, MARK), rebuilt)
 
 
 @check("k08_rebuild_for_persons", "K8 K9 L2", FULL.replace("FROM spine", "FROM spine WHERE person_id IN (SELECT person_id FROM patient_program WHERE program_id = 3)"))
@@ -61,8 +82,8 @@ def rebuild(t: Tables) -> DataFrame:
 @check(
     "k04_changed_encounters",
     "K4",
-    """SELECT encounter_id, person_id, CASE WHEN date_created >= DATE '2001-07-01' THEN 'created' WHEN voided = 1 AND date_created + 10 >= DATE '2001-07-01' THEN 'voided' ELSE 'changed' END AS change
-      FROM encounter WHERE date_created >= DATE '2001-07-01' OR (voided = 1 AND date_created + 10 >= DATE '2001-07-01') OR (voided = 0 AND date_created + 20 >= DATE '2001-07-01')""",
+    """SELECT encounter_id, person_id, CASE WHEN date_created >= DATE '2001-07-01' THEN 'created' WHEN date_voided >= DATE '2001-07-01' THEN 'voided' ELSE 'changed' END AS change
+      FROM encounter WHERE GREATEST(date_created, date_voided, date_changed) >= DATE '2001-07-01'""",
 )
 def changed(t: Tables) -> DataFrame:
     return inc.changed_encounters(t, "2001-07-01")

@@ -614,8 +614,10 @@ def both_ways(t: Tables) -> DataFrame:
 @check(
     "i06_changed_key_union",
     "I6 K3",
-    """SELECT person_id FROM encounter WHERE date_created >= DATE '2001-07-01' UNION SELECT person_id FROM obs WHERE obs_date >= DATE '2001-07-01' UNION SELECT person_id FROM clinical_order WHERE date_activated >= DATE '2001-07-01'
-      UNION SELECT person_id FROM person WHERE voided = 1""",
+    """SELECT person_id FROM encounter WHERE GREATEST(date_created, date_changed, date_voided) >= DATE '2001-07-01'
+      UNION SELECT person_id FROM obs WHERE GREATEST(date_created, date_changed, date_voided) >= DATE '2001-07-01'
+      UNION SELECT person_id FROM clinical_order WHERE date_activated >= DATE '2001-07-01'
+      UNION SELECT person_id FROM person WHERE date_voided >= DATE '2001-07-01'""",
 )
 def changed_keys(t: Tables) -> DataFrame:
     from caretrail.operators.incremental import changed_persons

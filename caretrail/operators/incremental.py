@@ -17,6 +17,9 @@ from caretrail.sources.sinks import Store, replace_keys
 from caretrail.sources.tables import Tables
 
 
+CHANGE_TIMES = ["date_created", "date_changed", "date_voided"]
+
+
 def changed_since(df: DataFrame, mark: Column, columns: list[str], key: str = "person_id") -> DataFrame:
     """Keys of rows created, changed or voided at or after the mark (whichever of the times the source has)."""
     test = F.lit(False)
@@ -26,13 +29,16 @@ def changed_since(df: DataFrame, mark: Column, columns: list[str], key: str = "p
 
 
 def changed_persons(t: Tables, mark: str) -> DataFrame:
-    """Persons with changed encounters, observations or orders, and voided persons."""
+    """Persons with encounters or observations created, changed or voided, orders made, or voided themselves since the mark.
+
+    What counts is when a row changed, not the day it is about: an old observation that is corrected today is found.
+    """
     since = F.lit(mark).cast("date")
     parts = [
-        changed_since(t.encounter, since, ["date_created"]),
-        changed_since(t.obs, since, ["obs_date"]),
+        changed_since(t.encounter, since, CHANGE_TIMES),
+        changed_since(t.obs, since, CHANGE_TIMES),
         changed_since(t.clinical_order, since, ["date_activated"]),
-        t.person.filter("voided = 1").select("person_id"),
+        changed_since(t.person, since, ["date_voided"]),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -70,8 +76,6 @@ def changed_encounters(t: Tables, mark: str) -> DataFrame:
     """Encounters created, voided or changed since the mark; each source row says which of them it was."""
     since = F.lit(mark).cast("date")
     enc = t.encounter
-    created = F.col("date_created") >= since
-    voided = (F.col("voided") == 1) & (F.date_add("date_created", 10) >= since)
-    changed = (F.col("voided") == 0) & (F.date_add("date_created", 20) >= since)
+    created, voided, changed = [F.col(n) >= since for n in ("date_created", "date_voided", "date_changed")]
     why = F.when(created, "created").when(voided, "voided").when(changed, "changed")
     return enc.select("encounter_id", "person_id", why.alias("change")).filter("change IS NOT NULL")

@@ -15,6 +15,7 @@ SELECT c_custkey AS person_id,
  CAST('1950-01-01' AS DATE) + CAST((c_custkey * 37) % 16000 AS INT) AS birthdate,
  CASE WHEN c_custkey % 29 = 0 THEN CAST('1999-01-01' AS DATE) + CAST(c_custkey % 700 AS INT) END AS death_date,
  CASE WHEN c_custkey % 97 = 0 THEN 1 ELSE 0 END AS voided,
+ CASE WHEN c_custkey % 97 = 0 THEN CAST('1999-06-01' AS DATE) + CAST(c_custkey % 800 AS INT) END AS date_voided,
  CASE WHEN c_custkey % 53 = 0 THEN 1 ELSE 0 END AS is_test,
  c_nationkey AS home_location_id, c_mktsegment AS population_type
 FROM customer""",
@@ -27,7 +28,9 @@ SELECT o_orderkey AS encounter_id, o_custkey AS person_id,
  CASE SUBSTRING(o_orderpriority, 1, 1) WHEN '1' THEN 1 WHEN '2' THEN 2 WHEN '3' THEN 21 WHEN '4' THEN 14 ELSE 116 END AS encounter_type,
  CASE WHEN o_orderkey % 7 = 0 THEN CAST((c_nationkey + 1) % 25 AS INT) ELSE c_nationkey END AS location_id,
  CASE WHEN o_orderstatus = 'P' AND o_orderkey % 10 = 0 THEN 1 ELSE 0 END AS voided,
- CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 AS INT) AS date_created
+ CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 AS INT) AS date_created,
+ CASE WHEN o_orderkey % 9 = 0 THEN CAST(o_orderdate AS DATE) + CAST(60 + o_orderkey % 500 AS INT) END AS date_changed,
+ CASE WHEN o_orderstatus = 'P' AND o_orderkey % 10 = 0 THEN CAST(o_orderdate AS DATE) + CAST(50 + o_orderkey % 300 AS INT) END AS date_voided
 FROM orders JOIN customer ON o_custkey = c_custkey""",
     "obs": """
 SELECT l_orderkey AS encounter_id, o_custkey AS person_id, CAST(l_shipdate AS DATE) AS obs_date,
@@ -36,7 +39,10 @@ SELECT l_orderkey AS encounter_id, o_custkey AS person_id, CAST(l_shipdate AS DA
                    WHEN 5 THEN CASE CAST(l_partkey % 4 AS INT) WHEN 0 THEN 1256 WHEN 1 THEN 1257 WHEN 2 THEN 1260 ELSE 1107 END END AS value_coded,
  CASE l_linenumber WHEN 1 THEN FLOOR(l_extendedprice / 25) WHEN 2 THEN l_quantity * 20 WHEN 6 THEN l_quantity + 40 WHEN 7 THEN l_quantity + 90 END AS value_numeric,
  CASE l_linenumber WHEN 3 THEN CAST(l_shipdate AS DATE) END AS value_datetime,
- CASE WHEN l_returnflag = 'R' AND l_partkey % 10 = 0 THEN 1 ELSE 0 END AS voided
+ CASE WHEN l_returnflag = 'R' AND l_partkey % 10 = 0 THEN 1 ELSE 0 END AS voided,
+ CAST(l_shipdate AS DATE) AS date_created,
+ CASE WHEN l_partkey % 25 = 3 THEN CAST(l_shipdate AS DATE) + CAST(100 + l_partkey % 1500 AS INT) END AS date_changed,
+ CASE WHEN l_returnflag = 'R' AND l_partkey % 10 = 0 THEN CAST(l_shipdate AS DATE) + CAST(200 + l_partkey % 1500 AS INT) END AS date_voided
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "clinical_order": """
 SELECT l_orderkey AS encounter_id, o_custkey AS person_id,
