@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from caretrail.llm.stored import small_batches
 from caretrail.llm.words import PLAIN, Words, column_bytes, mixed, slices
 
 STEPS = 3  # walk length in words of the window
@@ -236,6 +237,7 @@ def item_blocks(benchmark: DataFrame, block: int) -> Iterator[list[tuple[int | N
 
 def leaks(documents: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, recall: float = 0.99, block: int = 20_000) -> DataFrame:
     """A row for each document and item found in it: doc_id, item_id, edits, item_words, start and end (bytes of the text)."""
+    small_batches(documents.sparkSession)
     schema = "doc_id long, item_id long, edits int, item_words int, start long, end long"
     out = None
     for items in item_blocks(benchmark, block):
@@ -258,6 +260,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, re
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, recall: float = 0.99, block: int = 20_000) -> DataFrame:
     """`documents` without the contaminated rows; same columns."""
+    small_batches(documents.sparkSession)
     at, schema = documents.columns.index("text"), documents.schema
     for items in item_blocks(benchmark, block):
         shared = documents.sparkSession.sparkContext.broadcast(Benchmark(items, max_edits, recall))

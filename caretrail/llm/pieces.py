@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
+from caretrail.llm.stored import small_batches
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -264,6 +266,7 @@ def _slices(texts: list[str | None], most: int = 4 << 20) -> Iterator[tuple[int,
 
 def with_pieces(df: DataFrame, pieces: Pieces, text: str = "text", keep: tuple[str, ...] = (), known_cuts: int = 300_000) -> DataFrame:
     """The kept columns, `ids` (array of int) and `decoded` (the text back from the ids), row by row, without a shuffle."""
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(pieces)  # as large as the vocabulary
     schema = df.select(*keep).schema.add("ids", ArrayType(IntegerType())).add("decoded", "string")
 

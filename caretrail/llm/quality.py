@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caretrail.llm.stored import small_batches
+
 CLASSES = ("lower", "upper", "digit", "space", "newline", "sentence", "quote", "bracket", "dash", "symbol", "pipe", "beyond", "control")
 
 
@@ -150,6 +152,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None
 
 def with_features(df: DataFrame, text: str, keep: tuple[str, ...], model: Model | None = None, name: str = "score") -> DataFrame:
     """The kept columns with the features (binary), or with the score where a model is given; no shuffle."""
+    small_batches(df.sparkSession)
     name, kind = ("features", "binary") if model is None else (name, "double")
     schema = df.select(*keep).schema.add(name, kind)
 

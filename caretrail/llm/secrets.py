@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caretrail.llm.stored import small_batches
+
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -209,6 +211,7 @@ def secret_spans(df: DataFrame, text: str = "text", keep: tuple[str, ...] = (),
 
     Only the text and the kept columns go to the Python workers; nothing is shuffled.
     """
+    small_batches(df.sparkSession)
     schema = df.select(*keep).schema
     out = schema.add("base_spans", "string").add("nested_spans", "string")
 
@@ -236,6 +239,7 @@ def masked(text: str, spans: str, mark: str = "[secret]") -> str:
 
 def mask_secrets(df: DataFrame, text: str = "text", mark: str = "[secret]", most_bytes: int = 64 << 20) -> DataFrame:
     """`df` with the secrets of its text masked: same columns and rows, null texts stay null."""
+    small_batches(df.sparkSession)
     at, schema = df.columns.index(text), df.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

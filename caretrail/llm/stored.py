@@ -8,6 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caretrail.session import checkpoint_dir
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let this session send texts to the Python workers in batches of `BATCH_ROWS` at most.
+
+    A task holds a batch in the executor and in its worker, and a result is computed after its operator has returned, so the
+    setting stays. A lower one is kept.
+    """
+    held = int(spark.conf.get(BATCH_SETTING))
+    spark.conf.set(BATCH_SETTING, str(min(held, BATCH_ROWS) if held > 0 else BATCH_ROWS))
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
@@ -17,6 +30,7 @@ class Scratch:
     """A folder of its own below `spark.checkpoint.dir` for the written tables of one operator run."""
 
     def __init__(self, spark: SparkSession, name: str):
+        small_batches(spark)
         self.spark = spark
         self.folder = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
