@@ -5,7 +5,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from caretrail.llm.ngram_join import Sets, bands, document_components, may_link, one_of_each, signatures, sketches
+from caretrail.llm.ngram_join import Sets, apart_pairs, bands, document_components, may_link, node_texts, one_of_each, signatures, sketches
+from caretrail.llm.stored import Scratch
 from caretrail.llm.words import column_bytes
 
 
@@ -126,3 +127,29 @@ def test_linked_sets_share_as_many_signatures_as_promised(seed):
             assert len(a ^ b) <= most[band] < parts[band]
         args = parities[i], parities[i + 1], len(a), len(b), 75
         assert may_link(*args) or 100 * len(a & b) < 75 * len(a | b)
+
+
+def test_members_in_blocks_equal_all_pairs(spark):
+    """Every pair of a large sign meets in one cell, and only pairs that may link and are apart come back."""
+    dice = random.Random(5)
+    base = [f"v{i}" for i in range(70)]
+    texts = []
+    for _ in range(90):
+        body = list(base)
+        for _ in range(dice.randrange(0, 9)):
+            body[dice.randrange(len(body))] = f"n{dice.randrange(10**6)}"
+        texts.append(" ".join(body[: dice.choice([70, 70, 40])]))
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    scratch = Scratch(spark, "test-blocks")
+    table = scratch.store(node_texts(df, 5).dropDuplicates(["node"]), "texts")
+    rows = table.collect()
+    component = {r.node: r.node % 7 for r in rows}
+    named = spark.createDataFrame([(1, r.node, component[r.node]) for r in rows], "sign long, node long, component long")
+    expected = set()
+    for i, a in enumerate(rows):
+        for b in rows[:i]:
+            if component[a.node] != component[b.node] and may_link(a.sketch, b.sketch, a.size, b.size, 75):
+                expected.add((max(a.node, b.node), min(a.node, b.node)))
+    for block in (8, 1000):
+        out = apart_pairs(named, table, Scratch(spark, "test-blocks"), 75, block).collect()
+        assert {(r.x, r.y) for r in out} == expected and len(out) == len(expected) > 20
