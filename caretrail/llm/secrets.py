@@ -22,7 +22,6 @@ import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
