@@ -40,7 +40,7 @@ SHINGLE = 5
 PERCENT = 75
 FEW = 8  # sets whose signature pairs them
 HOT = 256  # sets of one batch that make a signature hot there
-CELLS = 1 << 12  # most cells of a parity sketch
+CELLS = 1 << 16  # most cells of a parity sketch
 
 
 class Sets:
@@ -256,8 +256,11 @@ def _bucket(held: list[tuple[int, bytes, bytes, bytes]]) -> Iterator[pa.RecordBa
 
 
 def sketches(sets: Sets) -> list[bytes]:
-    """Of each set the parity of the number of its shingles in each of a power of two of cells, about as many as shingles."""
-    cells = np.clip(1 << np.ceil(np.log2(sets.size + 1)).astype(np.int64), 64, CELLS)
+    """Of each set the parity of the number of its shingles in each of a power of two of cells, four to eight a shingle.
+
+    So few differences fall into one cell that sets a little less similar than asked for are told apart as well.
+    """
+    cells = np.clip(4 << np.ceil(np.log2(sets.size + 1)).astype(np.int64), 256, CELLS)
     offset = np.concatenate([[0], np.cumsum(cells)])
     at = offset[sets.row] + (mixed(sets.hash) & (cells[sets.row] - 1).astype(np.uint64)).astype(np.int64)
     odd = (np.bincount(at, minlength=offset[-1]) & 1).astype(np.uint8)
