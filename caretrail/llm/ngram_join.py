@@ -403,7 +403,12 @@ def star_links(group: DataFrame, texts: DataFrame, scratch: Scratch, shingle: in
 
     What is counted by sign is stored before it is joined: both sides are then dealt anew, and Spark splits hot signs.
     """
-    centre = scratch.store(group.groupBy("sign").agg(F.min("node").alias("y"), F.count("*").alias("n")).where("n > 1"), "centres")
+    # Of signs with the same members, as the shingles of a passage have, one says what all say.
+    marks = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"mark_{seed}") for seed in (1, 2)]
+    lists = group.groupBy("sign").agg(F.count("*").alias("n"), *marks).where("n > 1")
+    one = scratch.store(lists.groupBy("n", "mark_1", "mark_2").agg(F.min("sign").alias("sign")).select("sign"), "signs")
+    group = scratch.store(group.join(one, "sign", "left_semi"), "lists")
+    centre = scratch.store(group.groupBy("sign").agg(F.min("node").alias("y")), "centres")
     spoke = group.join(centre, "sign").select(F.col("node").alias("x"), "y").where("x <> y").distinct()
     first = scratch.store(verified(spoke, texts, shingle, percent), "spokes")
     component = components(first.select(F.col("x").alias("a"), F.col("y").alias("b")), scratch, "stars")
