@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from caretrail.llm.stored import small_batches
+from caretrail.llm.stored import small_batches, tidy
 from caretrail.llm.words import PLAIN, Words, column_bytes, mixed, slices
 
 STEPS = 3  # walk length in words of the window
@@ -253,7 +253,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, re
                 names = ["doc_id", "item_id", "edits", "item_words", "start", "end"]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
 
-        found = documents.select("doc_id", "text").mapInArrow(run, schema)
+        found = documents.select("doc_id", "text").mapInArrow(tidy(run), schema)
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -270,7 +270,7 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame, max_edits: float =
                 bad = shared.value.find(batch.column(at))
                 yield batch.filter(pa.array([i not in bad for i in range(batch.num_rows)], pa.bool_()))
 
-        documents = documents.mapInArrow(run, schema)
+        documents = documents.mapInArrow(tidy(run), schema)
     return documents
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caretrail.llm.components import components
-from caretrail.llm.stored import Scratch
+from caretrail.llm.stored import Scratch, tidy
 from caretrail.llm.words import BASE, SPACES, Words, column_bytes, mixed, slices
 
 SHINGLE = 5
@@ -221,8 +221,8 @@ def meetings(documents: DataFrame, buckets: int, shingle: int, percent: int) ->
         if held:
             yield from _bucket(held)
 
-    dealt = documents.select("text").mapInArrow(packed, "bucket int, name long, entries binary, crowd binary, states binary").repartition(buckets, "bucket")
-    return dealt.sortWithinPartitions("bucket").mapInArrow(met, MET)
+    dealt = documents.select("text").mapInArrow(tidy(packed), "bucket int, name long, entries binary, crowd binary, states binary").repartition(buckets, "bucket")
+    return dealt.sortWithinPartitions("bucket").mapInArrow(tidy(met), MET)
 
 
 def _bucket(held: list[tuple[int, bytes, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
@@ -302,7 +302,7 @@ def possible(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             keep = [may_link(*r, percent) for r in zip(sketch_x, sketch_y, size_x, size_y, strict=True)]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["x", "y"])
 
-    return sides(pairs, texts, ["size", "sketch"]).mapInArrow(run, "x long, y long")
+    return sides(pairs, texts, ["size", "sketch"]).mapInArrow(tidy(run), "x long, y long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -320,7 +320,7 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
                 ok = pa.array([linked(known[a], known[b], percent) for a, b in zip(x, y, strict=True)], pa.bool_())
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()).filter(ok), pa.array(y, pa.int64()).filter(ok)], names=["x", "y"])
 
-    return sides(possible(pairs, texts, percent), texts, ["packed"]).mapInArrow(run, "x long, y long")
+    return sides(possible(pairs, texts, percent), texts, ["packed"]).mapInArrow(tidy(run), "x long, y long")
 
 
 def unpacked_sets(packed: list[bytes], shingle: int) -> list[np.ndarray]:
@@ -345,7 +345,7 @@ def with_nodes(documents: DataFrame, keep: tuple[str, ...], shingle: int) -> Dat
                 columns += [pa.array(sets.node, pa.int64(), mask=sets.size == 0), pa.array(sets.size.astype(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return documents.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
+    return documents.select(*keep, F.col("text").alias("__text")).mapInArrow(tidy(run), schema)
 
 
 def node_texts(documents: DataFrame, shingle: int) -> DataFrame:
@@ -367,7 +367,7 @@ def node_texts(documents: DataFrame, shingle: int) -> DataFrame:
                 names = ["node", "size", "sketch", "packed"]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
 
-    return documents.select("text").mapInArrow(run, "node long, size long, sketch binary, packed binary")
+    return documents.select("text").mapInArrow(tidy(run), "node long, size long, sketch binary, packed binary")
 
 
 def bucket_count(spark, documents: DataFrame) -> int:
@@ -388,7 +388,7 @@ def single_shingles(texts: DataFrame, scratch: Scratch, shingle: int, percent: i
                 columns = [np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64), np.repeat(np.array(part.column(0).to_pylist(), np.int64), size), np.repeat(size, size)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["sign", "node", "size"])
 
-    own = scratch.store(texts.select("node", "packed").mapInArrow(run, "sign long, node long, size long"), "shingles")
+    own = scratch.store(texts.select("node", "packed").mapInArrow(tidy(run), "sign long, node long, size long"), "shingles")
     common = scratch.store(own.groupBy("sign").agg(F.count("*").alias("n")).where("n > 1"), "common")
     # A shingle of one node pairs nothing and stands before all shared ones, so counting from the frequent end skips it.
     shared = own.join(common, "sign")
@@ -445,7 +445,7 @@ def apart_pairs(named: DataFrame, texts: DataFrame, scratch: Scratch, percent: i
         if held:
             yield _compared(at, held, percent)
 
-    return rows.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(run, "x long, y long").distinct()
+    return rows.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(tidy(run), "x long, y long").distinct()
 
 
 def _compared(cell: list, rows: list[tuple], percent: int) -> pa.RecordBatch:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from caretrail.llm.stored import small_batches
+from caretrail.llm.stored import small_batches, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -264,7 +264,7 @@ def _slices(texts: list[str | None], most: int = 4 << 20) -> Iterator[tuple[int,
         yield begin, len(texts)
 
 
-def with_pieces(df: DataFrame, pieces: Pieces, text: str = "text", keep: tuple[str, ...] = (), known_cuts: int = 300_000) -> DataFrame:
+def with_pieces(df: DataFrame, pieces: Pieces, text: str = "text", keep: tuple[str, ...] = (), known_cuts: int = 100_000) -> DataFrame:
     """The kept columns, `ids` (array of int) and `decoded` (the text back from the ids), row by row, without a shuffle."""
     small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(pieces)  # as large as the vocabulary
@@ -284,7 +284,7 @@ def with_pieces(df: DataFrame, pieces: Pieces, text: str = "text", keep: tuple[s
                 columns.append(pa.array([own.decode(i.tolist()) for i in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
+    return df.select(*keep, F.col(text).alias("__text")).mapInArrow(tidy(run), schema)
 
 
 def ids_sha256(ids: Iterable[int]) -> str:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caretrail.llm.stored import small_batches
+from caretrail.llm.stored import small_batches, tidy
 
 CLASSES = ("lower", "upper", "digit", "space", "newline", "sentence", "quote", "bracket", "dash", "symbol", "pipe", "beyond", "control")
 
@@ -167,7 +167,7 @@ def with_features(df: DataFrame, text: str, keep: tuple[str, ...], model: Model
                 values = pa.array(model.score(x.astype(np.float64)), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], values], names=schema.names)
 
-    return df.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
+    return df.select(*keep, F.col(text).alias("__text")).mapInArrow(tidy(run), schema)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caretrail.llm.stored import small_batches
+from caretrail.llm.stored import small_batches, tidy
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(
@@ -222,7 +222,7 @@ def secret_spans(df: DataFrame, text: str = "text", keep: tuple[str, ...] = (),
             columns += [pa.array([spelled(added) for _, added in found], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "base_spans", "nested_spans"])
 
-    return df.select(*keep, F.col(text).alias("__text")).mapInArrow(run, out)
+    return df.select(*keep, F.col(text).alias("__text")).mapInArrow(tidy(run), out)
 
 
 def masked(text: str, spans: str, mark: str = "[secret]") -> str:
@@ -253,7 +253,7 @@ def mask_secrets(df: DataFrame, text: str = "text", mark: str = "[secret]", most
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def secret_digest(documents: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caretrail.llm.stored import Scratch
+from caretrail.llm.stored import Scratch, tidy
 from caretrail.llm.words import BASE, column_bytes, mixed, prefix_hashes, slices
 
 LENGTH = 200
@@ -103,7 +103,7 @@ def find_anchors(texts: DataFrame, length: int) -> DataFrame:
                 columns = [pa.array(x) for x in (k.view(np.int64), c.view(np.int64), tids[low + row], at)]
                 yield pa.RecordBatch.from_arrays(columns, names=["k", "c", "tid", "at"])
 
-    return texts.mapInArrow(run, ANCHOR)
+    return texts.mapInArrow(tidy(run), ANCHOR)
 
 
 # --- sorting -------------------------------------------------------------------------------------------------------
@@ -304,7 +304,7 @@ def settled(contexts: DataFrame, length: int, at_once: int = 16_384) -> DataFram
         if held:
             yield settle(held, length)
 
-    return contexts.repartition("k", "part").sortWithinPartitions("k", "part").mapInArrow(run, FLAG)
+    return contexts.repartition("k", "part").sortWithinPartitions("k", "part").mapInArrow(tidy(run), FLAG)
 
 
 def merged(ranges: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -348,7 +348,7 @@ def _whole_texts(texts: DataFrame) -> DataFrame:
             packed = [zlib.compress(data[a:b].tobytes(), 1) for a, b in zip(starts[:-1], starts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["tid", "packed"])
 
-    return texts.mapInArrow(run, "tid long, packed binary").groupBy("tid").agg(F.first("packed").alias("packed"))
+    return texts.mapInArrow(tidy(run), "tid long, packed binary").groupBy("tid").agg(F.first("packed").alias("packed"))
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, text: str = "text", with_text: bool = False) -> DataFrame:
@@ -388,7 +388,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, text: str = "text
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
 
     asked = pending.where(F.exists("states", lambda s: s["kind"] > 0))
-    dealt = scratch.store(asked.select("tid", "packed", "states").mapInArrow(contexts, CONTEXT), "dealt")
+    dealt = scratch.store(asked.select("tid", "packed", "states").mapInArrow(tidy(contexts), CONTEXT), "dealt")
     crowd = dealt.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
     dealt = dealt.join(crowd, "k").withColumn("part", F.pmod(F.xxhash64("tid", "place"), "parts").cast("int"))
     flags = scratch.store(settled(dealt.select(*[f.split()[0] for f in SORTED.split(", ")]), length), "flags")
@@ -414,7 +414,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, text: str = "text
     asks = F.exists("states", lambda s: s["kind"] == 1)
     simple = pending.where(~F.coalesce(asks, F.lit(False))).withColumn("ranges", F.lit(None).cast("array<struct<low:long,high:long>>"))
     other = pending.where(asks).join(ranges, "tid", "left")
-    return simple.unionByName(other).select("tid", "packed", "states", "ranges").mapInArrow(cut, RESULT)
+    return simple.unionByName(other).select("tid", "packed", "states", "ranges").mapInArrow(tidy(cut), RESULT)
 
 
 def suffix_digest(documents: DataFrame, length: int = LENGTH) -> DataFrame:
