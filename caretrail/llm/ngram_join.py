@@ -426,22 +426,24 @@ CELL = ["sign", "low", "high"]
 def apart_pairs(named: DataFrame, texts: DataFrame, scratch: Scratch, percent: int, block: int = 1_024) -> DataFrame:
     """Pairs of members of a sign that are in different components and that the sketches do not rule out.
 
-    A large sign is dealt in blocks, and each two of its blocks are compared in one task, so pairs are made only where they pass.
+    A large sign is dealt in blocks, and each two of its blocks are compared in one task, so pairs are made only where they pass,
+    and in one of their signs.
     """
     blocks = scratch.store(named.groupBy("sign").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "blocks")
-    rows = named.join(texts.select("node", "size", "sketch"), "node").join(blocks, "sign")
+    signs = named.groupBy("node").agg(F.collect_set("sign").alias("signs"))  # fewer than the node has shingles
+    rows = named.join(texts.select("node", "size", "sketch").join(signs, "node"), "node").join(blocks, "sign")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rows = rows.select("sign", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "component", "size", "sketch")
+    rows = rows.select("sign", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "component", "size", "sketch", "signs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
         for batch in batches:
-            for *where, own, node, component, size, sketch in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for *where, own, node, component, size, sketch, signs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if where != at:
                     if held:
                         yield _compared(at, held, percent)
                     at, held = where, []
-                held.append((own, node, component, size, sketch))
+                held.append((own, node, component, size, sketch, signs))
         if held:
             yield _compared(at, held, percent)
 
@@ -450,7 +452,8 @@ def apart_pairs(named: DataFrame, texts: DataFrame, scratch: Scratch, percent: i
 
 def _compared(cell: list, rows: list[tuple], percent: int) -> pa.RecordBatch:
     """Pairs across the two blocks of a cell, or within its one."""
-    _, low, high = cell
+    sign, low, high = cell
+    signs = [set(r[5]) for r in rows]
     own, node, component, size = (np.array([r[i] for r in rows], np.int64) for i in range(4))
     cells = np.array([len(r[4]) for r in rows])
     pairs = [np.zeros((0, 2), np.int64)]
@@ -473,6 +476,9 @@ def _compared(cell: list, rows: list[tuple], percent: int) -> pa.RecordBatch:
             most = total - 2 * -(-percent * total // (100 + percent))
             unlike = np.bitwise_count(words[others] ^ words[i]).sum(axis=1)
             good = near[others[unlike <= most]]
+            # Of the signs that both have, the least is where the pair is made.
+            mine = signs[near[i]]
+            good = good[np.array([min(mine & signs[j]) == sign for j in good.tolist()], bool)]
             me = np.full(len(good), node[near[i]])
             pairs.append(np.stack([np.maximum(me, node[good]), np.minimum(me, node[good])], axis=1))
     both = np.unique(np.concatenate(pairs), axis=0)
