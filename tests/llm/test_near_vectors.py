@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from caretrail.llm.components import components
-from caretrail.llm.near_vectors import Grid, near_vectors, unit
+from caretrail.llm.near_vectors import Grid, enough, near_vectors, train_grids, unit, usable
 from caretrail.llm.stored import Scratch
 
 
@@ -89,3 +90,34 @@ def test_multi_sequence_order():
     for row, cells in enumerate(grid.visited(x, 36)):
         sums = [one[row, c // 6] + two[row, c % 6] for c in cells]
         assert sums == sorted(sums) and len(set(cells)) == 36 and cells[0] == grid.home(x)[row]
+
+
+def test_small_groups_beside_a_hot_one(spark):
+    dice = np.random.default_rng(5)
+    rows = [(i, [float(v) for v in np.eye(16)[0]], 1) for i in range(600)]  # copies, all in one cell
+    for i in range(600):  # pairs just within reach, often of different cells
+        v = unit(dice.normal(size=(1, 16)))[0]
+        w = dice.normal(size=16)
+        w -= (w @ v) * v
+        w = v * 0.982 + w / np.sqrt(w @ w) * np.sqrt(1 - 0.982**2)
+        rows += [(1000 + 2 * i, list(map(float, v)), 1), (1001 + 2 * i, list(map(float, w)), 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    links, component = brute(rows)
+    out = {r.vec_id: r for r in near_vectors(df, codewords=16).collect()}
+    small = [i for i, r in enumerate(rows) if r[0] >= 1000]
+    found = sum(out[rows[i][0]].n_links for i in small)
+    assert 0.998 * sum(len(links[i]) for i in small) <= found <= sum(len(links[i]) for i in small)
+    assert sum(out[rows[i][0]].component_id == component.get(rows[i][0], rows[i][0]) for i in small) >= 0.998 * len(small)
+
+    # Few askers show nothing: all cells within reach are asked, and nothing is lost.
+    given = usable(df, "vec_id", "embedding", "label").withColumn("row", F.monotonically_increasing_id()).cache()
+    assert train_grids(given, 0.98, 0.999, 20_000, 16, values=16 * 100)[16].visits is None
+    exact = {r.vec_id: r for r in near_vectors(df, codewords=16, values=16 * 100).collect()}
+    assert all(exact[r[0]].n_links == len(links[i]) and exact[r[0]].component_id == component.get(r[0], r[0]) for i, r in enumerate(rows))
+
+
+def test_enough_visits():
+    assert enough({}, 0.0, 0.0, False, 0.999, 64) is None and enough({}, 0.0, 0.0, True, 0.999, 64) == 1
+    assert enough({1: 9.0, 3: 1.0}, 10.0, 1.0, True, 0.9, 64) == 1 and enough({1: 9.0, 3: 1.0}, 10.0, 1.0, True, 0.95, 64) == 3
+    assert enough({1: 5000.0}, 5000.0, 5000.0, False, 0.999, 64) == 1 and enough({1: 500.0}, 500.0, 500.0, False, 0.999, 64) is None
+    assert enough({1: 9.0, 65: 1.0}, 10.0, 1.0, True, 0.95, 64) is None
