@@ -1,20 +1,20 @@
 """Secret scan: patterns over a text and over every layer that is nested in it.
 
 Worklist: a text is the first layer. From a layer come further ones: the same text with its percent escapes or its
-Unicode escapes decoded, and the content of each base64 run, unpacked where it is compressed. Each layer is scanned and
-unwrapped in turn until nothing new comes up; a layer whose content was seen at the same place ends its branch, so
-cycles end too. Every layer knows which code points of the original each of its characters stands for, so what is found
+Unicode escapes decoded, the content of each base64 run (also one that is wrapped over lines, and at each of the four
+alignments), and that of each gzip, zlib or bzip2 stream, whichever escape gave its bytes. Decoded bytes are characters of
+the same number: what is looked for is ASCII, and no byte is lost. Each layer is scanned and unwrapped in turn until
+nothing new comes up; a layer whose content was seen at the same place ends its branch, so cycles end too. Every layer knows which code points of the original each of its characters stands for, so what is found
 anywhere is reported as a span of the original text.
 
 Defined cases: a null text is an empty one; an empty text has no spans; repeated rows each get their result; ids may be
-null and are passed through. Texts of any length are scanned whole. A compressed layer is unpacked up to `most_bytes`
-(default 64 MB, far above what a text can mean to hide); a longer one is a decompression bomb, whose start is scanned
-up to that bound.
+null and are passed through. Texts of any length are scanned whole. All members of a
+compressed stream are read to their end; content above `most_bytes` (default 64 MB) is scanned in windows of that size,
+each sharing half with the next, so only a match or a nested run of more than half a window can be cut.
 """
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
@@ -38,7 +38,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}")
+BREAK = re.compile(r"[\x20\t]*(?:\r\n?|\n|(?:\\r)?\\n)[\x20\t]*")
+WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{16,}}+(?:{BREAK.pattern}[A-Za-z0-9+/_-]++(?![\x20\t]*[A-Za-z0-9]))+")
+PACKED = re.compile(r"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)")
+# Bytes without any of these hold no secret and no further layer.
+LIVE = re.compile(rb"[A-Za-z0-9+/_-]{16}|%[0-9A-F]{2}|\\[ux]|&#|\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh|passw|secret|token|api_?key", re.IGNORECASE)
+URL_SAFE = str.maketrans("-_", "+/")
+FEED, PIECE = 1 << 10, 1 << 20
 
 Span = tuple[str, int, int]
 
@@ -65,6 +72,9 @@ class Layer:
     def __init__(self, text: str, at: list[int], start: list[int], end: list[int], one: list[bool]):
         self.text, self.at, self.start, self.end, self.one = text, at, start, end, one
 
+    def whole(self) -> tuple[int, int]:
+        return self.start[0], self.end[-1]
+
     def origin(self, begin: int, stop: int) -> tuple[int, int]:
         i, j = bisect_right(self.at, begin) - 1, bisect_right(self.at, stop - 1) - 1
         left = self.start[i] + (begin - self.at[i] if self.one[i] else 0)
@@ -101,22 +111,31 @@ class Layer:
         return Layer("".join(texts), at, start, end, one)
 
 
+class Decoded(Layer):
+    """The bytes of a base64 run, whose characters lie at `chars` of the source; its pieces are made when first asked for."""
+
+    def __init__(self, text: str, source: Layer, chars: list[int] | range):
+        self.text, self.source, self.chars = text, source, chars
+
+    def whole(self) -> tuple[int, int]:
+        return self.source.origin(self.chars[0], self.chars[-1] + 1)
+
+    def __getattr__(self, name: str):
+        if name not in ("at", "start", "end", "one"):
+            raise AttributeError(name)
+        n, last = len(self.text), len(self.chars) - 1  # three bytes are four characters of the run
+        places = [self.source.origin(self.chars[i // 3 * 4], self.chars[min(last, i // 3 * 4 + 3)] + 1) for i in range(0, n, 3)]
+        self.at, self.one = range(n), [False] * n
+        self.start, self.end = ([places[i // 3][side] for i in range(n)] for side in (0, 1))
+        return getattr(self, name)
+
+
 def percent_parts(text: str) -> list[tuple[int, int, str]]:
-    """Each escape run as its characters; one part a character, so that spans inside a run stay sharp."""
+    """Each escape as the character of its byte; one part an escape, so that spans inside a run stay sharp."""
     parts = []
     for m in PERCENT.finditer(text):
         raw, at = binascii.unhexlify(m[0].replace("%", "")), m.start()
-        try:
-            decoded = raw.decode()
-        except UnicodeDecodeError:
-            decoded = None
-        if decoded is None:
-            parts += [(at + 3 * i, at + 3 * i + 3, chr(b)) for i, b in enumerate(raw) if b < 128]
-        else:
-            for char in decoded:
-                width = 3 * len(char.encode())
-                parts.append((at, at + width, char))
-                at += width
+        parts += [(at + 3 * i, at + 3 * i + 3, chr(b)) for i, b in enumerate(raw)]
     return parts
 
 
@@ -124,54 +143,86 @@ def unicode_parts(text: str) -> list[tuple[int, int, str]]:
     parts = []
     for m in UNICODE.finditer(text):
         code = int(m[4]) if m[4] else int(m[1] or m[2] or m[3], 16)
-        if 0 < code < 0x110000 and not 0xD800 <= code < 0xE000:
+        if code < 0x110000 and not 0xD800 <= code < 0xE000:
             parts.append((m.start(), m.end(), chr(code)))
     return parts
 
 
-def unpacked(raw: bytes, most_bytes: int) -> bytes:
-    """Content of a gzip, zlib or bzip2 stream up to the bound; other bytes as they are. Nested streams are unwrapped."""
-    for _ in range(8):
-        try:
-            if raw[:2] == b"\x1f\x8b" or (len(raw) > 2 and raw[0] == 0x78 and int.from_bytes(raw[:2], "big") % 31 == 0):
-                raw = zlib.decompressobj(wbits=47).decompress(raw, most_bytes)
-            elif raw[:3] == b"BZh":
-                raw = bz2.BZ2Decompressor().decompress(raw, most_bytes)
-            else:
-                break
-        except (zlib.error, OSError, ValueError):
-            break
-    return raw
+def inflated(text: str, at: int) -> Iterator[tuple[bytes, int]]:
+    """Content of the stream that begins there, all members, in pieces, each with the end of what was read so far."""
+    while PACKED.match(text, at):
+        one = bz2.BZ2Decompressor() if text[at] == "B" else zlib.decompressobj(wbits=47)
+        while not one.eof:
+            chunk = text[at : at + FEED]
+            try:
+                raw = chunk.encode("latin-1")
+            except UnicodeEncodeError as error:  # no byte: the stream ends before it
+                raw = chunk[: error.start].encode("latin-1")
+            if not raw:
+                return
+            at += len(raw)
+            try:
+                more = True
+                while more:
+                    yield one.decompress(raw, PIECE), at
+                    raw = getattr(one, "unconsumed_tail", b"")
+                    more = not one.eof and (bool(raw) or not getattr(one, "needs_input", True))
+            except (zlib.error, OSError, ValueError):
+                return
+        at -= len(one.unused_data)
+        yield b"", at
+
+
+def windows(pieces: Iterator[tuple[bytes, int]], most_bytes: int) -> Iterator[bytes]:
+    """The pieces as windows of `most_bytes`, each sharing half with the next."""
+    held, fresh = bytearray(), False
+    for piece, _ in pieces:
+        held += piece
+        fresh = fresh or bool(piece)
+        while len(held) >= most_bytes:
+            yield bytes(held[:most_bytes])
+            del held[: max(1, most_bytes // 2)]
+            fresh = len(held) > most_bytes // 2
+    if fresh:
+        yield bytes(held)
+
+
+def packed_layers(layer: Layer, most_bytes: int) -> Iterator[Layer]:
+    """Content of each compressed stream among the characters that are bytes."""
+    done = 0
+    for m in PACKED.finditer(layer.text):
+        if m.start() < done:
+            continue
+        end, got = m.start(), False
+        for piece, end in inflated(layer.text, m.start()):
+            got = got or bool(piece)
+        if not got:
+            continue
+        done, (left, right) = end, layer.origin(m.start(), end)
+        for raw in windows(inflated(layer.text, m.start()), most_bytes):
+            if LIVE.search(raw):
+                yield Layer(raw.decode("latin-1"), [0], [left], [right], [False])
 
 
-def base64_layers(layer: Layer, most_bytes: int) -> Iterator[Layer]:
+def base64_layers(layer: Layer) -> Iterator[Layer]:
     for m in BASE64.finditer(layer.text):
-        run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(run) % 4 == 1 or run.isalpha() and (run.islower() or run[1:].islower()):
-            continue  # a word, not an encoding: base64 of text mixes cases and digits
-        try:
-            raw = base64.b64decode(run + "=" * (-len(run) % 4))
-            inner = unpacked(raw, most_bytes)
-            text = inner.decode()
-        except (ValueError, binascii.Error):
-            continue
-        if inner is not raw or not text.isascii() and len(raw) < 8:
-            yield Layer(text, [0], [layer.origin(m.start(), m.end())[0]], [layer.origin(m.start(), m.end())[1]], [False])
-            continue
-        at, start, end, size = [], [], [], 0
-        places, done = [], 0
-        for char in text:  # three bytes are four characters of the run
-            width = len(char.encode())
-            places.append((done // 3 * 4, min(len(run), -(-(done + width) // 3) * 4)))
-            done += width
-        for place in places:
-            a, b = layer.origin(m.start() + place[0], m.start() + place[1])
-            at.append(size)
-            start.append(a)
-            end.append(b)
-            size += 1
-        if text:
-            yield Layer(text, at, start, end, [False] * len(at))
+        yield from aligned(layer, m[0], range(m.start(), m.end()))
+    for m in WRAPPED.finditer(layer.text) if "\n" in layer.text or "\r" in layer.text or "\\n" in layer.text else ():
+        chars, at = [], m.start()
+        for gap in [*BREAK.finditer(layer.text, m.start(), m.end()), None]:
+            chars += range(at, gap.start() if gap else m.end())
+            at = gap.end() if gap else at
+        yield from aligned(layer, BREAK.sub("", m[0]), chars)
+
+
+def aligned(layer: Layer, run: str, chars: list[int] | range) -> Iterator[Layer]:
+    """What the run says when read from each of its first four characters on."""
+    run = run.translate(URL_SAFE)
+    for skip in range(4):
+        size = len(run) - skip - ((len(run) - skip) % 4 == 1)
+        raw = binascii.a2b_base64(run[skip : skip + size] + "=" * (-size % 4))
+        if LIVE.search(raw):
+            yield Decoded(raw.decode("latin-1"), layer, chars[skip : skip + size])
 
 
 def scan(text: str, most_bytes: int = 64 << 20) -> tuple[list[Span], set[Span]]:
@@ -185,7 +236,9 @@ def scan(text: str, most_bytes: int = 64 << 20) -> tuple[list[Span], set[Span]]:
         for escape, parts_of in (("%", percent_parts), ("\\", unicode_parts), ("&#", unicode_parts)):
             if escape in layer.text and (parts := parts_of(layer.text)):
                 work += _new(layer.replaced(parts), seen, added)
-        for inner in base64_layers(layer, most_bytes):
+        for inner in base64_layers(layer):
+            work += _new(inner, seen, added)
+        for inner in packed_layers(layer, most_bytes):
             work += _new(inner, seen, added)
     return base, added - set(base)
 
@@ -193,7 +246,7 @@ def scan(text: str, most_bytes: int = 64 << 20) -> tuple[list[Span], set[Span]]:
 def _new(layer: Layer, seen: set, added: set[Span]) -> list[Layer]:
     if not layer.text:
         return []
-    mark = (hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest(), layer.start[0], layer.end[-1])
+    mark = (hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest(), *layer.whole())
     if mark in seen:
         return []
     seen.add(mark)
