@@ -1,6 +1,7 @@
 """Registered queries: each runs, and those with SQL equal it."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from caretrail.checks import CHECKS
@@ -34,3 +35,10 @@ def test_entry_runs(spark):
 def test_every_query_names_what_it_covers():
     assert all(c.ids for c in CHECKS.values())
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_daily_report_has_every_day(spark, tables):
+    df = entry.queries()["m19_daily_report_all_days"](spark, SMALL)
+    first, last = tables.encounter.agg(F.min("encounter_date"), F.max("encounter_date")).first()
+    days = {r[0] for r in df.select("period_end").distinct().collect()}
+    assert max(days) == last and len(days) == (last - min(days)).days + 1 and (min(days) - first).days < 31
