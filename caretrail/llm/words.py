@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,15 +42,21 @@ def prefix_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, down
 
 
-def lower_table(separators: bytes) -> np.ndarray:
-    """Bytes as words have them: A-Z lower-cased, separators 0."""
-    table = np.arange(256, dtype=np.uint8)
+class Table(NamedTuple):
+    """Bytes as words have them, A-Z lower-cased, and which of them separate words."""
+
+    lower: np.ndarray
+    separates: np.ndarray
+
+
+def lower_table(separators: bytes) -> Table:
+    table, separates = np.arange(256, dtype=np.uint8), np.zeros(256, bool)
     table[65:91] += 32
-    table[list(separators)] = 0
-    return table
+    separates[list(separators)] = True
+    return Table(table, separates)
 
 
-SPACES = lower_table(b"\x20\t\n\x0b\x0c\r")  # a NUL byte counts as a separator only where texts join, see `texts_of`
+SPACES = lower_table(b"\x20\t\n\x0b\x0c\r")
 PLAIN = lower_table(bytes(b for b in range(128) if not chr(b).isalnum()))
 
 
@@ -77,10 +84,9 @@ def slices(starts: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]
 class Words:
     """Words of some texts in order: `row` and `start`, `end` (bytes within the joined texts) and `hash`."""
 
-    def __init__(self, data: np.ndarray, starts: np.ndarray, table: np.ndarray):
+    def __init__(self, data: np.ndarray, starts: np.ndarray, table: Table):
         n, self.text_start = len(starts) - 1, starts
-        kinds = table[data]
-        inside = kinds != 0
+        inside = ~table.separates[data]
         first = np.zeros(len(data) + 1, bool)  # a word never crosses texts
         first[starts[:-1]] = True
         before = np.r_[False, inside[:-1]] if len(data) else inside
@@ -89,7 +95,7 @@ class Words:
         ends = inside & (~after | first[1:])
         self.start, self.end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         self.row = np.searchsorted(starts, self.start, "right") - 1
-        sums, down = prefix_hashes(kinds)
+        sums, down = prefix_hashes(table.lower[data])
         self.hash = mixed((sums[self.end] - sums[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
         self.counts = np.bincount(self.row, minlength=n)
         self.first = np.concatenate([[0], np.cumsum(self.counts)])
@@ -98,7 +104,7 @@ class Words:
         """Hash of the n words from each word on; only valid where the row has that many."""
         out = np.full(max(0, len(self.hash) - n + 1), 0x51_7C_C1_B7_27_22_0A_95, np.uint64)
         for i in range(n):
-            out = mixed(out * BASE + self.hash[i : len(self.hash) - n + 1 + i])
+            out = mixed(out * BASE + self.hash[i : i + len(out)])
         return out
 
     def whole(self, n: int) -> np.ndarray:

@@ -7,7 +7,7 @@ import pytest
 
 from caretrail.llm.ngram_join import Sets, apart_pairs, bands, document_components, may_link, node_texts, one_of_each, signatures, sketches
 from caretrail.llm.stored import Scratch
-from caretrail.llm.words import column_bytes
+from caretrail.llm.words import SPACES, Words, column_bytes
 
 
 def shingles(text):
@@ -153,3 +153,13 @@ def test_members_in_blocks_equal_all_pairs(spark):
     for block in (8, 1000):
         out = apart_pairs(named, table, Scratch(spark, "test-blocks"), 75, block).collect()
         assert {(r.x, r.y) for r in out} == expected and len(out) == len(expected) > 20
+
+
+def test_nul_belongs_to_a_word(spark):
+    rows = [(1, "a\x00b c d e f g"), (2, "a b c d e f g"), (3, "\x00"), (4, "\x00\x00 \x00"), (5, "A\x00B c d e f g"), (6, "one\x00 two \x00three four five six\x00seven")]
+    assert run(spark, rows) == brute(rows)
+    texts = [t for _, t in rows]
+    data, starts = column_bytes(pa.array(texts))
+    words = Words(data, starts, SPACES)
+    got = [data[a:b].tobytes().decode() for a, b in zip(words.start, words.end, strict=True)]
+    assert got == [w for t in texts for w in re.findall(r"[^\x20\x09-\x0d]+", t)]
