@@ -124,12 +124,15 @@ class Benchmark:
         return np.stack([walk(windows, sizes, seed) for seed in range(self.walks)], axis=1)
 
     def _enough_walks(self, recall: float) -> int:
-        """Walks after which the target share of edited copies collides; each copy has as many edits as an item may have
-        and stands in other text."""
+        """Walks after which the target share of edited copies collides in each class of sizes (a doubling each); each copy has as many
+        edits as an item may have and stands in other text. Items of a class that does not reach it are marked as exact."""
+        self.exact = np.zeros(len(self.items), bool)
         if not self.items:
             return 1
         dice, texts = np.random.default_rng(5), []
-        chosen = [self.items[i] for i in np.resize(dice.permutation(len(self.items)), 400)]
+        classes = np.array([int(n).bit_length() for n in self.sizes])
+        picks = [np.resize(dice.permutation(np.flatnonzero(classes == c)), 200) for c in np.unique(classes)]
+        chosen = [self.items[i] for i in np.concatenate(picks)]
         for item in chosen:
             edited = item.words.tolist()
             for _ in range(item.edits):
@@ -147,9 +150,16 @@ class Benchmark:
         item, begin, row = item[own], begin[own], row[own]
         windows = window_rows(words.hash, begin, words.first[row], words.first[row + 1], self.sizes[item], self.longest)
         equal = self.keys_of(windows, self.sizes[item]) == self.keys[item]
-        first = np.full(len(texts), self.walks)
-        np.minimum.at(first, row, np.where(equal.any(axis=1), equal.argmax(axis=1) + 1, self.walks))
-        return int(np.quantile(first, recall, method="higher"))
+        first = np.full(len(texts), np.inf)
+        np.minimum.at(first, row, np.where(equal.any(axis=1), equal.argmax(axis=1) + 1, np.inf))
+        walks = 1
+        for c, found in zip(np.unique(classes), first.reshape(len(picks), -1), strict=True):
+            need = np.sort(found)[min(len(found) - 1, int(np.ceil(recall * (len(found) - 1))))]
+            if np.isinf(need):
+                self.exact[classes == c] = True
+            else:
+                walks = max(walks, int(need))
+        return walks
 
     def _windows(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Item, first word and row of the windows that are aligned on a shared run and have, within the edits around them, as many
@@ -185,7 +195,7 @@ class Benchmark:
             for part in np.array_split(np.arange(len(item)), len(item) // 20_000 + 1):
                 k, s, r = item[part], begin[part], row[part]
                 windows = window_rows(words.hash, s, words.first[r], words.first[r + 1], self.sizes[k], self.longest)
-                hit = (self.keys_of(windows, self.sizes[k]) == self.keys[k]).any(axis=1)
+                hit = self.exact[k] | (self.keys_of(windows, self.sizes[k]) == self.keys[k]).any(axis=1)
                 for k, s, r in zip(k[hit].tolist(), s[hit].tolist(), r[hit].tolist(), strict=True):
                     found = self._verified(words, k, s, r, known)
                     if found:

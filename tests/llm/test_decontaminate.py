@@ -119,3 +119,29 @@ def test_recall_target_sets_the_walks():
     dice = np.random.default_rng(0)
     items = [(i, dice.integers(1 << 62, size=40).astype(np.uint64)) for i in range(50)]
     assert 1 <= Benchmark(items, recall=0.5).walks <= Benchmark(items, recall=0.99).walks
+
+
+def test_classes_out_of_reach_are_verified_exactly():
+    dice = np.random.default_rng(3)
+    items = [(i, dice.integers(1 << 62, size=8).astype(np.uint64)) for i in range(300)]
+    items += [(300 + i, dice.integers(1 << 62, size=200).astype(np.uint64)) for i in range(3)]  # few long ones among many short
+    few = Benchmark(items, recall=0.99, most_walks=2)
+    assert few.exact[300:].all()
+    assert Benchmark(items[:300], max_edits=0.0).exact.sum() == 0
+
+    words = [[f"w{i}x{j}" for j in range(200)] for i in range(3)]
+    texts = []
+    for own in words:
+        for turn in range(10):  # as many edits as a match may have, spread so that long runs stay
+            text = list(own)
+            for j in range(40):
+                text[(turn + 5 * j) % 160 if j % 2 else 160 + j] = f"z{j}"
+            texts.append(" ".join(["a", *text, "b"]))
+    column = pa.array([" ".join(w) for w in words])
+    data, starts = column_bytes(column)
+    hashes = Words(data, starts, PLAIN)
+    long = [(i, hashes.hash[hashes.first[i] : hashes.first[i + 1]]) for i in range(3)]
+    bench = Benchmark(long, recall=0.99, most_walks=1)
+    assert bench.exact.all()
+    found = bench.find(pa.array(texts))
+    assert all(i // 10 in found.get(i, {}) for i in range(len(texts)))
