@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from caretrail.llm.byte_bpe import byte_bpe_digest
 from caretrail.llm.decontaminate import leaks
+from caretrail.llm.filter_audit import ORACLE as AUDIT_SQL
+from caretrail.llm.filter_audit import filter_audit
 from caretrail.llm.near_vectors import near_vectors
 from caretrail.llm.ngram_join import document_components
 from caretrail.llm.pieces import piece_digest
@@ -70,6 +73,16 @@ def suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_digest(table(spark, folder, "documents"))
 
 
+@query("op11_filter_interaction_audit", AUDIT_SQL)
+def filter_interaction_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op12_byte_level_bpe")
+def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe_digest(table(spark, folder, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
