@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from caretrail.llm.byte_bpe import byte_bpe_digest
+from caretrail.llm.conversations import conversation_digest
 from caretrail.llm.decontaminate import leaks
 from caretrail.llm.filter_audit import ORACLE as AUDIT_SQL
 from caretrail.llm.filter_audit import filter_audit
@@ -83,6 +84,11 @@ def byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe_digest(table(spark, folder, "documents"))
 
 
+@query("op13_conversation_structure_repair")
+def conversation_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_digest(table(spark, folder, "conversations"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
