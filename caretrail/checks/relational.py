@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caretrail.checks.incremental import shared
 from caretrail.checks.registry import check
 from caretrail.functions import dates as d
 from caretrail.operators import aggregates as agg
@@ -36,7 +37,7 @@ def scan(t: Tables) -> DataFrame:
 
 @check(
     "a02_read_delimited_lines",
-    "A2 A3",
+    "A2",
     "SELECT encounter_id, person_id, CAST(encounter_type AS INTEGER) AS encounter_type, encounter_date FROM encounter",
 )
 def read_lines(t: Tables) -> DataFrame:
@@ -54,9 +55,53 @@ def export(t: Tables) -> DataFrame:
     return sinks.delimited_lines(t.encounter.select("encounter_id", "person_id", "encounter_type", "encounter_date"))
 
 
+@check(
+    "a02_delimited_files",
+    "A2 A4",
+    "SELECT encounter_id, encounter_type, encounter_date, location_id + 1 AS next_site FROM encounter WHERE encounter_type <> 116",
+)
+def delimited_files(t: Tables) -> DataFrame:
+    """Encounters exported to quoted files with a header and read back by inferred types, four columns of seven."""
+    path = f"{shared(t, 'a02')}/encounters"
+    sinks.export_delimited(t.encounter.drop("date_voided", "date_changed", "encounter_datetime"), path)
+    rows = sinks.read_delimited(t.spark, path).filter("encounter_type <> 116")
+    return rows.select(c("encounter_id").cast("long"), "encounter_type", "encounter_date", (c("location_id") + 1).alias("next_site"))
+
+
+@check("a03_headerless_list", "A3 E3", "SELECT DISTINCT person_id FROM patient_program WHERE program_id = 2")
+def headerless_list(t: Tables) -> DataFrame:
+    """A list of persons in files of one column without a header, loaded into a table."""
+    folder = shared(t, "a03")
+    t.patient_program.filter("program_id = 2").select("person_id").distinct().write.csv(f"{folder}/list")
+    return sinks.load_delimited(t.spark, f"{folder}/list", f"{folder}/table", "person_id bigint")[0]
+
+
+_spoilt = "CASE WHEN encounter_id % 97 = 5 THEN 'number' WHEN encounter_id % 89 = 7 THEN 'columns' WHEN encounter_id % 83 = 9 THEN 'date' END"
+_line = {
+    "number": "encounter_id || ',many,' || encounter_date",
+    "columns": "encounter_id || ',' || encounter_type",
+    "date": "encounter_id || ',' || encounter_type || ',in ' || encounter_date",
+}
+_lines = f"CASE spoilt {' '.join(f"WHEN '{k}' THEN {v}" for k, v in _line.items())} ELSE encounter_id || ',' || encounter_type || ',' || encounter_date END"
+
+
+@check(
+    "a04_rejected_lines",
+    "A2 A4",
+    f"""SELECT CASE WHEN spoilt IS NULL THEN encounter_id END AS encounter_id, CASE WHEN spoilt IS NULL THEN encounter_type END AS encounter_type,
+      CASE WHEN spoilt IS NULL THEN encounter_date END AS encounter_date, CASE WHEN spoilt IS NOT NULL THEN {_lines} END AS rejected_line FROM (SELECT *, {_spoilt} AS spoilt FROM encounter)""",
+)
+def rejected_lines(t: Tables) -> DataFrame:
+    """Lines of encounters, some of them spoilt, loaded by a schema: the rows of good ones, and the bad ones as they are."""
+    folder = shared(t, "a04")
+    t.encounter.withColumn("spoilt", F.expr(_spoilt)).select(F.expr(_lines).alias("line")).write.text(f"{folder}/lines")
+    rows, rejected = sinks.load_delimited(t.spark, f"{folder}/lines", f"{folder}/table", "encounter_id bigint, encounter_type int, encounter_date date")
+    return rows.unionByName(rejected, allowMissingColumns=True)
+
+
 @check(
     "a06_keyed_upsert",
-    "A5 A6 A13",
+    "A6",
     """SELECT encounter_id, person_id, CASE WHEN date_created >= DATE '2001-01-01' THEN encounter_type + 1000 ELSE encounter_type END AS encounter_type FROM encounter
       UNION ALL SELECT encounter_id + 100000000, person_id, 7 FROM encounter WHERE encounter_date >= DATE '2001-07-01'""",
 )
@@ -95,7 +140,7 @@ def insert_ignore(t: Tables) -> DataFrame:
 
 @check(
     "a10_run_log_row",
-    "A10 K1 K2 F15",
+    "F15",
     """SELECT 'encounter' AS table_name, COALESCE(MAX(CASE WHEN voided = 0 THEN date_created END), DATE '1900-01-01') AS date_updated, COUNT(*) AS rows_written FROM encounter
       UNION ALL SELECT 'obs', COALESCE(MAX(CASE WHEN voided = 0 THEN obs_date END), DATE '1900-01-01'), COUNT(*) FROM obs""",
 )
@@ -616,8 +661,9 @@ def both_ways(t: Tables) -> DataFrame:
     "I6 K3",
     """SELECT person_id FROM encounter WHERE GREATEST(date_created, date_changed, date_voided) >= DATE '2001-07-01'
       UNION SELECT person_id FROM obs WHERE GREATEST(date_created, date_changed, date_voided) >= DATE '2001-07-01'
-      UNION SELECT person_id FROM clinical_order WHERE date_activated >= DATE '2001-07-01'
-      UNION SELECT person_id FROM person WHERE date_voided >= DATE '2001-07-01'""",
+      UNION SELECT person_id FROM lab_event WHERE GREATEST(date_created, date_changed) >= DATE '2001-07-01'
+      UNION SELECT person_id FROM clinical_order WHERE GREATEST(date_activated, date_changed) >= DATE '2001-07-01'
+      UNION SELECT person_id FROM person WHERE GREATEST(date_voided, date_changed) >= DATE '2001-07-01'""",
 )
 def changed_keys(t: Tables) -> DataFrame:
     from caretrail.operators.incremental import changed_persons

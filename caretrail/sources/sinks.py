@@ -1,17 +1,11 @@
-"""Writing datasets: staged publishes, keyed upserts and deletes on plain parquet, exports and the run log."""
+"""Upserts and deletes by key, output schemas, and delimited exports; stored datasets are in `datasets`."""
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable
-from datetime import datetime
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-LOG_SCHEMA = "date_created timestamp, date_updated timestamp, table_name string, seconds_to_complete double, rows_written bigint"
-
 
 def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """Rows of `new`, and those of `old` whose key is not in `new`."""
@@ -41,65 +35,6 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
-class Store:
-    """Published datasets as versioned parquet folders under one root.
-
-    A build writes a new version folder; a version counts once its commit marker is there. Readers therefore see the
-    old rows or the new ones, a job may read the dataset it is rewriting, and a failed build leaves nothing to undo.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def _path(self, *parts: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def versions(self, name: str) -> list[str]:
-        path, files = self._path(name)
-        if not files.exists(path):
-            return []
-        found = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
-        return sorted(v for v in found if files.exists(self._path(name, v, "_SUCCESS")[0]))
-
-    def exists(self, name: str) -> bool:
-        return bool(self.versions(name))
-
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}/{self.versions(name)[-1]}")
-
-    def publish(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        """Write a new version; returns the rows written, counted while writing."""
-        seen = Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self.root}/{name}/v{time.time_ns()}")
-        return seen.get["rows"]
-
-    def log(self, name: str, updated: datetime | None, seconds: float, rows: int) -> None:
-        row = [(datetime.now(), updated, name, float(seconds), int(rows))]
-        self.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
-
-    def run_log(self) -> DataFrame:
-        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/_log")
-
-    def high_water_mark(self, name: str, fallback: datetime) -> datetime:
-        """Newest source time already handled for a dataset; the fallback on the first run."""
-        path, files = self._path("_log")
-        if not files.exists(path):
-            return fallback
-        mark = self.run_log().filter(F.col("table_name") == name).agg(F.max("date_updated")).first()[0]
-        return mark or fallback
-
-    def build(self, name: str, make: Callable[[], DataFrame], updated: datetime | None = None) -> int:
-        """Make, publish and log a dataset."""
-        start = time.monotonic()
-        rows = self.publish(name, make())
-        self.log(name, updated, time.monotonic() - start, rows)
-        return rows
-
-
 def export_delimited(df: DataFrame, path: str) -> None:
     """Quoted comma-separated files, one per partition."""
     df.write.mode("errorifexists").option("quoteAll", True).option("header", True).csv(path)
@@ -108,3 +43,23 @@ def export_delimited(df: DataFrame, path: str) -> None:
 def delimited_lines(df: DataFrame) -> DataFrame:
     """The lines such an export holds."""
     return df.select(F.to_csv(F.struct(*[F.col(c).cast("string") for c in df.columns]), {"quoteAll": "true"}).alias("line"))
+
+
+def read_delimited(spark: SparkSession, path: str, schema: str | None = None, header: bool = True, sampled: float = 1.0, **options) -> DataFrame:
+    """Delimited files. Without a schema the types are inferred, from a share of the lines if one is given. Only columns that are used are parsed."""
+    reader = spark.read.options(header=header, **options)
+    return (reader.schema(schema) if schema else reader.options(inferSchema=True, samplingRatio=sampled)).csv(path)
+
+
+REJECTED = "rejected_line"
+
+
+def load_delimited(spark: SparkSession, path: str, into: str, schema: str, header: bool = False, **options) -> tuple[DataFrame, DataFrame]:
+    """Load delimited files into a table: its rows, and the lines that do not fit the schema, as they are.
+
+    All columns of a line are parsed and the outcome is stored once, as Spark cannot tell a bad line from the columns that a later query picks.
+    """
+    lines = read_delimited(spark, path, f"{schema}, {REJECTED} string", header, mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED, **options)
+    lines.write.mode("errorifexists").parquet(into)
+    stored = spark.read.parquet(into)
+    return stored.filter(F.col(REJECTED).isNull()).drop(REJECTED), stored.filter(F.col(REJECTED).isNotNull()).select(REJECTED)

@@ -16,6 +16,7 @@ SELECT c_custkey AS person_id,
  CASE WHEN c_custkey % 29 = 0 THEN CAST('1999-01-01' AS DATE) + CAST(c_custkey % 700 AS INT) END AS death_date,
  CASE WHEN c_custkey % 97 = 0 THEN 1 ELSE 0 END AS voided,
  CASE WHEN c_custkey % 97 = 0 THEN CAST('1999-06-01' AS DATE) + CAST(c_custkey % 800 AS INT) END AS date_voided,
+ CASE WHEN c_custkey % 41 = 7 THEN CAST('1999-09-01' AS DATE) + CAST((c_custkey * 13) % 900 AS INT) END AS date_changed,
  CASE WHEN c_custkey % 53 = 0 THEN 1 ELSE 0 END AS is_test,
  c_nationkey AS home_location_id, c_mktsegment AS population_type
 FROM customer""",
@@ -46,12 +47,15 @@ SELECT l_orderkey AS encounter_id, o_custkey AS person_id, CAST(l_shipdate AS DA
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "clinical_order": """
 SELECT l_orderkey AS encounter_id, o_custkey AS person_id,
- CASE WHEN l_linenumber = 1 THEN 856 WHEN l_linenumber = 2 THEN 657 ELSE 1030 END AS concept_id, CAST(o_orderdate AS DATE) AS date_activated
+ CASE WHEN l_linenumber = 1 THEN 856 WHEN l_linenumber = 2 THEN 657 ELSE 1030 END AS concept_id, CAST(o_orderdate AS DATE) AS date_activated,
+ CASE WHEN l_partkey % 31 = 4 THEN CAST(o_orderdate AS DATE) + CAST(90 + l_partkey % 700 AS INT) END AS date_changed
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' AND l_linenumber <= 3""",
     "lab_event": """
 SELECT event_id AS obs_id, user_id AS person_id, ts AS obs_datetime,
  CASE event_type WHEN 'purchase' THEN 856 WHEN 'view' THEN 5497 WHEN 'click' THEN 730 WHEN 'signup' THEN 1030 ELSE 9239 END AS concept_id,
- value AS value_numeric
+ value AS value_numeric,
+ CAST(ts AS DATE) + CAST(event_id % 20 AS INT) AS date_created,
+ CASE WHEN event_id % 23 = 5 THEN CAST(ts AS DATE) + CAST(20 + event_id % 19 AS INT) END AS date_changed
 FROM events""",
     "visit": """
 SELECT o_orderkey AS visit_id, o_custkey AS person_id, CAST(o_orderdate AS DATE) AS date_started,
