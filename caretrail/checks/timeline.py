@@ -255,7 +255,7 @@ def daily_results(df: DataFrame) -> DataFrame:
     SELECT person_id, day, v1 AS value_1, d1 AS date_1, v2 AS value_2, d2 AS date_2 FROM st""",
 )
 def guarded_results(t: Tables) -> DataFrame:
-    return fold.accepted_results(daily_results(measured(t)), ["person_id"])
+    return fold.accepted_results(daily_results(measured(t)), ["person_id"], block=F.year("day") if t.hot_persons else None)
 
 
 @check(

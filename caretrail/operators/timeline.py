@@ -24,7 +24,7 @@ ORDER = ("encounter_date", "day_rank", "encounter_datetime", "encounter_id")
 
 @dataclass(frozen=True)
 class Look:
-    kind: str  # lag | lead | last | first | next | sum | max | min
+    kind: str  # lag | lead | last | first | next | ahead | sum | max | min
     value: Column  # the value read; null means "nothing here" for all kinds but lag and lead
     here: bool = True  # whether the current row takes part
     boxed: bool = False  # value is struct(v): a null v is a real value
@@ -79,6 +79,14 @@ def latest_max(value: Column) -> Look:
     return Look("max", value)
 
 
+def max_ahead(value: Column) -> Look:
+    """Greatest value on this row or a later one."""
+    return Look("ahead", value)
+
+
+BACKWARD = ("next", "ahead")
+
+
 class Timeline:
     """Evaluates looks over rows keyed by `key` and ordered by `order` (a total order)."""
 
@@ -100,7 +108,7 @@ class Timeline:
         if look.kind == "lead":
             return F.lead(look.value).over(ahead)
         window = ahead
-        if look.kind == "next":
+        if look.kind in BACKWARD:
             # Walk backwards: a frame that grows from one end is linear, one that shrinks is not.
             window = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in self.order])
         window = window.rowsBetween(Window.unboundedPreceding, 0 if look.here else -1)
@@ -120,7 +128,7 @@ class Timeline:
         summary = []
         for i, (name, look) in enumerate(looks.items()):
             window = Window.partitionBy(*parts).orderBy(*self.order)
-            if look.kind == "next":
+            if look.kind in BACKWARD:
                 window = Window.partitionBy(*parts).orderBy(*[F.col(c).desc() for c in self.order])
             window = window.rowsBetween(Window.unboundedPreceding, 0 if look.here else -1)
             inside = inside.withColumn(f"__in{i}", _pick(look)(look.value).over(window))
@@ -132,6 +140,7 @@ class Timeline:
                     "next": F.min_by(look.value, known),
                     "sum": F.sum(look.value),
                     "max": F.max(look.value),
+                    "ahead": F.max(look.value),
                     "min": F.min(look.value),
                 }[look.kind].alias(f"__s{i}")
             )
@@ -139,7 +148,7 @@ class Timeline:
         carried = []
         for i, look in enumerate(looks.values()):
             window = Window.partitionBy(*self.key).orderBy(
-                F.col(self.block).desc() if look.kind == "next" else F.col(self.block)
+                F.col(self.block).desc() if look.kind in BACKWARD else F.col(self.block)
             )
             window = window.rowsBetween(Window.unboundedPreceding, -1)
             carried.append(_pick(look)(F.col(f"__s{i}")).over(window).alias(f"__c{i}"))
@@ -155,6 +164,7 @@ class Timeline:
                 "first": F.coalesce(before, here),
                 "sum": F.when(here.isNotNull() | before.isNotNull(), F.coalesce(here, 0 * before) + F.coalesce(before, 0 * here)),
                 "max": F.greatest(here, before),
+                "ahead": F.greatest(here, before),
                 "min": F.least(here, before),
             }[look.kind]
             joined = joined.withColumn(name, both["v"] if look.boxed else both)
@@ -168,6 +178,7 @@ def _pick(look: Look) -> Callable[[Column], Column]:
         "first": lambda c: F.first(c, ignorenulls=True),
         "sum": F.sum,
         "max": F.max,
+        "ahead": F.max,
         "min": F.min,
     }[look.kind]
 

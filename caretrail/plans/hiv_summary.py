@@ -20,7 +20,9 @@ from caretrail.operators.timeline import (
     carry,
     following,
     latch,
+    latest_max,
     locf,
+    max_ahead,
     next_where,
     pack,
     prev,
@@ -64,12 +66,30 @@ def unknown_date() -> Column:
 def events_until_next_clinical(df: DataFrame, line: Timeline, events: dict[str, tuple[Column, Column]]) -> DataFrame:
     """For every row, the latest event of each kind between the clinical row that opens its gap and the next one.
 
-    Clinical rows number the gaps; a gap is a sub-partition of the person, so no new exchange is planned.
+    Clinical rows number the gaps; a gap is a sub-partition of the person, so no new exchange is planned. Where persons are walked in
+    blocks a gap may span many of them: what it holds up to a row is carried from the blocks before, what follows from those behind.
+    A carried value says which gap it is of, so a new gap takes nothing over.
     """
     df = line.scan(df, __gap=running(F.col("is_clinical")))
-    gap = Window.partitionBy(*line.key, "__gap")
-    found = [F.max(F.when(test & (F.col("is_clinical") != 1), value)).over(gap).alias(n) for n, (test, value) in events.items()]
-    return df.select("*", *found).drop("__gap")
+    values = {n: F.when(test & (F.col("is_clinical") != 1), value) for n, (test, value) in events.items()}
+    if line.block is None:
+        gap = Window.partitionBy(*line.key, "__gap")
+        return df.select("*", *[F.max(v).over(gap).alias(n) for n, v in values.items()]).drop("__gap")
+
+    def of(at: Column, value: Column) -> Column:
+        return F.when(value.isNotNull(), F.struct(at.alias("gap"), value.alias("value")))
+
+    here = F.col("__gap")
+    looks = {f"__to_{n}": latest_max(of(here, v)) for n, v in values.items()}
+    looks |= {f"__from_{n}": max_ahead(of(-here, v)) for n, v in values.items()}
+    df = line.scan(df, **looks)
+    found = [
+        F.greatest(
+            F.when(F.col(f"__to_{n}.gap") == here, F.col(f"__to_{n}.value")), F.when(F.col(f"__from_{n}.gap") == -here, F.col(f"__from_{n}.value"))
+        ).alias(n)
+        for n in values
+    ]
+    return df.select("*", *found).drop("__gap", *looks)
 
 
 def events(t: Tables, facts: dict[str, Fact], questions: list, keys: DataFrame | None) -> DataFrame:

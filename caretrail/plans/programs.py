@@ -11,6 +11,7 @@ from caretrail.operators.facts import Fact, asked, code, date, day, drugs, extra
 from caretrail.operators.flatten import flatten_groups
 from caretrail.operators.joins import first_after, mothers
 from caretrail.operators.periods import as_of, valid_in_period
+from caretrail.operators.spaced import spaced
 from caretrail.operators.timeline import (
     Passes,
     Timeline,
@@ -27,6 +28,7 @@ from caretrail.operators.timeline import (
 from caretrail.plans.hiv_summary import either, yes
 from caretrail.plans.rule_text import SparkText, add_rules, age, flag, status
 from caretrail.plans.spine import encounters
+from caretrail.session import cut_lineage
 from caretrail.sources.tables import Tables, live
 
 c = F.col
@@ -90,12 +92,12 @@ HEI_GAP = 30
 def infant_summary(t: Tables) -> DataFrame:
     """Exposed infants' timeline: up to four PCR results at least a gap apart, antibody screens, feeding, outcome, mother.
 
-    Results are kept in the order they come. Taking one only if it is more than a gap after the last taken one makes
-    each choice depend on the one before, so the days with results are folded.
+    Results are kept in the order they come, each only if it is more than a gap after the last one kept: a choice with a distance, whose
+    first four steps are followed.
     """
     rows = fact_events(t, HEI_FACTS, HEI_QUESTIONS)
     results = rows.filter("pcr IS NOT NULL").groupBy("person_id", c("encounter_date").alias("day")).agg(F.min("pcr").alias("pcr"))
-    states = fold.fold_steps(results, ["person_id"], [spaced_results("hiv_dna_pcr", 4, HEI_GAP)])
+    states = spaced_results(results, "hiv_dna_pcr", 4, HEI_GAP, F.year("__at") if t.hot_persons else None)
     marked = fold.mark_states(rows, states)
 
     def build(part: DataFrame, line: Timeline) -> DataFrame:
@@ -151,22 +153,22 @@ HEI_COLUMNS = [
 ]
 
 
-def spaced_results(name: str, depth: int, gap: int) -> tuple:
-    """Fold step: the first `depth` results, each more than `gap` days after the one taken before."""
-    fields = {f"{name}_{i}{s}": k for i in range(1, depth + 1) for s, k in (("", "double"), ("_date", "date"))}
+def spaced_results(results: DataFrame, name: str, depth: int, gap: int, block: Column | None = None) -> DataFrame:
+    """The first `depth` results of a person, each more than `gap` days after the one taken before, as known from the day of each on.
 
-    def step(s: Column, e: Column) -> dict[str, Column]:
-        out = {}
-        for i in range(1, depth + 1):
-            value, when = s[f"{name}_{i}"], s[f"{name}_{i}_date"]
-            takes = value.isNull()
-            if i > 1:
-                takes = takes & s[f"{name}_{i - 1}"].isNotNull() & (F.datediff(e["day"], s[f"{name}_{i - 1}_date"]) > gap)
-            out[f"{name}_{i}"] = F.when(takes, e["pcr"].cast("double")).otherwise(value)
-            out[f"{name}_{i}_date"] = F.when(takes, e["day"]).otherwise(when)
-        return out
-
-    return "", fields, step
+    `results` has person_id, day and pcr, once a day.
+    """
+    results = cut_lineage(results)
+    taken = spaced(results, ["person_id"], "day", gap, depth, block).join(results, ["person_id", "day"])
+    own = F.struct("nth", F.col("pcr").cast("double").alias("value"), "day")
+    # At most `depth` rows a person: each knows those before it.
+    all_taken = taken.groupBy("person_id").agg(F.array_sort(F.collect_list(own)).alias("all"))
+    rows = all_taken.select("person_id", "all", F.explode("all").alias("now"))
+    fields = []
+    for i in range(depth):
+        known = F.col("now.nth") > i
+        fields += [F.when(known, F.get("all", F.lit(i))[n]).alias(f"{name}_{i + 1}{s}") for n, s in (("value", ""), ("day", "_date"))]
+    return rows.select("person_id", F.col("now.day").alias("day"), *fields)
 
 
 def infant_rules(d) -> list[dict[str, str]]:
