@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from caretrail.checks.care_sql import AFTER, ROW, UPTO, held, locf, months, years
 from caretrail.checks.care_sql import soft as soft_of
+from caretrail.checks.incremental import shared
 from caretrail.checks.registry import SHARED, check
 from caretrail.operators import aggregates as agg
+from caretrail.operators import bitmaps
 from caretrail.operators import episodes as ep
 from caretrail.operators import joins, rules
 from caretrail.operators.timeline import by_timeline, following
 from caretrail.plans import indicators as ind
 from caretrail.plans import legacy as lg
 from caretrail.plans.spine import measured
+from caretrail.sources.datasets import Datasets
 from caretrail.sources.tables import Tables, live
 from caretrail.sources.views import answer_rows_sql
 
@@ -61,16 +64,37 @@ def distinct(tests: dict[str, str]) -> str:
     return ", ".join(f"COUNT(DISTINCT CASE WHEN {v} THEN person_id END) AS {k}" for k, v in tests.items())
 
 
+CARE_SQL = f"""SELECT county, location_id, {distinct(CARE_TESTS)} FROM hiv JOIN location ON location_id = known_location
+      WHERE encounter_date BETWEEN DATE '1999-01-01' AND DATE '1999-12-31' AND encounter_type NOT IN (21, 99999) GROUP BY ROLLUP (county, location_id)"""
+
+
 @check(
     "m30_care_indicators_by_site",
     "M30 F3 F4 F5 L3",
-    f"""SELECT county, location_id, {distinct(CARE_TESTS)} FROM hiv JOIN location ON location_id = known_location
-      WHERE encounter_date BETWEEN DATE '1999-01-01' AND DATE '1999-12-31' AND encounter_type NOT IN (21, 99999) GROUP BY ROLLUP (county, location_id)""",
+    CARE_SQL,
 )
 def care_by_site(t: Tables) -> DataFrame:
     return ind.care_by_site(t, "1999-01-01", "1999-12-31")
 
 
+def care_bitmaps(t: Tables) -> tuple[Datasets, set]:
+    """Stored bitmaps of the indicators per site and month of a year; the last month comes by itself. And the files before that."""
+    rows = ind.care_rows(t, "1999-01-01", "1999-12-31").withColumn("month", F.trunc("encounter_date", "month").cast("date"))
+    last, by = F.lit("1999-12-01").cast("date"), ["county", "location_id", "month"]
+    store = Datasets(t.spark, shared(t, "m30"), 200)
+    store.create("care", bitmaps.person_bitmaps(rows.filter(c("month") < last), ind.care_indicators(), by), ["month"])
+    files = {tuple(r) for r in store.files("care").collect()}
+    new = bitmaps.person_bitmaps(rows.filter(c("month") == last), ind.care_indicators(), by)
+    store.replace("care", t.spark.range(1).select(last.alias("month")), new, ["month"])
+    return store, files
+
+
+@check("m30_care_indicators_from_bitmaps", "M30 F3 F5", CARE_SQL)
+def care_from_bitmaps(t: Tables) -> DataFrame:
+    """A year's distinct patients by site and county, and in all, from the stored bitmaps of its months."""
+    return bitmaps.bitmap_counts(care_bitmaps(t)[0].read("care"), ind.care_indicators(), ["county", "location_id"], rollup=True)
+
+
 @check(
     "m31_appointment_performance",
     "M31 F3 E1",

@@ -59,12 +59,17 @@ def care_indicators() -> dict[str, Column]:
     }
 
 
-def care_by_site(t: Tables, start: str, end: str) -> DataFrame:
-    """Distinct patients per indicator by county and site seen in a period, with subtotals."""
+def care_rows(t: Tables, start: str, end: str) -> DataFrame:
+    """Summary rows of the patients seen in a period, with site and county."""
     rows = hiv_summary(t, columns=CARE_COLUMNS).filter(
         c("encounter_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")) & ~c("encounter_type").isin(21, 99999)
     )
-    rows = rows.withColumnRenamed("known_location", "location_id").join(t.location.select("location_id", "county"), "location_id")
+    return rows.withColumnRenamed("known_location", "location_id").join(t.location.select("location_id", "county"), "location_id")
+
+
+def care_by_site(t: Tables, start: str, end: str) -> DataFrame:
+    """Distinct patients per indicator by county and site seen in a period, with subtotals."""
+    rows = care_rows(t, start, end)
     return indicator_counts(rows, care_indicators(), ["county", "location_id"], rollup=True)
 
 
