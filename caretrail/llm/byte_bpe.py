@@ -2,7 +2,8 @@
 
 The merges are derived from a rank file and run by the tokenizers library in Arrow batches. A rank file says which byte strings
 are tokens and which is merged first; a merge list says it by pairs, so every split of a token into two tokens becomes a pair, in
-the order of the ranks. Matches of the split pattern are encoded one by one, and a match that is a token is taken as it is.
+the order of the ranks. Matches of the split pattern are encoded one by one, and a match that is a token is taken as it is; a match
+met again in a task is looked up.
 
 Defined results: null and empty texts have no tokens and decode to an empty text. Bytes that are not UTF-8 are read as U+FFFD.
 Ids that no token has, null ones among them, decode to U+FFFD. Rows are treated alone, so ties and repeated rows give equal results, and an
@@ -17,22 +18,25 @@ import base64
 import codecs
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
-from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from caretrail.llm.names import beside
 from caretrail.llm.stored import small_batches, tidy
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 CUT = 1 << 16
+KNOWN = 400_000  # matches a task remembers before it begins anew
 BATCH = 1 << 20  # characters of texts encoded together
 # A match never holds a blank after another character, nor an ASCII letter beside a digit.
 BORDER = re.compile(r"(?<=[!-~])(?=[ \n])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
@@ -67,10 +71,8 @@ class ByteBpe:
         spelled = {token: "".join([letters[b] for b in token]) for token in ranks}
         merges = [(spelled[a], spelled[b]) for a, b in pairs_of(ranks)]
         own = Tokenizer(models.BPE(vocab={spelled[t]: i for t, i in ranks.items()}, merges=merges, ignore_merges=True))
-        own.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.Split(Regex(pattern), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
-        self.spec = own.to_str()
+        own.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spec, self.pattern = own.to_str(), pattern
         # The way back: characters of the vocabulary to bytes, laid out one id after the other, an unknown id last.
         byte_of = {c: b for b, c in enumerate(letters)}
         raw = [REPLACEMENT] * (max(ranks.values(), default=-1) + 2)
@@ -85,12 +87,23 @@ class ByteBpe:
         with open(path, "rb") as lines:
             return cls({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}, pattern)
 
-    def encode_many(self, texts: Sequence[str]) -> list[np.ndarray]:
-        """Ids of each text."""
-        cut = [list(cuts(t)) for t in texts]
-        flat = _tokenizer(self.spec).encode_batch_fast([c for own in cut for c in own], add_special_tokens=False)
-        ids = iter([np.array(e.ids, np.int32) for e in flat])
-        return [np.concatenate([next(ids) for _ in own]) if own else np.zeros(0, np.int32) for own in cut]
+    def encode_many(self, texts: Sequence[str], known: dict[str, bytes] | None = None) -> list[np.ndarray]:
+        """Ids of each text; `known` is filled with the packed ids of the matches met."""
+        known, find = {} if known is None else known, regex.compile(self.pattern).findall
+        out = []
+        for text in texts:
+            packed = []
+            for cut in cuts(text):
+                matches = find(cut)
+                fresh = [m for m in set(matches) if m not in known]
+                if len(known) + len(fresh) > KNOWN:
+                    known.clear()
+                    fresh = list(set(matches))
+                for match, coded in zip(fresh, _tokenizer(self.spec).encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+                    known[match] = array("i", coded.ids).tobytes()
+                packed += [known[m] for m in matches]
+            out.append(np.frombuffer(b"".join(packed), np.int32))
+        return out
 
     def known(self, ids: np.ndarray) -> np.ndarray:
         last = len(self.size) - 1
@@ -174,12 +187,12 @@ def with_tokens(df: DataFrame, bpe: ByteBpe, text: str = "text", keep: tuple[str
     source, schema = _laid_out(df, keep, F.col(text).cast("binary"), StructType().add("ids", numbers).add("starts", numbers).add("ends", numbers))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own, known = shared.value, {}
         for batch in batches:
             raw = batch.column(len(keep))
             for begin, end in _slices([len(r.as_buffer()) if r.is_valid else 0 for r in raw], BATCH):
                 texts = [(r or b"").decode("utf-8", "replace") for r in raw.slice(begin, end - begin).to_pylist()]
-                ids = own.encode_many(texts)
+                ids = own.encode_many(texts, known)
                 spans = [own.spans(t, i) for t, i in zip(texts, ids, strict=True)]
                 columns = [batch.column(i).slice(begin, end - begin) for i in range(len(keep))]
                 columns += [_lists(ids), _lists([s for s, _ in spans]), _lists([e for _, e in spans])]
@@ -216,11 +229,12 @@ def with_text(df: DataFrame, bpe: ByteBpe, ids: str = "ids", keep: tuple[str, ..
 def byte_bpe_digest(documents: DataFrame, path: str = RANKS) -> DataFrame:
     """doc_id, number and hash of the tokens, hash of the decoded bytes, and the end of the last span: the text's code points."""
     bpe = ByteBpe.load(path)
-    coded = with_text(with_tokens(documents, bpe, keep=("doc_id",)), bpe, keep=("doc_id", "ids", "ends"))
-    return coded.select(
+    coded = with_tokens(documents, bpe, keep=("doc_id",)).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("raw", 256).alias("decoded_sha256"),
         F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_chars"),
+        "ids",
     )
+    kept = ("doc_id", "n_tokens", "ids_sha256", "n_chars")
+    return with_text(coded, bpe, keep=kept).select("doc_id", "n_tokens", "ids_sha256", F.sha2("raw", 256).alias("decoded_sha256"), "n_chars")
