@@ -14,7 +14,8 @@ is a signature. Linked sets agree on all parts but k, so some agreeing parts can
 Pairs are first held against a lower bound of their difference (parities of their shingles over some cells, a few bytes a
 set), then verified in full. Signatures travel packed, 8 bytes each. Groups of the one-shingle join may be large, as copies by the thousand
 are: their members form a star around the least, the spokes are verified, and only members that then are in different
-components are paired. So no link between components is lost, and no large group is expanded. Equal sets are one node from
+components are compared, in blocks, each of which gives no more links than it takes to connect its members. So no link between
+components is lost, and no large group is expanded. Equal sets are one node from
 the start, and a signature that one batch of texts repeats often is counted there.
 
 Defined cases: a null text is an empty one; texts without words have an empty set, link with nothing and are their own component;
@@ -416,47 +417,93 @@ def star_links(group: DataFrame, texts: DataFrame, scratch: Scratch, shingle: in
     named = scratch.store(named, "named")
     apart = named.groupBy("sign").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("sign")
     named = scratch.store(named.join(scratch.store(apart, "apart"), "sign", "left_semi"), "mixed")
-    pairs = scratch.store(apart_pairs(named, texts, scratch, percent), "apart-pairs")
-    return first.unionByName(verified(pairs, texts, shingle, percent))
+    return first.unionByName(scratch.store(apart_links(named, texts, scratch, shingle, percent), "apart-links"))
 
 
-CELL = ["sign", "low", "high"]
+CELL, KINDS = ["sign", "low", "high"], [pa.int64(), pa.int32(), pa.int32()]
 
 
-def apart_pairs(named: DataFrame, texts: DataFrame, scratch: Scratch, percent: int, block: int = 1_024) -> DataFrame:
-    """Pairs of members of a sign that are in different components and that the sketches do not rule out.
+def apart_links(
+    named: DataFrame, texts: DataFrame, scratch: Scratch, shingle: int, percent: int, block: int = 1_024, block_bytes: int = 4 << 20
+) -> DataFrame:
+    """Links that connect the members of a sign that are linked but in different components.
 
-    A large sign is dealt in blocks, and each two of its blocks are compared in one task, so pairs are made only where they pass,
-    and in one of their signs.
+    A large sign is dealt in blocks, by number and bytes of its members, and each two of its blocks are compared in one task: by sketches
+    first, which tell the members that may have a link there, and then those members in full. A task gives fewer links than it has
+    members: a pair that it has connected already is not compared.
     """
-    blocks = scratch.store(named.groupBy("sign").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "blocks")
+    length = texts.select("node", F.length("packed").alias("bytes"))
+    size = named.join(length, "node").groupBy("sign").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    blocks = scratch.store(size.select("sign", F.ceil(F.greatest(F.col("n") / block, F.col("bytes") / block_bytes)).cast("int").alias("blocks")), "blocks")
     signs = named.groupBy("node").agg(F.collect_set("sign").alias("signs"))  # fewer than the node has shingles
     rows = named.join(texts.select("node", "size", "sketch").join(signs, "node"), "node").join(blocks, "sign")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     rows = rows.select("sign", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "component", "size", "sketch", "signs")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[tuple]]]:
         at, held = None, []
         for batch in batches:
-            for *where, own, node, component, size, sketch, signs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for *where, own, node, component, size, sketch, signs, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if where != at:
-                    if held:
-                        yield _compared(at, held, percent)
+                    if len(held) > 1:
+                        yield at, held
                     at, held = where, []
-                held.append((own, node, component, size, sketch, signs))
-        if held:
-            yield _compared(at, held, percent)
+                held.append((own, node, component, size, sketch, signs, packed))
+        if len(held) > 1:
+            yield at, held
+
+    def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, held in by_cell(batches):
+            places = np.unique(_candidates(cell, held, percent)[0])
+            nodes = pa.array([held[i][1] for i in places.tolist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(pa.array([v] * len(nodes), t) for v, t in zip(cell, KINDS, strict=True)), nodes], names=[*CELL, "node"])
+
+    def connected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, held in by_cell(batches):
+            yield _connected(cell, held, shingle, percent)
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition(*CELL).sortWithinPartitions(*CELL)
+
+    near = dealt(rows.withColumn("packed", F.lit(None).cast("binary"))).mapInArrow(tidy(may), "sign long, low int, high int, node long")
+    near = scratch.store(near, "near")
+    own = named.join(signs, "node").join(blocks, "sign").select("sign", "node", "component", "signs", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("own"))
+    full = near.join(own, ["sign", "node"]).join(texts, "node").select(*CELL, "own", "node", "component", "size", "sketch", "signs", "packed")
+    return dealt(full).mapInArrow(tidy(connected), "x long, y long").distinct()
+
+
+def _connected(cell: list, rows: list[tuple], shingle: int, percent: int) -> pa.RecordBatch:
+    """Links between members of a cell, as many as connect what is linked there, likest first."""
+    pairs, unlike = _candidates(cell, rows, percent)
+    wanted = np.unique(pairs)
+    sets = dict(zip(wanted.tolist(), unpacked_sets([rows[i][6] for i in wanted.tolist()], shingle), strict=True)) if len(wanted) else {}
+    tree: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while (up := tree.get(top, top)) != top:
+            top = up
+        while (up := tree.get(x, x)) != top:
+            tree[x], x = top, up
+        return top
 
-    return rows.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(tidy(run), "x long, y long").distinct()
+    out = []
+    for i, j in pairs[np.argsort(unlike, kind="stable")].tolist():
+        a, b = root(rows[i][2]), root(rows[j][2])
+        if a != b and linked(sets[i], sets[j], percent):
+            tree[a] = b
+            out.append((max(rows[i][1], rows[j][1]), min(rows[i][1], rows[j][1])))
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in (0, 1)], names=["x", "y"])
 
 
-def _compared(cell: list, rows: list[tuple], percent: int) -> pa.RecordBatch:
-    """Pairs across the two blocks of a cell, or within its one."""
+def _candidates(cell: list, rows: list[tuple], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs across the two blocks of a cell, or within its one, that are apart and that the sketches do not rule
+    out, and by how many cells their sketches differ."""
     sign, low, high = cell
     signs = [set(r[5]) for r in rows]
-    own, node, component, size = (np.array([r[i] for r in rows], np.int64) for i in range(4))
+    own, component, size = (np.array([r[i] for r in rows], np.int64) for i in (0, 2, 3))
     cells = np.array([len(r[4]) for r in rows])
-    pairs = [np.zeros((0, 2), np.int64)]
+    pairs, differ = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.int64)]
     for width in np.unique(cells):
         # Sets that may link have as many cells, or twice as many, which are folded.
         near = np.flatnonzero((cells == width) | (cells == 2 * width))
@@ -470,19 +517,20 @@ def _compared(cell: list, rows: list[tuple], percent: int) -> pa.RecordBatch:
             first = np.union1d(first, np.flatnonzero((cells[near] == width) & (own[near] == high)))
         for i in first.tolist():
             others = np.flatnonzero((component[near] != component[near[i]]) & ((own[near] != own[near[i]]) | (low == high)))
+            others = others[(cells[near[others]] != width) | (others > i)]  # a pair of one width from its first member
             a, b = size[near[i]], size[near[others]]
             others = others[100 * np.minimum(a, b) >= percent * np.maximum(a, b)]
             total = a + size[near[others]]
             most = total - 2 * -(-percent * total // (100 + percent))
             unlike = np.bitwise_count(words[others] ^ words[i]).sum(axis=1)
-            good = near[others[unlike <= most]]
+            fit = unlike <= most
+            good, unlike = near[others[fit]], unlike[fit]
             # Of the signs that both have, the least is where the pair is made.
             mine = signs[near[i]]
-            good = good[np.array([min(mine & signs[j]) == sign for j in good.tolist()], bool)]
-            me = np.full(len(good), node[near[i]])
-            pairs.append(np.stack([np.maximum(me, node[good]), np.minimum(me, node[good])], axis=1))
-    both = np.unique(np.concatenate(pairs), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["x", "y"])
+            made = np.array([min(mine & signs[j]) == sign for j in good.tolist()], bool)
+            pairs.append(np.stack([np.full(int(made.sum()), near[i]), good[made]], axis=1))
+            differ.append(unlike[made].astype(np.int64))
+    return np.concatenate(pairs), np.concatenate(differ)
 
 
 def links(documents: DataFrame, scratch: Scratch, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -5,7 +5,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from caretrail.llm.ngram_join import Sets, apart_pairs, bands, document_components, may_link, node_texts, one_of_each, signatures, sketches
+from caretrail.llm.ngram_join import (
+    Sets, apart_links, bands, document_components, linked, may_link, node_texts, one_of_each, signatures, sketches, unpacked_sets,
+)
 from caretrail.llm.stored import Scratch
 from caretrail.llm.words import SPACES, Words, column_bytes
 
@@ -129,30 +131,69 @@ def test_linked_sets_share_as_many_signatures_as_promised(seed):
         assert may_link(*args) or 100 * len(a & b) < 75 * len(a | b)
 
 
-def test_members_in_blocks_equal_all_pairs(spark):
-    """Every pair of a large sign meets in one cell, and only pairs that may link and are apart come back."""
+def test_members_in_blocks_connect_what_all_pairs_connect(spark):
+    """Whatever the blocks, the links given are links between components, and connect as much as all links of a large sign do."""
     dice = random.Random(5)
     base = [f"v{i}" for i in range(70)]
     texts = []
     for _ in range(90):
         body = list(base)
-        for _ in range(dice.randrange(0, 9)):
+        for _ in range(dice.randrange(0, 4)):
             body[dice.randrange(len(body))] = f"n{dice.randrange(10**6)}"
         texts.append(" ".join(body[: dice.choice([70, 70, 40])]))
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     scratch = Scratch(spark, "test-blocks")
     table = scratch.store(node_texts(df, 5).dropDuplicates(["node"]), "texts")
     rows = table.collect()
-    component = {r.node: r.node % 7 for r in rows}
+    component = {r.node: r.node % 7 + (r.node % 2) * r.node for r in rows}  # some together, some alone
     named = spark.createDataFrame([(1, r.node, component[r.node]) for r in rows], "sign long, node long, component long")
+    sets = dict(zip([r.node for r in rows], unpacked_sets([r.packed for r in rows], 5), strict=True))
     expected = set()
     for i, a in enumerate(rows):
         for b in rows[:i]:
-            if component[a.node] != component[b.node] and may_link(a.sketch, b.sketch, a.size, b.size, 75):
+            assert may_link(a.sketch, b.sketch, a.size, b.size, 75) or not linked(sets[a.node], sets[b.node], 75)
+            if component[a.node] != component[b.node] and linked(sets[a.node], sets[b.node], 75):
                 expected.add((max(a.node, b.node), min(a.node, b.node)))
-    for block in (8, 1000):
-        out = apart_pairs(named, table, Scratch(spark, "test-blocks"), 75, block).collect()
-        assert {(r.x, r.y) for r in out} == expected and len(out) == len(expected) > 20
+
+    def together(pairs):
+        top = {c: c for c in component.values()}
+        for x, y in pairs:
+            a, b = top[component[x]], top[component[y]]
+            top = {c: min(a, b) if t in (a, b) else t for c, t in top.items()}
+        return top
+
+    for block, size in ((8, 1 << 20), (1000, 1 << 20), (1000, 700)):
+        out = {(r.x, r.y) for r in apart_links(named, table, Scratch(spark, "test-blocks"), 5, 75, block, size).collect()}
+        assert out <= expected and together(out) == together(expected)
+        assert block < 1000 or size < 1000 or len(out) < len(set(component.values())) < len(expected)
+
+
+def test_one_large_group_of_near_copies_grows_in_proportion(spark, monkeypatch):
+    """No stored table, the outputs of the joins among them, grows faster than the group."""
+    dice = random.Random(8)
+    words = [f"w{i}" for i in range(120)]
+
+    def text():
+        body = list(words)
+        for _ in range(dice.randrange(0, 6)):
+            body[dice.randrange(len(body))] = f"x{dice.randrange(10**7)}"
+        return " ".join(body)
+
+    texts, rows, held = [text() for _ in range(1200)], {}, Scratch.store
+
+    def store(self, df, name):
+        out = held(self, df, name)
+        rows.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "store", store)
+    for n in (300, 600, 1200):
+        table = spark.createDataFrame(list(enumerate(texts[:n])), "doc_id long, text string")
+        assert document_components(table).select("component_id").distinct().count() < n / 2
+        assert rows["apart-links"][-1] <= n
+    for name in ("spokes", "named", "mixed", "apart-links", "few", "pairs", "group", "rows"):
+        few, some, many = rows[name]
+        assert many <= 2.5 * max(some, 300) and some <= 2.5 * max(few, 300), (name, rows[name])
 
 
 def test_nul_belongs_to_a_word(spark):
