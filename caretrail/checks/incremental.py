@@ -137,11 +137,14 @@ def person_rows(t: Tables, mark: str | None = None, keys: DataFrame | None = Non
         encounter = encounter.join(read, "person_id", "left_semi")
     visits = live(encounter).groupBy("person_id").agg(F.count(F.lit(1)).alias("visits"), F.max("encounter_date").alias("last_visit"))
     results = lab.groupBy("person_id").agg(F.count(F.lit(1)).alias("results"), F.round(F.sum("value_numeric"), 4).alias("result_total"))
+    # The mother's visits are joined to the mothers, so persons without one are no common key of a join.
+    last = visits.select(c("person_id").alias("mother_id"), c("last_visit").alias("mother_last_visit"))
+    mothers = mothers.join(last, "mother_id", "left")
     orders = order.groupBy("person_id").agg(F.count(F.lit(1)).alias("orders"), F.sum("concept_id").alias("order_codes"))
     out = person.filter("voided = 0").select("person_id", "gender")
     for part in (visits, results, orders, mothers):
         out = out.join(part, "person_id", "left")
-    return out.join(visits.select(c("person_id").alias("mother_id"), c("last_visit").alias("mother_last_visit")), "mother_id", "left").select(
+    return out.select(
         "person_id", "gender", "visits", "last_visit", "results", "result_total", "orders", "order_codes", "mother_id", "mother_last_visit"
     )
 
