@@ -9,7 +9,7 @@ from caretrail.checks.incremental import shared
 from caretrail.checks.registry import check
 from caretrail.functions import dates as d
 from caretrail.operators import aggregates as agg
-from caretrail.operators import joins, periods, quality, rules
+from caretrail.operators import joins, newest, periods, quality, rules
 from caretrail.plans.spine import encounters, measured
 from caretrail.sources import sinks
 from caretrail.sources.tables import Tables, live
@@ -386,6 +386,19 @@ def last_row(t: Tables) -> DataFrame:
     return df.select("person_id", "encounter_id").join(last, "person_id").drop("person_id")
 
 
+@check(
+    "h03_last_visit_of_month",
+    "H3 E8",
+    """WITH r AS (SELECT *, CAST(DATE_TRUNC('month', encounter_date) AS DATE) AS month, ROW_NUMBER() OVER (PARTITION BY person_id, DATE_TRUNC('month', encounter_date) ORDER BY encounter_date DESC, day_rank DESC, encounter_id DESC) AS n FROM spine)
+    SELECT person_id, month, encounter_id, encounter_date, rtc_date, vl FROM r WHERE n = 1""",
+)
+def last_of_month(t: Tables) -> DataFrame:
+    month = F.trunc("encounter_date", "month").alias("month")
+    narrow = encounters(t).select("person_id", month, "encounter_date", c("day_rank").cast("tinyint").alias("day_rank"), "encounter_id")
+    out = newest.last_rows(measured(t), narrow, ["person_id", "month"], ["encounter_date", "day_rank", "encounter_id"], "encounter_id")
+    return out.select("person_id", month, "encounter_id", "encounter_date", "rtc_date", "vl")
+
+
 @check(
     "e12_child_to_mother",
     "E12 P5",

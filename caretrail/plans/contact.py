@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from caretrail.functions.text import filing_id, full_name
 from caretrail.operators import rules
-from caretrail.operators.aggregates import distinct_text, latest_per
+from caretrail.operators.aggregates import distinct_text
 from caretrail.operators.facts import Fact, date, extract_facts, fill_absent, said
 from caretrail.operators.joins import exclude, with_attributes
 from caretrail.operators.timeline import Timeline, by_timeline, carry, following, locf, next_where, prev, prev_where
-from caretrail.plans.spine import encounters, measured
+from caretrail.plans.spine import encounters, last_visits, measured
 from caretrail.sources.sinks import insert_ignore
 from caretrail.sources.tables import Tables, live
 
@@ -119,9 +119,7 @@ def appointment_schedule(rows: DataFrame) -> DataFrame:
 def defaulters(t: Tables, as_of: str, grace: int = 90) -> DataFrame:
     """Patients whose last row is a clinical one and overdue, with contact details; not the dead or transferred."""
     today = F.lit(as_of).cast("date")
-    rows = measured(t).filter(c("encounter_date") <= today)
-    order = ["encounter_date", "day_rank", "encounter_id"]
-    last = latest_per(rows.select("person_id", *order, "encounter_type", "is_clinical", "location_id", "rtc_date", "drug"), ["person_id"], order)
+    last = last_visits(measured(t), encounters(t).filter(c("encounter_date") <= today))
     alive = t.person.filter("death_date IS NULL").select("person_id")
     due = rules.effective_return(c("rtc_date"), c("encounter_date"), grace)
     late = last.filter((c("is_clinical") == 1) & ~c("encounter_type").isin(110, 116) & (due < today)).join(alive, "person_id", "left_semi")
@@ -153,11 +151,11 @@ def case_list(t: Tables, since: str, phone_type: int = 21) -> DataFrame:
     """Latest clinical or phone row per patient, the last phone contact, the return date in force, and who manages the case."""
     order = ["encounter_date", "day_rank", "encounter_id"]
     rows = measured(t)
-    recent = rows.filter((c("encounter_date") > F.lit(since).cast("date")) & ((c("is_clinical") == 1) | (c("encounter_type") == phone_type)))
-    last = latest_per(recent.select("person_id", *order, "location_id", "rtc_date", "vl"), ["person_id"], order)
+    recent = encounters(t).filter((c("encounter_date") > F.lit(since).cast("date")) & ((c("is_clinical") == 1) | (c("encounter_type") == phone_type)))
+    last = last_visits(rows, recent).select("person_id", *order, "location_id", "rtc_date", "vl")
     facts = extract_facts(t.answers(PHONE_QUESTIONS), ["encounter_id"], PHONE_FACTS)
-    calls = encounters(t).filter(c("encounter_type") == phone_type).select("person_id", *order).join(facts, "encounter_id", "left")
-    phone = latest_per(calls, ["person_id"], order).select("person_id", c("encounter_date").alias("phone_date"), *PHONE_FACTS)
+    calls = encounters(t).filter(c("encounter_type") == phone_type).select("person_id", *order)
+    phone = last_visits(calls, calls).join(facts, "encounter_id", "left").select("person_id", c("encounter_date").alias("phone_date"), *PHONE_FACTS)
     manager = t.person_attribute.filter("attribute_type_id = 68").groupBy("person_id").agg(F.max("value").cast("bigint").alias("manager_id"))
     names = t.person_name.select("person_id", full_name(c("given_name"), c("middle_name"), c("family_name")).alias("person_name"))
     managers = names.select(c("person_id").alias("manager_id"), c("person_name").alias("manager_name"))
@@ -189,9 +187,7 @@ def covid_screening(t: Tables, form_type: int = 14) -> DataFrame:
     """Screening answers of a form with the patient's latest care row."""
     facts = extract_facts(t.answers(COVID_QUESTIONS), ["encounter_id"], COVID_FACTS)
     forms = fill_absent(encounters(t).filter(c("encounter_type") == form_type).join(facts, "encounter_id", "left"), COVID_FACTS)
-    order = ["encounter_date", "day_rank", "encounter_id"]
-    care = measured(t).select("person_id", *order, "vl", "vl_date", "rtc_date")
-    last = latest_per(care, ["person_id"], order).select(
+    last = last_visits(measured(t), encounters(t)).select(
         "person_id", c("vl").alias("last_vl_result"), c("vl_date").alias("last_vl_date"), c("rtc_date").alias("next_hiv_appointment_date")
     )
     answers = [F.when(c(f"{n}_yes") == 1, 1).when(c(f"{n}_no") == 1, 0).alias(n) for n in COVID]

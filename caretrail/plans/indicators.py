@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caretrail.functions import dates as d
-from caretrail.operators.aggregates import bucket_counts, conditional_counts, indicator_counts, latest_per, ratio, running_total
+from caretrail.operators.aggregates import bucket_counts, conditional_counts, indicator_counts, ratio, running_total
 from caretrail.operators.timeline import by_timeline, following, next_where, prev
 from caretrail.plans.hiv_summary import hiv_summary
-from caretrail.plans.spine import encounters, measured
+from caretrail.plans.spine import encounters, last_visits, measured
 from caretrail.sources.tables import Tables, live
 
 c = F.col
@@ -173,9 +173,7 @@ def outreach_performance(t: Tables) -> DataFrame:
 def lost_by_month(t: Tables, as_of: str) -> DataFrame:
     """Patients lost after their last clinical visit, by site and month of that visit, with the running total of the site."""
     today = F.lit(as_of).cast("date")
-    order = ["encounter_date", "day_rank", "encounter_id"]
-    rows = measured(t).filter("is_clinical = 1").select("person_id", *order, "location_id", "rtc_date")
-    last = latest_per(rows, ["person_id"], order)
+    last = last_visits(measured(t), encounters(t).filter("is_clinical = 1"))
     lost = last.filter(F.datediff(today, "rtc_date") > 90).withColumn("month", d.month_start(c("encounter_date")))
     monthly = lost.groupBy("location_id", "month").agg(F.count(F.lit(1)).alias("monthly_ltfu"))
     return running_total(monthly, "monthly_ltfu", ["location_id"], ["month"], "total_ltfu_to_date")
@@ -184,9 +182,7 @@ def lost_by_month(t: Tables, as_of: str) -> DataFrame:
 def lost_at(t: Tables, as_of: str, late: int = 90, grace: int = 30) -> DataFrame:
     """Patients lost at a date: the row in force then, overdue, alive; and how many of them were on treatment."""
     today = F.lit(as_of).cast("date")
-    order = ["encounter_date", "day_rank", "encounter_id"]
-    rows = measured(t).filter(c("encounter_date") <= today).select("person_id", *order, "location_id", "rtc_date", "drug")
-    last = latest_per(rows, ["person_id"], order).join(t.person.select("person_id", "death_date"), "person_id")
+    last = last_visits(measured(t), encounters(t).filter(c("encounter_date") <= today)).join(t.person.select("person_id", "death_date"), "person_id")
     due = F.coalesce("rtc_date", F.date_add("encounter_date", grace))
     lost = last.filter((F.datediff(today, due) >= late) & F.coalesce(c("death_date") >= today, F.lit(True)))
     return lost.groupBy("location_id").agg(F.count(F.lit(1)).alias("num_ltfu"), F.count("drug").alias("num_ltfu_on_arvs"))

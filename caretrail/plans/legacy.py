@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caretrail.operators.aggregates import preferred_identifier
 from caretrail.operators.flatten import pivot_all, pivot_first
 from caretrail.operators.joins import with_attributes
+from caretrail.operators.newest import last_keys
 from caretrail.operators.timeline import Passes, by_timeline, following, locf, next_where, prev, running
 from caretrail.plans.spine import encounters
 from caretrail.sources.tables import Tables
@@ -107,7 +108,8 @@ def retention(t: Tables) -> DataFrame:
     df = by_timeline(rows, lambda x, line: line.scan(x, **looks), t.hot_persons)
     ids = preferred_identifier(t.patient_identifier, "person_id", [("universal", [8]), ("local", [3]), ("study", [7])]).select("person_id", "identifier")
     visits = encounters(t).groupBy("person_id", "location_id").agg(F.count(F.lit(1)).alias("n"))
-    usual = visits.groupBy("person_id").agg(F.max_by("location_id", F.struct("n", -c("location_id"))).alias("health_center"))
+    visits = visits.select("person_id", c("n").cast("int"), (-c("location_id")).alias("least"))
+    usual = last_keys(visits, ["person_id"], ["n", "least"]).select("person_id", (-c("least")).alias("health_center"))
     df = with_attributes(df.join(ids, "person_id", "left").join(usual, "person_id", "left"), t.person_attribute, {"phone_number": 10})
     return df.select(
         "person_id", "encounter_id", "encounter_date", "rtc_date", "prev_rtc_date", "next_appt_date", "next_encounter_type", "next_hiv_clinic_date",

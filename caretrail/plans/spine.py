@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caretrail.operators import rules
 from caretrail.operators.flatten import answer_map, typed_value
 from caretrail.operators.joins import without_test_patients
+from caretrail.operators.newest import last_rows
 from caretrail.sources.tables import Tables, live
 
 
@@ -60,3 +61,10 @@ def answered(t: Tables, questions: list[tuple[int, str, int]], types: tuple[int,
         enc = enc.filter(F.col("encounter_type").isin(*types))
     return enc.join(answers, "encounter_id", "left")
 
+
+
+def last_visits(rows: DataFrame, visits: DataFrame) -> DataFrame:
+    """The rows of each person's last visit: chosen by date, rank and id among the visits, before anything else of a row is read."""
+    order = ["encounter_date", "day_rank", "encounter_id"]
+    narrow = visits.select("person_id", "encounter_date", F.col("day_rank").cast("tinyint").alias("day_rank"), "encounter_id")
+    return last_rows(rows, narrow, ["person_id"], order, "encounter_id")
