@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from caretrail.llm.names import beside
+from caretrail.llm.names import laid_out
 from caretrail.llm.stored import small_batches, tidy
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -168,23 +168,12 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else [], pa.int32()))
 
 
-def _laid_out(df: DataFrame, keep: Sequence[str], value, results: StructType) -> tuple[DataFrame, StructType]:
-    """The kept columns and the value by position, and the schema of kept columns and results."""
-    schema = StructType()
-    kept = df.select(*keep).schema
-    for name, field in zip(beside(keep, results.names), kept, strict=True):
-        schema.add(name, field.dataType)
-    for field in results:
-        schema.add(field)
-    return df.select(*[F.col(k).alias(f"c{i}") for i, k in enumerate(keep)], value.alias(f"c{len(keep)}")), schema
-
-
 def with_tokens(df: DataFrame, bpe: ByteBpe, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """The kept columns, `ids`, and `starts` and `ends` of the tokens in code points, row by row, without a shuffle."""
     small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(bpe)  # as large as the vocabulary
     numbers = ArrayType(IntegerType())
-    source, schema = _laid_out(df, keep, F.col(text).cast("binary"), StructType().add("ids", numbers).add("starts", numbers).add("ends", numbers))
+    source, schema = laid_out(df, keep, F.col(text).cast("binary"), StructType().add("ids", numbers).add("starts", numbers).add("ends", numbers))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, known = shared.value, {}
@@ -207,7 +196,7 @@ def with_text(df: DataFrame, bpe: ByteBpe, ids: str = "ids", keep: tuple[str, ..
     results = StructType().add("raw", "binary")
     if pieces:
         results.add("pieces", ArrayType(StringType()))
-    source, schema = _laid_out(df, keep, F.coalesce(F.col(ids).cast("array<int>"), F.array().cast("array<int>")), results)
+    source, schema = laid_out(df, keep, F.coalesce(F.col(ids).cast("array<int>"), F.array().cast("array<int>")), results)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value

@@ -11,7 +11,8 @@ are not cut), so a text is cut before its whitespace, distinct cuts are segmente
 depth for all of them, and a worker keeps up to `keep` cuts of earlier texts.
 
 Defined cases: a null text is an empty one; an empty text has no pieces and decodes to an empty text; texts of any length are
-segmented whole, cut or not. Ids that no piece has are skipped by the decoder, bytes that are no UTF-8 become U+FFFD.
+segmented whole, cut or not. Ids that no piece has are skipped by the decoder, bytes that are no UTF-8 become U+FFFD. Repeated rows each get their pieces; an empty table
+gives an empty one. A kept column that has the name of a result, or of another kept one, gets `_in` behind its name; no column name is reserved.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
+from caretrail.llm.names import laid_out
 from caretrail.llm.stored import small_batches, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -268,7 +270,7 @@ def with_pieces(df: DataFrame, pieces: Pieces, text: str = "text", keep: tuple[s
     """The kept columns, `ids` (array of int) and `decoded` (the text back from the ids), row by row, without a shuffle."""
     small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(pieces)  # as large as the vocabulary
-    schema = df.select(*keep).schema.add("ids", ArrayType(IntegerType())).add("decoded", "string")
+    source, schema = laid_out(df, keep, F.col(text), StructType().add("ids", ArrayType(IntegerType())).add("decoded", "string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, known = shared.value, {}
@@ -284,7 +286,7 @@ def with_pieces(df: DataFrame, pieces: Pieces, text: str = "text", keep: tuple[s
                 columns.append(pa.array([own.decode(i.tolist()) for i in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.select(*keep, F.col(text).alias("__text")).mapInArrow(tidy(run), schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def ids_sha256(ids: Iterable[int]) -> str:

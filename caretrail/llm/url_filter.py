@@ -6,7 +6,8 @@ part of a host is worked out once per host and worker and not once per page.
 
 Defined cases: a null url, or one without `://`, has an empty host and an empty path, fits no rule and is judged by the
 model's intercept; an empty path fits no rule, as a rule's path starts with `/`. Repeated rows each get their verdict,
-ids may be null. Rules of equal length that both fit differ in where host and path part; the longer host wins.
+ids may be null; an empty table gives an empty one. A kept column that has the name of a result, or of another kept one, gets `_in`
+behind its name; no column name is reserved. Rules of equal length that both fit differ in where host and path part; the longer host wins.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from caretrail.llm.names import laid_out
 
 # Labelled examples: 1 is unwanted (gambling, pharmacy spam, adult, trackers, malware), 0 is ordinary text. Each host also
 # comes with the neutral paths below, so that a language folder or a page number speaks for neither label.
@@ -198,10 +202,10 @@ def judge(
 
     The model blocks from a score of `at_least` on: below one half, as an unwanted page costs more than a lost one.
     """
-    schema = df.select(*keep).schema
+    results = StructType()
     for name in ("host", "path", "rule", "verdict"):
-        schema = schema.add(name, "string")
-    schema = schema.add("score", "double")
+        results.add(name, "string")
+    source, schema = laid_out(df, keep, F.col(url), results.add("score", "double"))
     matcher = Rules(rules)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +220,7 @@ def judge(
             columns += [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.select(*keep, F.col(url).alias("__url")).mapInArrow(run, schema)
+    return source.mapInArrow(run, schema)
 
 
 def url_verdicts(pages: DataFrame) -> DataFrame:

@@ -107,3 +107,10 @@ def test_documents_round_trip(spark, pieces):
 
 def test_decoder_takes_any_ids(pieces):
     assert pieces.decode([10**6, -1, 1, 2]) == "" and pieces.decode([int(pieces.byte_ids[255])]) == "�"
+
+
+def test_kept_columns_with_names_of_results(spark):
+    df = spark.createDataFrame([(1, "mine", "x", "a text")], "doc_id long, ids string, __text string, text string")
+    out = with_pieces(df, Pieces.load(), keep=("doc_id", "ids", "__text"))
+    assert out.columns == ["doc_id", "ids_in", "__text", "ids", "decoded"]
+    assert (out.first().ids_in, out.first().decoded) == ("mine", "a text")

@@ -48,3 +48,10 @@ def test_trained_from_a_table(spark):
     model = train_from(df)
     assert model.score("cheap-pills.example.com", "/en/1") > 0.5 > model.score("www.school.example.com", "/en/1")
     assert judge(spark.createDataFrame([("http://m.free-bets.example.com/de2",)], "url string"), model).first().verdict == "block"
+
+
+def test_kept_columns_with_names_of_results(spark):
+    df = spark.createDataFrame([(1, "mine", "x", "http://a.net/en/1")], "page_id long, host string, __url string, url string")
+    out = judge(df, train(seed_urls()), keep=("page_id", "host", "__url"))
+    assert out.columns == ["page_id", "host_in", "__url", "host", "path", "rule", "verdict", "score"]
+    assert (out.first().host_in, out.first().host, out.first().rule) == ("mine", "a.net", "net/")
