@@ -1,14 +1,15 @@
 """Secret scan: patterns over a text and over every layer that is nested in it.
 
 Worklist: a text is the first layer. From a layer come further ones: the same text with its percent escapes or its
-Unicode escapes decoded, the content of each base64 run (also one that is wrapped over lines, and at each of the four
+Unicode escapes decoded (hexadecimal, braced and octal ones, numbered and named entities), or with the NULs of UTF-16 taken out, the content of each base64 run (also one that is wrapped over lines, and at each of the four
 alignments), and that of each gzip, zlib or bzip2 stream, whichever escape gave its bytes. Decoded bytes are characters of
 the same number: what is looked for is ASCII, and no byte is lost. Each layer is scanned and unwrapped in turn until
 nothing new comes up; a layer whose content was seen at the same place ends its branch, so cycles end too. Every layer knows which code points of the original each of its characters stands for, so what is found
 anywhere is reported as a span of the original text.
 
 Defined cases: a null text is an empty one; an empty text has no spans; repeated rows each get their result; ids may be
-null and are passed through. Texts of any length are scanned whole. All members of a
+null and are passed through. An empty table gives an empty one. Spans that tie in their start go by kind as listed, then end. A kept column that
+has the name of a result, or of another kept one, gets `_in` behind its name; no column name is reserved. Texts of any length are scanned whole. All members of a
 compressed stream are read to their end; content above `most_bytes` (default 64 MB) is scanned in windows of that size,
 each sharing half with the next, so only a match or a nested run of more than half a window can be cut.
 """
@@ -22,11 +23,14 @@ import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from html.entities import html5
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from caretrail.llm.names import laid_out
 from caretrail.llm.stored import small_batches, tidy
 
 KINDS = ("assign", "access", "hex")
@@ -37,13 +41,23 @@ NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-UNICODE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+UNICODE = re.compile(
+    r"\\u(?P<x4>[0-9A-Fa-f]{4})|\\u\{(?P<xb>[0-9A-Fa-f]{1,6})\}|\\U(?P<x8>[0-9A-Fa-f]{8})|\\x(?P<x2>[0-9A-Fa-f]{2})|\\(?P<o3>[0-3][0-7]{2})"
+    r"|&#[xX](?P<xe>[0-9A-Fa-f]{1,6});|&#(?P<de>[0-9]{1,7});|&(?P<name>[A-Za-z][A-Za-z0-9]{1,31});"
+)
+BASES = {"x": 16, "o": 8, "d": 10}
+# Text in two bytes a character, either order, as it looks byte by byte.
+WIDE = re.compile(r"\x00?(?:[\t\n\r\x20-\x7e]\x00){7,}[\t\n\r\x20-\x7e]?")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}")
 BREAK = re.compile(r"[\x20\t]*(?:\r\n?|\n|(?:\\r)?\\n)[\x20\t]*")
 WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{16,}}+(?:{BREAK.pattern}[A-Za-z0-9+/_-]++(?![\x20\t]*[A-Za-z0-9]))+")
 PACKED = re.compile(r"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)")
 # Bytes without any of these hold no secret and no further layer.
-LIVE = re.compile(rb"[A-Za-z0-9+/_-]{16}|%[0-9A-F]{2}|\\[ux]|&#|\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh|passw|secret|token|api_?key", re.IGNORECASE)
+LIVE = re.compile(
+    rb"[A-Za-z0-9+/_-]{16}|%[0-9A-F]{2}|\\[ux]|\\[0-3][0-7]{2}|&#|&[A-Z][A-Z0-9]+;|(?:[\t\n\r\x20-\x7e]\x00){7}"
+    rb"|\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh|passw|secret|token|api_?key",
+    re.IGNORECASE,
+)
 URL_SAFE = str.maketrans("-_", "+/")
 FEED, PIECE = 1 << 10, 1 << 20
 
@@ -63,71 +77,71 @@ def find(text: str) -> list[Span]:
 
 
 class Layer:
-    """A text and, in pieces, where its characters come from.
+    """A text and where its characters come from: `inside` maps a span on to the source, the original has none."""
 
-    Piece i covers the characters from `at[i]` on. Where `one[i]`, character at[i] + d is code point start[i] + d of the
-    original; else all its characters stand for the range start[i] to end[i].
-    """
+    source: Layer | None = None
 
-    def __init__(self, text: str, at: list[int], start: list[int], end: list[int], one: list[bool]):
-        self.text, self.at, self.start, self.end, self.one = text, at, start, end, one
+    def __init__(self, text: str):
+        self.text = text
 
-    def whole(self) -> tuple[int, int]:
-        return self.start[0], self.end[-1]
+    def inside(self, begin: int, stop: int) -> tuple[int, int]:
+        raise NotImplementedError
 
     def origin(self, begin: int, stop: int) -> tuple[int, int]:
-        i, j = bisect_right(self.at, begin) - 1, bisect_right(self.at, stop - 1) - 1
-        left = self.start[i] + (begin - self.at[i] if self.one[i] else 0)
-        right = self.start[j] + (stop - self.at[j]) if self.one[j] else self.end[j]
-        return left, right
+        """The span in the original, through as many layers as there are."""
+        layer = self
+        while layer.source is not None:
+            begin, stop = layer.inside(begin, stop)
+            layer = layer.source
+        return begin, stop
 
-    def replaced(self, parts: list[tuple[int, int, str]]) -> Layer:
-        """The layer with the parts (begin, stop, new text) put in, each piece mapped on to the original."""
-        texts, at, start, end, one, size = [], [], [], [], [], 0
-
-        def put(text: str, a: int, b: int, same: bool) -> None:
-            nonlocal size
-            if text:
-                texts.append(text)
-                at.append(size)
-                start.append(a)
-                end.append(b)
-                one.append(same)
-                size += len(text)
-
-        def keep(begin: int, stop: int) -> None:
-            i = bisect_right(self.at, begin) - 1
-            while begin < stop:
-                last = min(stop, self.at[i + 1] if i + 1 < len(self.at) else stop)
-                put(self.text[begin:last], *self.origin(begin, last), self.one[i])
-                begin, i = last, i + 1
-
-        done = 0
-        for begin, stop, text in parts:
-            keep(done, begin)
-            put(text, *self.origin(begin, stop), False)
+    def whole(self) -> tuple[int, int]:
+        return self.origin(0, len(self.text))
+
+
+class Spliced(Layer):
+    """The source with the parts (begin, stop, new text) put in; a piece is a part, or what was copied between two."""
+
+    def __init__(self, source: Layer, parts: list[tuple[int, int, str]]):
+        texts, self.source, self.at, self.begin, self.stop, self.copied = [], source, [], [], [], []
+        done = size = 0
+        for begin, stop, text in [*parts, (len(source.text), len(source.text), "")]:
+            for a, b, new, copied in ((done, begin, source.text[done:begin], True), (begin, stop, text, False)):
+                if new:
+                    texts.append(new)
+                    self.at.append(size)
+                    self.begin.append(a)
+                    self.stop.append(b)
+                    self.copied.append(copied)
+                    size += len(new)
             done = stop
-        keep(done, len(self.text))
-        return Layer("".join(texts), at, start, end, one)
+        super().__init__("".join(texts))
+
+    def inside(self, begin: int, stop: int) -> tuple[int, int]:
+        i, j = bisect_right(self.at, begin) - 1, bisect_right(self.at, stop - 1) - 1
+        left = self.begin[i] + (begin - self.at[i] if self.copied[i] else 0)
+        right = self.begin[j] + stop - self.at[j] if self.copied[j] else self.stop[j]
+        return left, right
 
 
 class Decoded(Layer):
-    """The bytes of a base64 run, whose characters lie at `chars` of the source; its pieces are made when first asked for."""
+    """The bytes of a base64 run, whose characters lie at `chars` of the source: three bytes are four of them."""
 
     def __init__(self, text: str, source: Layer, chars: list[int] | range):
         self.text, self.source, self.chars = text, source, chars
 
-    def whole(self) -> tuple[int, int]:
-        return self.source.origin(self.chars[0], self.chars[-1] + 1)
+    def inside(self, begin: int, stop: int) -> tuple[int, int]:
+        return self.chars[begin // 3 * 4], self.chars[min(len(self.chars) - 1, (stop - 1) // 3 * 4 + 3)] + 1
+
 
-    def __getattr__(self, name: str):
-        if name not in ("at", "start", "end", "one"):
-            raise AttributeError(name)
-        n, last = len(self.text), len(self.chars) - 1  # three bytes are four characters of the run
-        places = [self.source.origin(self.chars[i // 3 * 4], self.chars[min(last, i // 3 * 4 + 3)] + 1) for i in range(0, n, 3)]
-        self.at, self.one = range(n), [False] * n
-        self.start, self.end = ([places[i // 3][side] for i in range(n)] for side in (0, 1))
-        return getattr(self, name)
+class Unpacked(Layer):
+    """Content of a stream: all of it stands for the whole stream."""
+
+    def __init__(self, text: str, source: Layer, begin: int, stop: int):
+        self.text, self.source, self.stream = text, source, (begin, stop)
+
+    def inside(self, begin: int, stop: int) -> tuple[int, int]:
+        return self.stream
 
 
 def percent_parts(text: str) -> list[tuple[int, int, str]]:
@@ -142,12 +156,22 @@ def percent_parts(text: str) -> list[tuple[int, int, str]]:
 def unicode_parts(text: str) -> list[tuple[int, int, str]]:
     parts = []
     for m in UNICODE.finditer(text):
-        code = int(m[4]) if m[4] else int(m[1] or m[2] or m[3], 16)
-        if code < 0x110000 and not 0xD800 <= code < 0xE000:
-            parts.append((m.start(), m.end(), chr(code)))
+        kind, said = m.lastgroup, m[m.lastgroup]
+        if kind == "name":
+            new = html5.get(said + ";", "")
+        else:
+            code = int(said, BASES[kind[0]])
+            new = chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else ""
+        if new:
+            parts.append((m.start(), m.end(), new))
     return parts
 
 
+def wide_parts(text: str) -> list[tuple[int, int, str]]:
+    """The NULs between characters of two bytes each, to be taken out."""
+    return [(i, i + 1, "") for m in WIDE.finditer(text) for i in range(m.start(), m.end()) if text[i] == "\0"]
+
+
 def inflated(text: str, at: int) -> Iterator[tuple[bytes, int]]:
     """Content of the stream that begins there, all members, in pieces, each with the end of what was read so far."""
     while PACKED.match(text, at):
@@ -198,10 +222,10 @@ def packed_layers(layer: Layer, most_bytes: int) -> Iterator[Layer]:
             got = got or bool(piece)
         if not got:
             continue
-        done, (left, right) = end, layer.origin(m.start(), end)
+        done = end
         for raw in windows(inflated(layer.text, m.start()), most_bytes):
             if LIVE.search(raw):
-                yield Layer(raw.decode("latin-1"), [0], [left], [right], [False])
+                yield Unpacked(raw.decode("latin-1"), layer, m.start(), end)
 
 
 def base64_layers(layer: Layer) -> Iterator[Layer]:
@@ -228,14 +252,14 @@ def aligned(layer: Layer, run: str, chars: list[int] | range) -> Iterator[Layer]
 def scan(text: str, most_bytes: int = 64 << 20) -> tuple[list[Span], set[Span]]:
     """Spans of the text itself, and those that only its nested layers show, as spans of the text."""
     base, added = find(text), set()
-    work, seen = [Layer(text, [0], [0], [len(text)], [True])], set()
+    work, seen = [Layer(text)], set()
     while work:
         layer = work.pop()
         if not layer.text:
             continue
-        for escape, parts_of in (("%", percent_parts), ("\\", unicode_parts), ("&#", unicode_parts)):
-            if escape in layer.text and (parts := parts_of(layer.text)):
-                work += _new(layer.replaced(parts), seen, added)
+        for escapes, parts_of in (("%", percent_parts), ("\\&", unicode_parts), ("\0", wide_parts)):
+            if any(e in layer.text for e in escapes) and (parts := parts_of(layer.text)):
+                work += _new(Spliced(layer, parts), seen, added)
         for inner in base64_layers(layer):
             work += _new(inner, seen, added)
         for inner in packed_layers(layer, most_bytes):
@@ -264,8 +288,7 @@ def secret_spans(df: DataFrame, text: str = "text", keep: tuple[str, ...] = (),
     Only the text and the kept columns go to the Python workers; nothing is shuffled.
     """
     small_batches(df.sparkSession)
-    schema = df.select(*keep).schema
-    out = schema.add("base_spans", "string").add("nested_spans", "string")
+    source, out = laid_out(df, keep, F.col(text), StructType().add("base_spans", "string").add("nested_spans", "string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,9 +296,9 @@ def secret_spans(df: DataFrame, text: str = "text", keep: tuple[str, ...] = (),
             columns = [batch.column(i) for i in range(len(keep))]
             columns += [pa.array([spelled(base) for base, _ in found], pa.string())]
             columns += [pa.array([spelled(added) for _, added in found], pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "base_spans", "nested_spans"])
+            yield pa.RecordBatch.from_arrays(columns, names=out.names)
 
-    return df.select(*keep, F.col(text).alias("__text")).mapInArrow(tidy(run), out)
+    return source.mapInArrow(tidy(run), out)
 
 
 def masked(text: str, spans: str, mark: str = "[secret]") -> str:
