@@ -3,7 +3,11 @@ import zlib
 import numpy as np
 import pytest
 
-from caretrail.llm.quality import NAMES, estimate_prior, features, fit, keep_good, quality_scores
+from pyspark.sql import functions as F
+
+from caretrail.llm.quality import (
+    NAMES, Model, estimate_prior, features, fit, keep_good, margins_above, quality_scores, spread_of, train, with_features,
+)
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -60,3 +64,34 @@ def test_odd_rows(spark):
     assert {r.predicted for r in quality_scores(documents, labels.limit(0)).collect()} == {1}
     assert quality_scores(documents.limit(0), labels).count() == 0
     assert keep_good(documents, labels.limit(0)).columns == documents.columns
+
+
+def test_statistics_are_those_of_all_documents(spark):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    x = np.stack([features(r.text) for r in documents.collect()]).astype(np.float64)
+    mean, spread = spread_of(documents.repartition(7))
+    assert np.allclose(mean, x.mean(axis=0), atol=1e-5) and np.allclose(spread, x.std(axis=0), atol=1e-4)
+    model = Model(mean, spread + 0.02, np.linspace(-1, 1, len(NAMES)), 0.1, 0.5)
+    margins = np.round(model.margin(x), 9)
+    cuts = np.quantile(margins, [0.1, 0.5, 0.9]) + 1e-7
+    counts, total = margins_above(documents, model)(cuts)
+    assert total == len(x) and counts.tolist() == [(margins >= c).sum() for c in cuts]
+    assert spread_of(documents.limit(0))[0].tolist() == [0.0] * len(NAMES)
+
+
+def test_the_sample_bounds_the_weights_only(spark):
+    """With a small sample the mean is still that of all documents, and an id of many rows gives one vector."""
+    documents, labels = (spark.read.parquet(f"{FOLDER}/{n}.parquet") for n in ("documents", "labels"))
+    model = train(documents, labels, most=60)
+    assert np.allclose(model.mean, spread_of(documents)[0])
+    many = documents.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, 4).otherwise(F.col("doc_id")))
+    assert quality_scores(many, labels).count() == documents.count()
+
+
+def test_no_column_name_is_reserved(spark):
+    rows = [(5, "Some words here.", "a", 1.0, b"f"), (6, None, "b", None, None)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, __text string, __score double, features binary")
+    labels = spark.createDataFrame([(5, 1)], "doc_id long, quality int")
+    kept = keep_good(documents, labels.limit(0))
+    assert kept.columns == documents.columns and sorted(r.doc_id for r in kept.collect()) == [5, 6]
+    assert with_features(documents, "text", ("doc_id", "features")).columns == ["doc_id", "features_in", "features"]
