@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caretrail.checks.care_sql import fact_sql, locf
+from caretrail.checks.care_sql import fact_sql, locf, no_patient
 from caretrail.checks.registry import check
 from caretrail.plans import hiv_facts as hf
 from caretrail.plans import hiv_summary as hs
@@ -33,8 +33,9 @@ _mdt = "CASE WHEN mdt_4 = 1 THEN 4 WHEN mdt_3 = 1 THEN 3 WHEN mdt_2 = 1 THEN 2 W
 @check(
     "m10_hiv_summary_other_emr",
     "M10 L2",
-    f"""WITH f AS (SELECT encounter_id, {', '.join(f'{fact_sql(*hf.OTHER_EMR_FACTS[n])} AS {n}' for n in OTHER)} FROM oq GROUP BY encounter_id), e AS (SELECT s.*, f.* EXCLUDE (encounter_id) FROM spine s LEFT JOIN f ON f.encounter_id = s.encounter_id)
-    SELECT person_id, encounter_id, encounter_date, scheduled_visit_on, {locf(_mdt)} AS mdt_session_number, COALESCE(rtc, CASE WHEN {locf('rtc')} > encounter_date THEN {locf('rtc')} END) AS cur_rtc_date FROM e""",
+    f"""WITH f AS (SELECT encounter_id, {', '.join(f'{fact_sql(*hf.OTHER_EMR_FACTS[n])} AS {n}' for n in OTHER)} FROM oq GROUP BY encounter_id), e AS (SELECT s.*, f.* EXCLUDE (encounter_id) FROM spine s LEFT JOIN f ON f.encounter_id = s.encounter_id),
+    p AS (SELECT * FROM e WHERE {no_patient('oq')})
+    SELECT person_id, encounter_id, encounter_date, scheduled_visit_on, {locf(_mdt)} AS mdt_session_number, COALESCE(rtc, CASE WHEN {locf('rtc')} > encounter_date THEN {locf('rtc')} END) AS cur_rtc_date FROM p""",
     views={"oq": answer_rows_sql(hf.OTHER_EMR_QUESTIONS)},
 )
 def other_emr(t: Tables) -> DataFrame:

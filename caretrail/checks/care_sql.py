@@ -42,6 +42,12 @@ def first(value: str) -> str:
     return f"FIRST_VALUE({value} IGNORE NULLS) {UPTO}"
 
 
+def no_patient(answers: str) -> str:
+    """Encounter e has no answer that leaves it out of the summary."""
+    return f"""NOT EXISTS (SELECT 1 FROM {answers} x WHERE x.encounter_id = e.encounter_id
+  AND (x.concept_id = 5303 AND x.value IN ('822', '664', '1067') OR x.concept_id = 9082 AND x.value = '9036'))"""
+
+
 def named(columns: dict[str, str]) -> str:
     return ", ".join(f"{v} AS {k}" for k, v in columns.items())
 
@@ -62,10 +68,11 @@ _values = [n for n, f in FACTS.items() if f[0] not in ("said", "asked", "drugs")
 _zero = ", ".join(f"COALESCE({n}, 0) AS {n}" for n in [*_flags, "vl_order", "cd4_order", "pcr_order"])
 SHARED["hforms"] = f"""
 SELECT e.encounter_id, e.person_id, e.encounter_date, e.encounter_type, e.location_id, CASE e.encounter_type WHEN 116 THEN 20 WHEN 21 THEN 1 ELSE 10 END AS day_rank,
- CASE WHEN e.encounter_type IN (1, 2, 14) THEN 1 ELSE 0 END AS is_clinical, {_zero}, {', '.join(_values)}, d1.meds AS m1250, d2.meds AS m1088, d3.meds AS m2154, d4.meds AS m2157
-FROM encounter e LEFT JOIN hfacts f ON f.encounter_id = e.encounter_id LEFT JOIN horders o ON o.encounter_id = e.encounter_id
+ CASE WHEN e.encounter_type IN (1, 2, 14) THEN 1 ELSE 0 END AS is_clinical, {_zero}, {', '.join(_values)}, d1.meds AS m1250, d2.meds AS m1088, d3.meds AS m2154, d4.meds AS m2157,
+ v.visit_type_id AS visit_type, CASE WHEN v.visit_type_id = 24 THEN 1 WHEN v.visit_type_id IS NOT NULL THEN 0 END AS is_transit
+FROM encounter e LEFT JOIN hfacts f ON f.encounter_id = e.encounter_id LEFT JOIN horders o ON o.encounter_id = e.encounter_id LEFT JOIN visit v ON v.visit_id = e.encounter_id
 LEFT JOIN hdrugs d1 ON d1.encounter_id = e.encounter_id AND d1.concept_id = 1250 LEFT JOIN hdrugs d2 ON d2.encounter_id = e.encounter_id AND d2.concept_id = 1088
-LEFT JOIN hdrugs d3 ON d3.encounter_id = e.encounter_id AND d3.concept_id = 2154 LEFT JOIN hdrugs d4 ON d4.encounter_id = e.encounter_id AND d4.concept_id = 2157 WHERE e.voided = 0"""
+LEFT JOIN hdrugs d3 ON d3.encounter_id = e.encounter_id AND d3.concept_id = 2154 LEFT JOIN hdrugs d4 ON d4.encounter_id = e.encounter_id AND d4.concept_id = 2157 WHERE e.voided = 0 AND {no_patient('hq')}"""
 SHARED["hlabs"] = f"""
 SELECT MIN(obs_id) + 100000000 AS encounter_id, person_id, CAST(obs_datetime AS DATE) AS encounter_date, 99999 AS encounter_type, 1 AS day_rank, 0 AS is_clinical,
  MIN(CASE WHEN concept_id = 856 THEN value_numeric END) AS vl, MIN(CASE WHEN concept_id = 5497 THEN value_numeric END) AS cd4,
@@ -226,6 +233,7 @@ _h4 = {
     "arv_h": "CASE WHEN arv_hard_start = 1 OR arv_stop = 1 OR cur_arv_meds <> prev_arv_meds THEN 1 ELSE 0 END",
     "arv_set": "CASE WHEN arv_hard_start = 1 OR (cur_arv_meds <> prev_arv_meds AND arv_stop = 0) THEN encounter_date END",
 }
+_h4["next_clinical_rtc_date_hiv"] = f"(FIRST_VALUE(CASE WHEN is_clinical = 1 THEN {{'v': COALESCE(rtc, CASE WHEN known_rtc > encounter_date THEN known_rtc END)}} END IGNORE NULLS) {AFTER}).v"
 _h4["next_clinical_location_id"] = f"(FIRST_VALUE(CASE WHEN is_clinical = 1 THEN {{'v': known_location}} END IGNORE NULLS) {AFTER}).v"
 SHARED["h4"] = f"SELECT *, {named(_h4)} FROM h3"
 _care = "(prev_clinical_datetime_hiv IS NULL OR encounter_date - COALESCE(prev_clinical_rtc_date_hiv, prev_clinical_datetime_hiv + 90) < 90)"
@@ -263,6 +271,7 @@ _names_sql = f"(SELECT STRING_AGG(name, ' ## ' ORDER BY ord) FROM (VALUES {_name
 _since, _on = months("vl_date_1", "encounter_date"), months("arv_start_date", "encounter_date")
 _final = {
     "scheduled_visit": "scheduled_visit",
+    "cur_arv_meds_strict": "meds",
     "med_pickup_rtc_date": "med_pickup",
     "patient_care_status": "CASE WHEN death_date <= encounter_date THEN 159 WHEN discharged = 1 THEN 9036 ELSE COALESCE(transfer_code, exit_code, care_code, CASE WHEN encounter_type <> 99999 THEN 6101 END) END",
     "hiv_start_date": "COALESCE(hiv_hard, first_seen)",

@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caretrail.checks.care_sql import no_patient
 from caretrail.checks.incremental import shared
 from caretrail.checks.registry import check
 from caretrail.functions import dates as d
 from caretrail.operators import aggregates as agg
 from caretrail.operators import joins, newest, periods, quality, rules
+from caretrail.operators.facts import extract_packed
+from caretrail.plans import hiv_facts as hf
+from caretrail.plans.hiv_summary import of_patients
 from caretrail.plans.spine import encounters, measured
 from caretrail.sources import sinks
 from caretrail.sources.tables import Tables, live
+from caretrail.sources.views import answer_rows_sql
 
 c = F.col
 DAY = "DATE '2000-01-01'"
@@ -199,11 +204,13 @@ _calendar(
 @check(
     "d02_negative_observation_filter",
     "D2",
-    "SELECT encounter_id FROM encounter e WHERE voided = 0 AND NOT EXISTS (SELECT 1 FROM obs o WHERE o.encounter_id = e.encounter_id AND o.voided = 0 AND concept_id = 1255 AND value_coded IN (1260, 1107))",
+    f"SELECT encounter_id FROM encounter e WHERE voided = 0 AND {no_patient('negq')}",
+    views={"negq": answer_rows_sql(hf.QUESTIONS)},
 )
 def negative_filter(t: Tables) -> DataFrame:
-    stopped = live(t.obs).filter((c("concept_id") == 1255) & c("value_coded").isin(1260, 1107))
-    return joins.exclude(live(t.encounter), stopped, ["encounter_id"]).select("encounter_id")
+    facts = {n: hf.FACTS[n] for n in hf.EXCLUDING}
+    answers = extract_packed(t.answers(hf.QUESTIONS), ["encounter_id"], facts)
+    return of_patients(live(t.encounter).join(answers, "encounter_id", "left"), facts).select("encounter_id")
 
 
 @check(

@@ -149,6 +149,12 @@ def packed_columns(facts: dict[str, Fact]) -> list[str]:
     return [f"flags_{i}" for i in range(words)]
 
 
+def raised(facts: dict[str, Fact], name: str) -> Column:
+    """A flag that is still packed is set; false for events without any observation."""
+    word, bit = divmod(_flag_names(facts).index(name), FLAGS_PER_COLUMN)
+    return F.coalesce(F.getbit(F.col(f"flags_{word}"), F.lit(bit)), F.lit(0)) == 1
+
+
 def unpack(df: DataFrame, facts: dict[str, Fact]) -> DataFrame:
     """Flags as 0/1 columns; 0 for events without any observation."""
     columns = []

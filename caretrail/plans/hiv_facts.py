@@ -22,6 +22,9 @@ FACTS: dict[str, Fact] = {
     "scheduled_visit": code(1839),
     "rtc": date(5096),
     "med_pickup": date(9605),
+    # visits that the summary leaves out: not known to be infected, found negative
+    "status_not_positive": said(5303, 822, 664, 1067),
+    "exit_negative": said(9082, 9036),
     # leaving care
     "discharged": said(1946, 1065),
     "transfer_code": code(1285),
@@ -214,7 +217,7 @@ QUESTIONS: list[tuple[int, str, int]] = (
     + [(2157, "coded", c) for c in (630, 631, 1066)]
     + [(7013, "date", 0), (7015, "coded", 1287), (7030, "coded", 5622), (1839, "coded", 7850), (9605, "date", 0)]
     + [(1946, "coded", 1065), (1285, "coded", 1287), (1285, "coded", 1286), (1596, "coded", 1594), (9082, "coded", 9036)]
-    + [(9082, "coded", 159), (1570, "date", 0), (1573, "coded", 58), (9203, "date", 0), (1499, "date", 0), (1633, "coded", 1065)]
+    + [(9082, "coded", 159), (9082, "coded", 9068), (5303, "coded", 822), (5303, "coded", 664), (5303, "coded", 1067), (5303, "coded", 703), (1570, "date", 0), (1573, "coded", 58), (9203, "date", 0), (1499, "date", 0), (1633, "coded", 1065)]
     + [(6976, "coded", c) for c in (6693, 6694)] + [(6744, "coded", 6695)]
     + [(8288, "coded", c) for c in (6343, 6655, 6656)] + [(6596, "coded", c) for c in (6594, 1118)]
     + [(8351, "coded", c) for c in (1065, 1066, 1484)] + [(1836, "date", 0), (1279, "number", 1), (5596, "date", 0), (5599, "date", 0)]
@@ -238,8 +241,12 @@ OTHER_EMR_QUESTIONS = QUESTIONS + [(1246, "date", 0), (1246, "coded", 1065), (10
 # Results a laboratory event can bring.
 LAB_VALUES = {"vl": 856, "cd4": 5497, "cd4_percent": 730, "pcr": 1030}
 
+# An event with one of these is no part of the care summary.
+EXCLUDING = ("status_not_positive", "exit_negative")
+
 # The facts that guarded results and pregnancy depend on; their concepts are scanned on their own.
 DAY_FACTS = (
+    *EXCLUDING,
     "vl", "vl_on", "pcr", "pcr_on", "gestation_asked", "pregnant", "not_pregnant", "delivered", "delivered_now", "pregnancy_over",
     "last_period", "gestation_weeks", "due_on",
 )

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from caretrail.functions import dates as d
 from caretrail.functions.regimens import drug_names
-from caretrail.operators import fold
-from caretrail.operators.facts import Fact, extract_packed, regimen_of_bits, unpack
+from caretrail.operators import fold, rules
+from caretrail.operators.facts import Fact, extract_packed, raised, regimen_of_bits, unpack
 from caretrail.operators.timeline import (
     Passes,
     Timeline,
@@ -30,7 +30,7 @@ from caretrail.operators.timeline import (
     running,
     unpacked,
 )
-from caretrail.plans.hiv_facts import DAY_FACTS, FACTS, LAB_VALUES, MDT_SESSIONS, QUESTIONS
+from caretrail.plans.hiv_facts import DAY_FACTS, EXCLUDING, FACTS, LAB_VALUES, MDT_SESSIONS, QUESTIONS
 from caretrail.plans.spine import encounters
 from caretrail.sources.tables import Tables
 
@@ -63,6 +63,19 @@ def unknown_date() -> Column:
     return F.lit(UNKNOWN_DATE).cast("date")
 
 
+def cur_rtc() -> Column:
+    """The return date given on the row, or the last one known if it is still ahead."""
+    return F.coalesce(c("rtc"), F.when(c("known_rtc") > c("encounter_date"), c("known_rtc")))
+
+
+def of_patients(events: DataFrame, facts: dict[str, Fact]) -> DataFrame:
+    """Events whose packed facts do not say that the person is not known to be infected."""
+    for name in EXCLUDING:
+        if name in facts:
+            events = events.filter(~raised(facts, name))
+    return events
+
+
 def events_until_next_clinical(df: DataFrame, line: Timeline, events: dict[str, tuple[Column, Column]]) -> DataFrame:
     """For every row, the latest event of each kind between the clinical row that opens its gap and the next one.
 
@@ -95,11 +108,13 @@ def events_until_next_clinical(df: DataFrame, line: Timeline, events: dict[str,
 def events(t: Tables, facts: dict[str, Fact], questions: list, keys: DataFrame | None) -> DataFrame:
     """Encounters with their packed facts, and laboratory days as events of their own type."""
     forms = encounters(t, keys).join(extract_packed(t.answers(questions), ["encounter_id"], facts), "encounter_id", "left")
+    forms = of_patients(forms, facts)
     orders = t.clinical_order.groupBy("encounter_id").agg(
         *[F.max(F.when(F.col("concept_id") == k, 1).otherwise(0)).alias(n) for n, k in ORDERS.items()]
     )
     visits = t.visit.select(F.col("visit_id").alias("encounter_id"), "visit_type_id")
     forms = forms.join(orders, "encounter_id", "left").join(visits, "encounter_id", "left")
+    forms = forms.withColumn("is_clinical", rules.is_clinical(c("encounter_type"), c("visit_type_id")))
     labs = t.lab_event.select(
         "person_id",
         F.to_date("obs_datetime").alias("obs_date"),
@@ -196,6 +211,9 @@ def event_columns(df: DataFrame) -> DataFrame:
         "out_of_care": F.when(
             either(yes("discharged"), yes("transfer_away"), c("exit_code").isNotNull(), yes("care_left"), c("encounter_type") == DEATH_TYPE), 1
         ),
+        "visit_type": c("visit_type_id"),
+        "is_transit": rules.is_transit(c("visit_type_id")),
+        "cur_arv_meds_strict": regimen_of_bits(bits),
         "med_pickup_rtc_date": c("med_pickup"),
         "__meds_event": bit(meds_event),
         "__meds": regimen_of_bits(bits),
@@ -402,6 +420,7 @@ def look_ahead(df: DataFrame, line: Timeline) -> DataFrame:
         df,
         next_clinical_datetime_hiv=next_where(clinical, today),
         next_clinical_location_id=next_where(clinical, c("known_location")),
+        next_clinical_rtc_date_hiv=next_where(clinical, cur_rtc()),
     )
     return events_until_next_clinical(
         df,
@@ -433,7 +452,7 @@ def final_columns(df: DataFrame, wanted: list[str]) -> DataFrame:
     last_visit = c("next_clinical_datetime_hiv").isNull()
     new = {
         "patient_care_status": F.coalesce(status, F.when(c("encounter_type") != LAB_TYPE, 6101)),
-        "cur_rtc_date": F.coalesce(c("rtc"), F.when(c("known_rtc") > today, c("known_rtc"))),
+        "cur_rtc_date": cur_rtc(),
         "hiv_status_disclosed": F.when(yes("not_disclosed") & ~yes("disclosed"), 0).otherwise(c("known_disclosed")),
         "hiv_start_date": F.coalesce("hiv_hard", "first_seen"),
         "is_pregnant": F.when((c("is_pregnant") == 1) & ~past_due, 1),
@@ -450,7 +469,7 @@ def final_columns(df: DataFrame, wanted: list[str]) -> DataFrame:
         "transfer_out_location_id": F.when(yes("transfer_other") & last_visit, ELSEWHERE)
         .when(yes("transfer_network") & last_visit, IN_NETWORK)
         .when(transfer_out_move, c("next_clinical_location_id")),
-        "transfer_out_date": F.when(F.coalesce(left | transfer_out_move, F.lit(False)) & last_visit, F.coalesce(c("rtc"), F.when(c("known_rtc") > today, c("known_rtc"))))
+        "transfer_out_date": F.when(F.coalesce(left | transfer_out_move, F.lit(False)) & last_visit, cur_rtc())
         .when(transfer_out_move, c("next_clinical_datetime_hiv"))
         .when((c("is_clinical") == 1) & c("transfer_date_bncd").isNotNull(), c("transfer_date_bncd")),
         "cur_arv_meds_names": drug_names(c("cur_arv_meds")),
@@ -460,10 +479,10 @@ def final_columns(df: DataFrame, wanted: list[str]) -> DataFrame:
 
 
 OUTPUT = [
-    "person_id", "encounter_id", "encounter_date", "encounter_type", "is_clinical", "gender", "birthdate",
-    "enrollment_date", "enrollment_location_id", "scheduled_visit", "known_location", "visit_num", "mdt_session_number",
+    "person_id", "encounter_id", "encounter_date", "encounter_type", "visit_type", "is_transit", "is_clinical", "gender",
+    "birthdate", "enrollment_date", "enrollment_location_id", "scheduled_visit", "known_location", "visit_num", "mdt_session_number",
     "prev_rtc_date", "cur_rtc_date", "med_pickup_rtc_date", "out_of_care", "death_date", "patient_care_status",
-    "hiv_start_date", "arv_start_location_id", "prev_arv_meds", "cur_arv_meds", "cur_arv_meds_names",
+    "hiv_start_date", "arv_start_location_id", "prev_arv_meds", "cur_arv_meds", "cur_arv_meds_strict", "cur_arv_meds_names",
     "prev_clinical_datetime_hiv", "prev_clinical_rtc_date_hiv", "arv_first_regimen", "arv_first_regimen_start_date",
     "arv_first_regimen_location_id", "prev_arv_line", "cur_arv_line", "cur_arv_line_strict", "cur_arv_line_reported",
     "prev_arv_start_date", "arv_start_date", "prev_arv_end_date", "prev_arv_adherence", "cur_arv_adherence",
@@ -476,6 +495,7 @@ OUTPUT = [
     "condoms_provided_date", "modern_contraceptive_method_start_date", "contraceptive_method", "cur_who_stage",
     "discordant_status", "phone_outreach", "home_outreach", "outreach_attempts", "prev_encounter_datetime_hiv",
     "prev_encounter_type_hiv", "next_encounter_datetime_hiv", "next_encounter_type_hiv", "next_clinical_datetime_hiv",
+    "next_clinical_rtc_date_hiv",
     "prev_clinical_location_id", "next_clinical_location_id", "outreach_date_bncd", "outreach_death_date_bncd",
     "transfer_date_bncd", "transfer_in", "transfer_in_date", "transfer_in_location_id", "transfer_out",
     "transfer_out_date", "transfer_out_location_id",

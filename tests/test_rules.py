@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from caretrail.functions.regimens import CHEMO
-from caretrail.plans.hiv_facts import FACTS
+from caretrail.operators.facts import extract_packed
+from caretrail.plans.hiv_facts import EXCLUDING, FACTS
+from caretrail.plans.hiv_summary import of_patients
 from caretrail.specs.blocks import EXAM, changed
 from caretrail.specs.forms import FORMS
 
@@ -108,3 +110,12 @@ def test_sql_functions(spark, call, expected):
     register(spark)
     assert len(FUNCTIONS) == 12
     assert spark.sql(f"SELECT {call % OBS if '%s' in call else call}").first()[0] == expected
+
+
+def test_summary_leaves_out_visits_of_persons_not_known_infected(spark):
+    facts = {n: FACTS[n] for n in EXCLUDING}
+    told = [(1, 5303, "664"), (2, 5303, "703"), (3, 9082, "9036"), (4, 9082, "1287"), (5, 5303, "822"), (6, 5303, "1067"), (6, 5303, "703"), (7, 5303, "6640")]
+    answers = spark.createDataFrame(told, "encounter_id int, concept_id int, value string").withColumn("obs_date", F.current_date())
+    events = spark.range(1, 9).select(F.col("id").cast("int").alias("encounter_id"))
+    kept = of_patients(events.join(extract_packed(answers, ["encounter_id"], facts), "encounter_id", "left"), facts)
+    assert sorted(r.encounter_id for r in kept.collect()) == [2, 4, 7, 8]
