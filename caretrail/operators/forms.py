@@ -1,7 +1,8 @@
 """Datasets of clinical forms: one job, many specs.
 
 A spec lists the columns of a form as lines `column concept answers`. Answers are numbered by their order unless a line
-says `code=number`. `yesno` is 1 and 0, `num` a number, `text` all values joined. Where a visit has several of a
+says `code=number`. `yesno` is 1 and 0, `num` a number, `date` the first
+day given, `day` the first day of asking, `text` all values joined. Where a visit has several of a
 question's answers, the one listed first counts.
 """
 
@@ -22,7 +23,7 @@ YES, NO = 1065, 1066
 class Question:
     column: str
     concept: int
-    kind: str  # coded | num | text
+    kind: str  # coded | num | date | day | text
     answers: tuple[tuple[int, int], ...] = ()  # (code, number), first match counts
 
 
@@ -33,9 +34,13 @@ class Form:
     questions: tuple[Question, ...]
 
 
+# What every form is asked beside its own questions.
+RETURN_DAY = Question("return_on", 5096, "date")
+
+
 def parse_question(line: str) -> Question:
     column, concept, *answers = line.split()
-    if answers in (["num"], ["text"]):
+    if answers in (["num"], ["date"], ["day"], ["text"]):
         return Question(column, int(concept), answers[0])
     if answers == ["yesno"]:
         return Question(column, int(concept), "coded", ((YES, 1), (NO, 0)))
@@ -62,6 +67,10 @@ def _column(q: Question) -> Column:
     value = F.col("value")
     if q.kind == "num":
         return F.min(F.when(here, lenient_number(value)))
+    if q.kind == "date":
+        return F.min(F.when(here, F.try_to_date(value, "yyyy-MM-dd")))
+    if q.kind == "day":
+        return F.min(F.when(here, F.col("obs_date")))
     if q.kind == "text":
         joined = F.array_join(F.array_sort(F.collect_list(F.when(here, value))), SEPARATOR)
         return F.nullif(joined, F.lit(""))
@@ -82,7 +91,7 @@ def form_answers(tall: DataFrame, spec: Form, key: list[str]) -> DataFrame:
 
 
 def form_timeline(df: DataFrame, line: Timeline) -> DataFrame:
-    """Neighbouring forms of the patient, and neighbouring clinical ones."""
+    """Neighbouring forms of the patient, and neighbouring clinical ones with where they were and the return date they gave."""
     clinical = F.col("is_clinical") == 1
     return line.scan(
         df,
@@ -92,4 +101,8 @@ def form_timeline(df: DataFrame, line: Timeline) -> DataFrame:
         next_encounter_type=following(F.col("encounter_type")),
         prev_clinical_date=prev_where(clinical, F.col("encounter_date")),
         next_clinical_date=next_where(clinical, F.col("encounter_date")),
+        prev_clinical_location_id=prev_where(clinical, F.col("location_id")),
+        next_clinical_location_id=next_where(clinical, F.col("location_id")),
+        prev_clinical_rtc_date=prev_where(clinical, F.col(RETURN_DAY.column)),
+        next_clinical_rtc_date=next_where(clinical, F.col(RETURN_DAY.column)),
     )

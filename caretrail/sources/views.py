@@ -79,6 +79,8 @@ SELECT o_custkey AS person_id, CAST(1 + o_orderkey % 8 AS INT) AS identifier_typ
  CASE CAST(o_orderkey % 5 AS INT) WHEN 0 THEN 'MT' WHEN 1 THEN 'TU' WHEN 2 THEN 'WB' WHEN 3 THEN 'MO' ELSE 'ZZ' END || CAST(1000000000 + o_orderkey AS VARCHAR(20)) AS identifier,
  CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS preferred
 FROM orders""",
+    "person_address": """
+SELECT c_custkey AS person_id, n_name AS address1 FROM customer JOIN nation ON n_nationkey = c_nationkey""",
     "person_attribute": """
 SELECT c_custkey AS person_id, 10 AS attribute_type_id, '0700' || CAST(100000 + c_custkey AS VARCHAR(20)) AS value FROM customer WHERE c_acctbal > 0
 UNION ALL SELECT c_custkey, 68, CAST(c_custkey % 40 AS VARCHAR(20)) FROM customer WHERE c_mktsegment = 'BUILDING'
@@ -101,6 +103,7 @@ BASE = {
     "relationship": ["customer"],
     "person_name": ["customer"],
     "patient_identifier": ["orders"],
+    "person_address": ["customer", "nation"],
     "person_attribute": ["customer"],
     "encounter_provider": ["lineitem"],
 }

@@ -17,7 +17,7 @@ from caretrail.specs.blocks import (
     changed,
 )
 
-# Column, concept, answers in the order of their numbers.
+# Column, concept, answers in the order of their numbers. A column of concept 0 has no question yet.
 CERVICAL_SCREENING = form(
     "cervical_cancer_screening",
     (69, 70, 147),
@@ -34,8 +34,10 @@ estimated_delivery_date 5596 text
 reason_not_pregnant 9733 9729 9730 9731 9732
 hiv_status 6709 664 703 1067
 viral_load 856 num
+viral_load_date 0 date
 prior_via_done 9589 yesno
 prior_via_result 7381 664 703
+prior_via_date 0 date
 cur_via_result 9590 1115 7469 9593 7472 7293 7470 6497 5245 9591 9592
 visual_impression_cervix 7484 1115 7507 7508 7424 7425 7216 6537 7421 5622
 visual_impression_vagina 7490 1115 1447 9181 1116 9177 7492 7491 7435 5622
@@ -43,19 +45,28 @@ visual_impression_vulva 7490 1115 1447 9177 1116 7489 7488 7483 5622
 via_procedure_done 7479 1107 6511 7466 7147 9724 6510 885 7478 7553 1907 441 2062 7648 9434 5275 6220 5622
 other_via_procedure_done 1915 text
 via_management_plan 7500 9725 9178 7497 7383 7499 7496 7498 7465 7466 1496 1107 6102 7478 6511 5276 10200 5622
+other_via_management_plan 1915 text
 via_assessment_notes 7222 text
 via_rtc_date 5096 text
 history_of_dysplasia 7379 yesno
+previous_via_result 7381 664 703
+previous_via_result_date 0 date
 most_recent_pap_smear_result 7423 1115 7417 7418 7419 7420 7421 7422
 most_recent_biopsy_result 7426 1115 7424 7425 7216 7421
+prior_biopsy_result_date 0 date
 most_recent_biopsy_result_other 7400 text
+prior_biopsy_result_date_other 0 date
 date_patient_informed_referred 9706 text
 past_dysplasia_treatment 7467 7466 7147 7465 5622
 treatment_specimen_pathology 7579 1115 149 9620 7424 7425 7216 7421 9618
 satisfactory_colposcopy 7428 1065=1 1066=0 1118=2
 colposcopy_findings 7383 1115 7469 7473 7470 7471 7472
 cervical_lesion_size 7477 7474 9619 7476
+other_dysplasia_procedure_done 1915 text
 dysplasia_mgmt_plan 7500 9725 9178 7497 7383 7499 5622
+other_dysplasia_mgmt_plan 1915 text
+dysplasia_assesment_notes 7222 text
+dysplasia_rtc_date 5096 text
 leep_location 8268 8266 8267
 pathology_cervical_exam_findings 7645 1115 7424 7425 7216 1447 149 8282 9620 8276 9617 9621 7421 7422 9618
 pathology_vaginal_exam_findings 7647 1115 7492 7491 7435 6537 1447 8282 9620 8276 9617 9621 7421 7422 9618
@@ -289,12 +300,18 @@ LUNG_TREATMENT = form(
     """
 cur_visit_type 1839 7037 7875
 referred_from 6749 8161 5487 1275 2242 6572 978 5622
+facility_name 6748 text
+referral_date 9158 text
 referred_by 10135 1496 6280 5507 5622
 marital_status 1054 1175 1057 5555 6290 1060 1056 1058 1059
 main_occupation 1972 1967 6401 6408 6966 1969 1968 1966 8407 6284 8589 5619 5622
 patient_level_education 1605 1107 6214 6215 1604
 smoke_cigarettes 6473 1065 1066 1679
+number_of_sticks 2069 num
+cigga_smoke_duration 2070 num
+duration_since_last_use 2068 num
 tobacco_use 7973 1065 1066 1679
+tobacco_use_duration 8144 num
 drink_alcohol 1684 1065 1066 1679
 chemical_exposure 10310 1107 10308 10370 10309 5622
 asbestos_exposure 10312 1065 1066
@@ -302,27 +319,48 @@ any_family_mem_with_cancer 6802 1065 1067
 family_member 9635 1107 978 1692 972 1671 1393 1392 1395 1394 1673
 chief_complaints 5219 136 107 6786 5954 832 5960 10121 5622
 complain_duration 8777 1072 1073 1074 8787
+number_days 1892 num
+number_weeks 1893 num
+number_months 1894 num
+number_years 7953 num
 """,
     PERFORMANCE,
     changed(EXAM, neurologic="1129 1118 1115 599 497 5108"),
     TESTICULAR,
     """
+previous_tb_treatment 5704 text
 ever_diagnosed 6245 142 5 6237 903 6033 43 58
+disease_diagnosis_year 9281 num
 hiv_status 6709 1067 664 703
 chest_xray_result 12 1115 1116
 chest_ct_scan_results 7113 1115 1117
 pet_scan_results 10123 1115 1118
 abdominal_ultrasound_result 845 1115 1119
+other_imaging_results 10124 text
 test_ordered 1271 1107 1019 790 953 6898 9009
+other_radiology 8190 text
+other_laboratory 9538 text
 procedure_ordered 10127 1107 10075 10076 10126 5622
 procedure_performed 10442 1107 10075 10076 10126 5622
+other_procedures 1915 text
+procedure_date 10443 text
 lung_cancer_type 7176 10129 10130 5622
 small_cell_lung_ca_staging 10137 6563 6564
 non_small_cell_ca_type 10132 7421=1 7422=2 10131=3 10209=3
+diagnosis_date 9728 text
 staging 9868 9852 9856 9860 9864 6563 6564
+cancer_staging_date 10441 text
+metastasis_region 10445 text
 treatment_plan 8723 6575 8427 7465 5622
+other_treatment_plan 10039 text
+radiotherapy_sessions 10133 num
+surgery_date 10134 text
 chemotherapy_plan 9869 1256 1259 1260 1257
+chemo_start_date 1190 text
 treatment_intent 2206 9218 8428 8724 9219
+chemo_regimen 9946 text
+chemo_cycle 6643 num
+total_planned_chemo_cycle 6644 num
 chemo_drug 9918 7202 8506 7210 8492 8507
 referral_ordered 1272 1107 8724 5486 5884 6570 5622
 """,
@@ -411,14 +449,17 @@ ONCOLOGY_HISTORY = form(
     "oncology_patient_history",
     (69, 70, 86, 145, 146, 147, 160, 38, 39, 40, 41, 42, 45, 130, 141, 148, 149, 150, 151, 175, 142, 143, 169, 170, 177, 91, 92, 89, 90, 93, 94, 184),
     """
-rtc_date 5096 text
 diagnosis 7179 text
+diagnosis_method 6504 text
+result_of_diagnosis 7191 num
 diagnosis_date 9728 text
 breast_exam_findings 6251 text
 prior_via_test_result 7381 text
+prior_via_test_result_date 7381 day
 via_test_result 9590 text
 hiv_status 6709 text
-cancer_type 7176 text
+cancer_type_asked 7176 text
+cancer_type_diagnosed 6042 6555=6555
 breast_cancer_type 9841 text
 gynecologic_cancer_type 6536 text
 sarcoma_type 9843 text
@@ -433,7 +474,7 @@ lung_cancer_type 10132 text
 non_cancer_diagnosis 9847 text
 cancer_stage 6582 text
 overall_cancer_stage_group 9868 text
-cur_onc_meds 9918 text
+medication_history 9918 text
 cur_onc_meds_dose 1899 text
 cur_onc_meds_frequency 1896 text
 oncology_treatment_plan 8723 text
