@@ -342,7 +342,7 @@ def validity(t: Tables) -> DataFrame:
     from caretrail.operators.timeline import by_timeline, following
 
     df = measured(t).filter("is_clinical = 1")
-    df = by_timeline(df, lambda x, line: line.scan(x, next_date=following(c("encounter_date"))), t.hot_persons)
+    df = by_timeline(df, lambda x, line: line.scan(x, next_date=following(c("encounter_date"))), t.hot_persons, tasks=t.tasks())
     out = periods.valid_in_period(df, "month", c("encounter_date"), c("next_date"), *t.horizon("month"))
     return out.select("period_end", "person_id", "encounter_id")
 
@@ -372,7 +372,7 @@ def weekly(t: Tables) -> DataFrame:
     from caretrail.operators.timeline import by_timeline, following
 
     df = measured(t).filter("is_clinical = 1")
-    df = by_timeline(df, lambda x, line: line.scan(x, next_date=following(c("encounter_date"))), t.hot_persons)
+    df = by_timeline(df, lambda x, line: line.scan(x, next_date=following(c("encounter_date"))), t.hot_persons, tasks=t.tasks())
     until = F.when(c("next_date").isNotNull(), F.greatest("next_date", "rtc_date"))
     out = periods.valid_in_period(df, "week", c("encounter_date"), until, *t.horizon("week"))
     out = out.select("period_end", "person_id", "encounter_date", "encounter_id")

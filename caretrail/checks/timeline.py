@@ -33,7 +33,7 @@ W = f"({W})"
 
 
 def walk(t: Tables, build, columns: list[str]) -> DataFrame:
-    return by_timeline(measured(t), build, t.hot_persons).select("encounter_id", *columns)
+    return by_timeline(measured(t), build, t.hot_persons, tasks=t.tasks()).select("encounter_id", *columns)
 
 
 def simple(name: str, ids: str, looks: dict, sql: dict[str, str]):
@@ -182,7 +182,7 @@ def between_clinical_visits(t: Tables) -> DataFrame:
     def build(df, line):
         return events_until_next_clinical(df, line, {"outreach_date_bncd": (c("encounter_type") == 21, c("encounter_date"))})
 
-    return by_timeline(measured(t), build, t.hot_persons).filter("is_clinical = 1").select("encounter_id", "outreach_date_bncd")
+    return by_timeline(measured(t), build, t.hot_persons, tasks=t.tasks()).filter("is_clinical = 1").select("encounter_id", "outreach_date_bncd")
 
 
 simple(
@@ -321,7 +321,7 @@ def location_hold(t: Tables) -> DataFrame:
     df = measured(t).join(t.visit.select(c("visit_id").alias("encounter_id"), "visit_type_id"), "encounter_id", "left")
     held = F.coalesce(c("visit_type_id"), F.lit(0)).isin(23, 119)
     look = carry(~held, c("location_id"))
-    return by_timeline(df, lambda d, line: line.scan(d, held_location_id=look), t.hot_persons).select(
+    return by_timeline(df, lambda d, line: line.scan(d, held_location_id=look), t.hot_persons, tasks=t.tasks()).select(
         "encounter_id", "held_location_id"
     )
 
@@ -340,7 +340,7 @@ def by_program(t: Tables) -> DataFrame:
         next_program_date=following(c("encounter_date")),
         prev_program_rtc=prev(c("rtc_date")),
     )
-    out = by_timeline(df, lambda d, line: line.scan(d, **looks), t.hot_persons, key=("person_id", "program_id"))
+    out = by_timeline(df, lambda d, line: line.scan(d, **looks), t.hot_persons, key=("person_id", "program_id"), tasks=t.tasks())
     return out.select("encounter_id", "program_id", *looks)
 
 

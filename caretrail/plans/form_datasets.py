@@ -54,14 +54,14 @@ def form_rows(
     visits = encounters(t).filter(F.col("encounter_type").isin(*(types or spec.encounter_types)))
     asked = replace(spec, questions=(*spec.questions, RETURN_DAY))
     rows = visits.join(form_answers(t.answers(questions_of(spec)), asked, ["encounter_id"]), "encounter_id", "left")
-    rows = rows.join(t.person.select("person_id", "gender", "birthdate"), "person_id")
-    rows = rows.withColumn("age", d.age_at(F.col("birthdate"), F.col("encounter_date")))
+    persons = t.person.select("person_id", "gender", "birthdate")
 
     def walk(df: DataFrame, line: Timeline) -> DataFrame:
-        df = form_timeline(df, line)
+        df = df.join(persons, "person_id")
+        df = form_timeline(df.withColumn("age", d.age_at(F.col("birthdate"), F.col("encounter_date"))), line)
         return more(df, line) if more else df
 
-    return by_timeline(rows, walk, t.hot_persons).select(*HEAD, *TIMELINE, *[q.column for q in spec.questions], *names)
+    return by_timeline(rows, walk, t.hot_persons, tasks=t.tasks()).select(*HEAD, *TIMELINE, *[q.column for q in spec.questions], *names)
 
 
 def person_details(t: Tables) -> DataFrame:

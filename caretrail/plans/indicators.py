@@ -85,6 +85,7 @@ def appointment_performance(t: Tables) -> DataFrame:
             x, prev_rtc=prev(c("rtc_date")), next_clinic=next_where(c("is_clinical") == 1, c("encounter_date")), next_type=following(c("encounter_type"))
         ),
         t.hot_persons,
+        tasks=t.tasks(),
     )
     came = F.datediff("encounter_date", "prev_rtc")
     waited = F.datediff("next_clinic", "rtc_date")
@@ -151,7 +152,7 @@ def entry_timeliness(t: Tables) -> DataFrame:
 def outreach_performance(t: Tables) -> DataFrame:
     """Outreach workers: forms, days, forms per day, patients who came back, and subtotals by county."""
     df = encounters(t)
-    df = by_timeline(df, lambda x, line: line.scan(x, next_clinic=next_where(c("is_clinical") == 1, c("encounter_date")), next_type=following(c("encounter_type"))), t.hot_persons)
+    df = by_timeline(df, lambda x, line: line.scan(x, next_clinic=next_where(c("is_clinical") == 1, c("encounter_date")), next_type=following(c("encounter_type"))), t.hot_persons, tasks=t.tasks())
     forms = df.filter("encounter_type = 21").join(t.location.select("location_id", "county"), "location_id")
     back = F.when(c("next_clinic").isNotNull() & (c("next_type") != 21), 1).otherwise(0)
     per_day = forms.withColumn("back", back).groupBy("county", "location_id", "encounter_date").agg(
@@ -198,7 +199,7 @@ RETURN_BUCKETS = {
 def return_distribution(t: Tables) -> DataFrame:
     """How many days late patients return, in overlapping intervals, by year."""
     rows = measured(t).filter("is_clinical = 1")
-    rows = by_timeline(rows, lambda x, line: line.scan(x, next_clinic=following(c("encounter_date"))), t.hot_persons)
+    rows = by_timeline(rows, lambda x, line: line.scan(x, next_clinic=following(c("encounter_date"))), t.hot_persons, tasks=t.tasks())
     rows = rows.withColumn("year", F.year("encounter_date"))
     out = bucket_counts(rows, F.datediff("next_clinic", "rtc_date"), RETURN_BUCKETS, ["year"])
     known = rows.groupBy("year").agg(F.count("rtc_date").alias("with_rtc"))

@@ -84,7 +84,7 @@ def moh_indicators(t: Tables) -> DataFrame:
         return p.run(line, part)
 
     away = c("transfer_care").isin(1287, 9068) | c("care").isin(1287, 9068)
-    return by_timeline(rows, build, t.hot_persons).select(
+    return by_timeline(rows, build, t.hot_persons, tasks=t.tasks()).select(
         "person_id", "encounter_id", "encounter_date", "visit_num", "prev_rtc_date", "cur_rtc_date", F.when(away, 1).alias("transfer_out"), "hiv_start_date", "arv_start_date", "cur_arv_meds"
     )
 
@@ -105,7 +105,7 @@ def retention(t: Tables) -> DataFrame:
         next_hiv_clinic_date=next_where(c("is_clinical") == 1, c("encounter_date")),
         prev_rtc_date=prev(c("rtc_date")),
     )
-    df = by_timeline(rows, lambda x, line: line.scan(x, **looks), t.hot_persons)
+    df = by_timeline(rows, lambda x, line: line.scan(x, **looks), t.hot_persons, tasks=t.tasks())
     ids = preferred_identifier(t.patient_identifier, "person_id", [("universal", [8]), ("local", [3]), ("study", [7])]).select("person_id", "identifier")
     visits = encounters(t).groupBy("person_id", "location_id").agg(F.count(F.lit(1)).alias("n"))
     visits = visits.select("person_id", c("n").cast("int"), (-c("location_id")).alias("least"))
