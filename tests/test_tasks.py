@@ -44,7 +44,7 @@ def after_layout(df):
     return plan[: plan.index("Generate ")]
 
 
-@pytest.mark.parametrize("name", ["m18_weekly_report", "m19_daily_report"])
+@pytest.mark.parametrize("name", ["m18_weekly_report", "m19_daily_report", "m20_differentiated_care_report"])
 def test_report_rows_are_not_moved(spark, name):
     above = after_layout(entry.queries()[name](spark, SMALL))
     assert "Exchange" not in above and "Join" not in above
