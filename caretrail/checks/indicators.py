@@ -17,6 +17,7 @@ from caretrail.operators.timeline import by_timeline, following
 from caretrail.plans import indicators as ind
 from caretrail.plans import legacy as lg
 from caretrail.plans.spine import measured
+from caretrail.session import cut_lineage
 from caretrail.sources.datasets import Datasets
 from caretrail.sources.tables import Tables, live
 from caretrail.sources.views import answer_rows_sql
@@ -82,9 +83,11 @@ def care_bitmaps(t: Tables) -> tuple[Datasets, set]:
     rows = ind.care_rows(t, "1999-01-01", "1999-12-31").withColumn("month", F.trunc("encounter_date", "month").cast("date"))
     last, by = F.lit("1999-12-01").cast("date"), ["county", "location_id", "month"]
     store = Datasets(t.spark, shared(t, "m30"), 200)
-    store.create("care", bitmaps.person_bitmaps(rows.filter(c("month") < last), ind.care_indicators(), by), ["month"])
+    # Two runs read them: the summary is walked once for both.
+    marks = cut_lineage(bitmaps.person_marks(rows, ind.care_indicators(), by))
+    store.create("care", bitmaps.bitmaps_of(marks.filter(c("month") < last), ind.care_indicators(), by), ["month"])
     files = {tuple(r) for r in store.files("care").collect()}
-    new = bitmaps.person_bitmaps(rows.filter(c("month") == last), ind.care_indicators(), by)
+    new = bitmaps.bitmaps_of(marks.filter(c("month") == last), ind.care_indicators(), by)
     store.replace("care", t.spark.range(1).select(last.alias("month")), new, ["month"])
     return store, files
 
@@ -265,7 +268,7 @@ SELECT s.*, p.death_date, p.birthdate, p.gender, DATE '2000-12-31' AS pe, DATE '
 
 
 def _rule_rows(t: Tables) -> DataFrame:
-    df = by_timeline(measured(t), lambda x, line: line.scan(x, vl_2=following(c("vl")), vl_2_date=following(c("vl_date"))), t.hot_persons)
+    df = by_timeline(measured(t), lambda x, line: line.scan(x, vl_2=following(c("vl")), vl_2_date=following(c("vl_date"))), t.hot_persons, tasks=t.tasks())
     day = lambda s: F.lit(s).cast("date")
     return df.join(t.person.select("person_id", "death_date", "birthdate", "gender"), "person_id").withColumn("pe", day("2000-12-31")).withColumn("ps", day("2000-12-01"))
 
@@ -420,7 +423,7 @@ def first_last(t: Tables) -> DataFrame:
 )
 def treatment_episodes(t: Tables) -> DataFrame:
     rows = measured(t).withColumn("stops", F.when(c("plan").isin(1107, 1260), 1).otherwise(0)).withColumn("regimen", c("drug").cast("string"))
-    return by_timeline(rows, ep.drug_episodes, t.hot_persons)
+    return by_timeline(rows, ep.drug_episodes, t.hot_persons, tasks=t.tasks())
 
 
 @check(

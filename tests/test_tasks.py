@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from caretrail.checks import CHECKS
 from caretrail.checks.compare import compare, connect
+from caretrail.operators.bitmaps import person_bitmaps
 from caretrail.operators.timeline import Timeline
 from caretrail.plans import reports
 from caretrail.sources.tables import Tables
@@ -79,3 +80,9 @@ def test_person_weeks_equal_a_plain_choice(spark):
     assert sorted(map(str, expected)) == sorted(str((r.person_id, r.period_end, r.encounter_id, r.encounter_date)) for r in found if not r["__mark"])
     marks = [(r.person_id, r.period_end) for r in found if r["__mark"]]
     assert len(marks) == len(set(marks)) and marks
+
+
+def test_bitmaps_are_not_begun_before_the_exchange(spark):
+    df = spark.range(10).select(F.col("id").alias("person_id"), (F.col("id") % 2).alias("site"))
+    plan = person_bitmaps(df, {"all": F.lit(True)}, ["site"])._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_construct_agg" in plan and "Exchange" not in plan[: plan.rindex("bitmap_construct_agg")]
