@@ -63,7 +63,7 @@ def _weekly():
     return text.stages(reports.weekly_rules(text)), {"period_start", "period_end", "clinical_visit_num", *reports.VL_COLUMNS}
 
 
-@pytest.mark.parametrize("name", ["m18_weekly_report"])
+@pytest.mark.parametrize("name", ["m17_monthly_report", "m18_weekly_report"])
 def test_reports_set_what_their_session_needs(spark, name):
     before = spark.conf.get("spark.sql.codegen.maxFields")
     spark.conf.set("spark.sql.codegen.maxFields", "100")
@@ -106,3 +106,34 @@ def test_lost_patients_equal_a_plain_walk(spark):
     found = reports.lost_patients(df).select("person_id", "period_end", *shown).collect()
     assert sorted(map(str, expected)) == sorted(str(tuple(r)) for r in found)
     assert {r.baseline_location for r in found} == {None, 1, 2, 3} and any(r.week_patient_became_active for r in found)
+
+
+def test_month_rows_are_sorted_twice(spark):
+    nodes = [n.nodeName() for n in above_layout(entry.queries()["m17_monthly_report"](spark, SMALL))]
+    assert nodes.count("Sort") == 2 and nodes.count("Window") == 2
+
+
+def test_neighbours_equal_a_plain_walk(spark):
+    """Months with visits that hold the location, unknown locations and unknown visit types, against the definition month by month."""
+    rng, rows, expected = random.Random(11), [], []
+    for person in range(200):
+        ends = sorted(rng.sample(range(24), rng.randint(1, 8)))
+        mine = [(person, dt.date(2000 + i // 12, i % 12 + 1, 28), rng.choice(["active", "ltfu", None]), rng.choice([None, 1, 2, 3]), rng.choice([None, 1, 23, 119]), rng.choice([None, "a", "b"]), rng.randint(0, 1)) for i in ends]
+        rows += mine
+        moves = [r[4] not in reports.HELD_VISITS for r in mine]
+
+        def site(order):
+            out, held = {}, None
+            for k, i in enumerate(order):
+                held = mine[i][3] if k == 0 or moves[i] else held
+                out[i] = held
+            return out
+
+        order = range(len(mine))
+        forward, backward = site(order), site(order[::-1])
+        at = lambda i, column: mine[i][column] if 0 <= i < len(mine) else None
+        expected += [(person, mine[i][1], at(i - 1, 2), at(i + 1, 2), forward.get(i - 1), backward.get(i + 1), at(i - 1, 5)) for i in order]
+    df = spark.createDataFrame(rows, "person_id long, period_end date, status string, site_id int, visit_type_id int, cur_arv_meds string, follow_up_vl_unsuppressed int")
+    shown = ["prev_status", "next_status", "prev_location_id", "next_location_id", "prev_month_arvs"]
+    found = reports.neighbours(df).select("person_id", "period_end", *shown).collect()
+    assert sorted(map(str, expected)) == sorted(str(tuple(r)) for r in found)
