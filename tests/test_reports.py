@@ -63,7 +63,7 @@ def _weekly():
     return text.stages(reports.weekly_rules(text)), {"period_start", "period_end", "clinical_visit_num", *reports.VL_COLUMNS}
 
 
-@pytest.mark.parametrize("name", ["m17_monthly_report", "m18_weekly_report"])
+@pytest.mark.parametrize("name", ["m17_monthly_report", "m18_weekly_report", "m19_daily_report"])
 def test_reports_set_what_their_session_needs(spark, name):
     before = spark.conf.get("spark.sql.codegen.maxFields")
     spark.conf.set("spark.sql.codegen.maxFields", "100")
@@ -137,3 +137,9 @@ def test_neighbours_equal_a_plain_walk(spark):
     shown = ["prev_status", "next_status", "prev_location_id", "next_location_id", "prev_month_arvs"]
     found = reports.neighbours(df).select("person_id", "period_end", *shown).collect()
     assert sorted(map(str, expected)) == sorted(str(tuple(r)) for r in found)
+
+
+def test_days_are_copied_in_few_steps(spark):
+    nodes = list(above_layout(entry.queries()["m19_daily_report"](spark, SMALL)))
+    rules = " ".join(n.toString() for n in nodes)
+    assert [n.nodeName() for n in nodes] == ["Project"] * len(nodes) and len(nodes) <= 4 and "timestampdiff" not in rules.lower()
